@@ -70,11 +70,14 @@ def executive_summary(
         )
     ]
     scope = F.concat(F.lit(" "), F.col("deployment_id")) if "deployment_id" in active.columns else F.lit("")
-    models = active.select(F.inline(F.array(
-        F.struct(F.concat(F.lit("Model ID"), scope).alias("metric"), F.col("model_id").cast("string").alias("value")),
-        F.struct(F.concat(F.lit("Frecuencia"), scope), F.col("frequency").cast("string")),
-        F.struct(F.concat(F.lit("Porcentaje uso"), scope), F.format_string("%.1f%%", F.round("percentage", 1))),
-    )))
+    usage = {
+        "Model ID": F.col("model_id").cast("string"),
+        "Frecuencia": F.col("frequency").cast("string"),
+        "Porcentaje uso": F.format_string("%.1f%%", F.round("percentage", 1)),
+    }
+    models = active.select(F.inline(F.array(*[
+        F.struct(F.concat(F.lit(text), scope).alias("metric"), value.alias("value")) for text, value in usage.items()
+    ])))
     analysis = as_metric_rows(stats, {
         "total_filtered_references": "Referencias filtradas",
         "unassigned_count": "Referencias sin asignar",

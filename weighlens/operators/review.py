@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from weighlens.functions.codes import normalize_device_id
 from weighlens.functions.ranking import sample_per_group
@@ -81,6 +81,11 @@ def _with_entry_id(entries: DataFrame) -> DataFrame:
 _BY_NAME, _BY_CODE, _BY_LABEL = "name", "code", "label"
 
 
+def _ways(values: dict[str, Column]) -> Column:
+    """The (way, value) pairs under which a row can be found."""
+    return F.array(*[F.struct(F.lit(how).alias("_how"), what.alias("_what")) for how, what in values.items()])
+
+
 def sample_for_review(
     entries: DataFrame, tx: DataFrame, images: int = IMAGES_PER_REVIEW, mode: str = "ambas", seed: int = SEED
 ) -> DataFrame:
@@ -101,11 +106,11 @@ def sample_for_review(
     wanted = search.select("_how", "_what").dropna().distinct()
 
     right = (F.col("Ok") == 1) & (F.col("Ok_modelo") == 1)
-    ways = F.array(
-        F.struct(F.lit(_BY_NAME).alias("_how"), F.upper("selected_reference_name").alias("_what")),
-        F.struct(F.lit(_BY_CODE), F.when(right, F.col("selected_reference_code"))),
-        F.struct(F.lit(_BY_LABEL), F.when(right, F.lower("result_label_name"))),
-    )
+    ways = _ways({
+        _BY_NAME: F.upper("selected_reference_name"),
+        _BY_CODE: F.when(right, F.col("selected_reference_code")),
+        _BY_LABEL: F.when(right, F.lower("result_label_name")),
+    })
     columns = ["transaction_id", "transaction_start_time", "device_id", "device_name",
                "selected_reference_name", "result_label_name", "confidence", "Ok", "Ok_modelo", "image_link"]
     rows = (
@@ -146,9 +151,7 @@ def sample_devices_for_review(
     rows = (
         filter_by_transaction_type(tx, mode)
         .filter(F.col("has_image") == 1)
-        .select("*", F.inline(F.array(
-            F.struct(F.lit("id").alias("_how"), number.alias("_what")), F.struct(F.lit("name"), name),
-        )))
+        .select("*", F.inline(_ways({"id": number, "name": name})))
         .filter(F.col("_what").isNotNull())
         .join(marked, ["_how", "_what"])
     )
