@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from fleetcheck.q_rows import analysed
-from fleetcheck.q_sources import with_links
 from fleetcheck.registry import query
 from fleetcheck.tables import Fleet
 from weighlens.operators import datasets, images, review, sampling, suggestions
@@ -40,7 +39,7 @@ def _good(f: Fleet) -> DataFrame:
 
 def _cached(f: Fleet) -> DataFrame:
     from weighlens.sources.lookups import load_cached_transactions
-    return load_cached_transactions(with_links(f))
+    return load_cached_transactions(f.cached)
 
 
 def _candidates(f: Fleet) -> DataFrame:
@@ -127,7 +126,7 @@ _REVIEW_ROWS = """,
 @query("sample_for_review", _REVIEW + _REVIEW_ROWS + """
     select reference_name, name as product_name, type as product_type, parent_similar_name, label_id, transaction_id from chosen""")
 def _(f: Fleet) -> DataFrame:
-    tx = load_review_transactions(with_links(f))
+    tx = load_review_transactions(f.cached)
     return review.sample_for_review(_entries(f), tx, 3).select(
         "reference_name", "product_name", "product_type", "parent_similar_name", "label_id", "transaction_id")
 
@@ -138,7 +137,7 @@ _DEVICE_ROWS = """(select * from (select d.device_name as product_name, t.*, row
 
 @query("sample_devices_for_review", "select product_name, device_id, transaction_id, 'device' as product_type from " + _DEVICE_ROWS + " x")
 def _(f: Fleet) -> DataFrame:
-    tx = load_review_transactions(with_links(f))
+    tx = load_review_transactions(f.cached)
     return review.sample_devices_for_review(f.derived("fx_device_decisions"), tx, 3).select(
         "product_name", "device_id", "transaction_id", "product_type")
 
@@ -314,7 +313,8 @@ _FIRST_KEY = "firsts as (select regexp_extract(path, '^(.*/)', 1) as folder, min
          left join firsts on x.image_link = firsts.folder""")
 def _(f: Fleet) -> DataFrame:
     return training_set.create_dataset(
-        f.derived("fx_decisions"), f.derived("fx_device_decisions"), with_links(f), f.derived("fx_used"), "dataset_1", f.derived("fx_listing"))
+        f.derived("fx_decisions"), f.derived("fx_device_decisions"), f.cached, f.derived("fx_used"), "dataset_1", f.derived("fx_listing"),
+        work_dir=shared_dir(f.spark, "training"))
 
 
 @query("download_summary", _TRAINING + ", " + _FIRST_KEY + """
@@ -323,7 +323,8 @@ def _(f: Fleet) -> DataFrame:
 def _(f: Fleet) -> DataFrame:
     from weighlens.operators.reports import download_summary
     return download_summary(training_set.create_dataset(
-        f.derived("fx_decisions"), f.derived("fx_device_decisions"), with_links(f), f.derived("fx_used"), "dataset_1", f.derived("fx_listing")))
+        f.derived("fx_decisions"), f.derived("fx_device_decisions"), f.cached, f.derived("fx_used"), "dataset_1", f.derived("fx_listing"),
+        work_dir=shared_dir(f.spark, "training")))
 
 
 @query("review_images", _REVIEW + _REVIEW_ROWS + ", " + _FIRST_KEY + """
@@ -339,7 +340,7 @@ def _(f: Fleet) -> DataFrame:
          left join firsts on x.image_link = firsts.folder""")
 def _(f: Fleet) -> DataFrame:
     return image_review.review_images(
-        f.derived("fx_decisions"), f.derived("fx_device_decisions"), with_links(f), f.derived("fx_listing"), 3
+        f.derived("fx_decisions"), f.derived("fx_device_decisions"), f.cached, f.derived("fx_listing"), 3
     ).select("reference_name", "product_name", "product_type", "transaction_id", "s3_key", "s3_url", "local_path", "download_status")
 
 

@@ -10,11 +10,13 @@ from __future__ import annotations
 
 import re
 import threading
+from collections.abc import Callable
 from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from weighlens.operators.images import add_image_info
 from weighlens.operators.labelling import label_transactions
 from weighlens.sources.lookups import load_activations, load_product_descriptions, load_valid_pairs
 from weighlens.storage import shared_dir
@@ -365,7 +367,7 @@ def oracle(sql: str) -> str:
     return f"with {ctes},\n{body[len('with '):]}" if body.startswith("with ") else f"with {ctes}\n{body}"
 
 
-_staged: dict[tuple[str, str], str] = {}
+_paths: dict[tuple[str, str, str], str] = {}
 _lock = threading.Lock()
 
 
@@ -392,13 +394,23 @@ class Fleet:
     @cached_property
     def raw(self) -> DataFrame:
         """Raw transactions, written once per session to the shared folder and read from there."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        return self._staged("transactions", self.build_raw)
+
+    @cached_property
+    def cached(self) -> DataFrame:
+        """Labelled transactions with image links: the extract that later jobs read."""
+        return self._staged("extract", lambda: add_image_info(self.tx, self.derived("fx_folders")))
+
+    def _staged(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         with _lock:
-            if key not in _staged:
-                path = shared_dir(self.spark, "transactions")
-                self.build_raw().write.parquet(path)
-                _staged[key] = path
-        return self.spark.read.parquet(_staged[key])
+            path = _paths.get(key)
+        if path is None:
+            path = shared_dir(self.spark, name)
+            build().write.parquet(path)
+            with _lock:
+                path = _paths.setdefault(key, path)
+        return self.spark.read.parquet(path)
 
     def build_raw(self) -> DataFrame:
         """One nested transaction per order from orders, customer, lineitem and part."""

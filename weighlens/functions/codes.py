@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from weighlens.schemas import EMPTY_TEXT
 
@@ -44,6 +44,13 @@ def normalize_yes_no(answer: Column) -> Column:
     return F.when(F.coalesce(yes, F.lit(False)), F.lit("si")).otherwise(F.lit("no"))
 
 
+def whole_number_in(df: DataFrame, name: str) -> Column:
+    """The column as bigint, parsed only where it is not a whole number already."""
+    if isinstance(df.schema[name].dataType, T.IntegralType):
+        return F.col(name).cast("bigint")
+    return whole_number(F.col(name))
+
+
 def whole_number(text: Column) -> Column:
     """Numeric text to bigint ('20.0' is 20); NULL when it is not a number."""
     trimmed = F.trim(text.cast("string"))

@@ -24,13 +24,14 @@ def parent_folder(path: Column) -> Column:
     return F.regexp_replace(path, "/?[^/]*$", "")
 
 
-def folder_prefixes(path: Column) -> Column:
-    """Every enclosing folder with its trailing slash: 'a/b/c.jpg' gives ['a/', 'a/b/']."""
-    parts = F.split(path, "/")
-    return F.transform(
-        F.slice(parts, 1, F.size(parts) - 1),
-        lambda _, i: F.concat(F.array_join(F.slice(parts, 1, i + 1), "/"), F.lit("/")),
-    )
+def folder_depth(folder: Column) -> Column:
+    """Number of components of a folder with its trailing slash."""
+    return F.size(F.split(folder, "/")) - 1
+
+
+def folder_at(path: Column, depth: Column) -> Column:
+    """First ``depth`` components with the trailing slash: 'a/b/c.jpg' at 2 is 'a/b/'."""
+    return F.concat(F.call_function("substring_index", path, F.lit("/"), depth), F.lit("/"))
 
 
 def clean_image_link(link: Column) -> Column:

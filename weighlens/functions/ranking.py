@@ -6,6 +6,10 @@ same rows.  The cut is found from counts first: the hash space of each group is
 into 4,096 buckets, partial counts per (group, bucket) are summed, and only rows at or
 below the bucket in which the n-th row lies are shuffled for ranking - at most n rows
 plus one bucket of each group, ranked bucket by bucket.
+
+Buckets are grouped as one struct column on purpose: Spark then never takes an earlier
+join's partitioning by the group key for good enough, so the rows of a hot group are
+spread over its buckets, and the join before may be split by adaptive execution.
 """
 
 from __future__ import annotations
@@ -33,8 +37,11 @@ def sample_per_group(
         "_wanted": wanted.cast("bigint"),
     }).filter(F.col("_wanted") > 0)
 
-    counts = keyed.groupBy(*keys, "_bucket").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_wanted").alias("_limit")
+    cell = F.struct(*keys, "_bucket")
+    counts = (
+        keyed.groupBy(cell.alias("_cell"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_wanted").alias("_limit"))
+        .select("_cell.*", "_n", "_limit")
     )
     running = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     cut = (
@@ -47,9 +54,8 @@ def sample_per_group(
         )
     )
     near = keyed.join(cut, keys).filter(F.col("_bucket") <= F.col("_cut"))
-    in_bucket = W.partitionBy(*keys, "_bucket").orderBy("_order", row_id)
     return (
-        near.withColumn("_rank", F.row_number().over(in_bucket))
+        near.withColumn("_rank", F.row_number().over(W.partitionBy(cell).orderBy("_order", row_id)))
         .filter((F.col("_bucket") < F.col("_cut")) | (F.col("_rank") <= F.col("_room")))
         .drop("_order", "_bucket", "_wanted", "_cut", "_room", "_rank")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from weighlens.functions.codes import whole_number
+from weighlens.functions.codes import whole_number_in
 from weighlens.schemas import require
 from weighlens.sources.decisions import marked_for_dataset
 
@@ -35,7 +35,7 @@ def validate_decisions(decisions: DataFrame) -> DataFrame:
     def blank(name: str) -> Column:
         return F.col(name).isNull() | (F.trim(F.col(name).cast("string")) == "")
 
-    label = whole_number(F.col("label_considerar"))
+    label = whole_number_in(decisions, "label_considerar")
     return marked_for_dataset(decisions).withColumns({
         "class": F.trim(F.col("producto_a_entrenar").cast("string")),
         "label_id": label,

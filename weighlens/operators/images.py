@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from weighlens.functions.paths import clean_image_link, folder_prefixes, has_extension
+from weighlens.functions.paths import clean_image_link, folder_at, folder_depth, has_extension
 from weighlens.schemas import FOLDER_EXTENSIONS, IMAGE_EXTENSIONS
 from weighlens.functions.ranking import first_per_group
 from weighlens.sources.lookups import lookup_folders
@@ -35,11 +35,21 @@ def add_image_info(tx: DataFrame, folders: DataFrame, row_order: str | None = No
     )
 
 
+def _with_folders(files: DataFrame, depths: Column, extensions: tuple[str, ...]) -> DataFrame:
+    """Each image once per enclosing folder of the given depths."""
+    return (
+        files.filter(has_extension(F.col("path"), extensions))
+        .select("path", F.explode(depths).alias("_depth"))
+        .filter(F.col("_depth") <= folder_depth(F.col("path")))
+        .select("path", folder_at(F.col("path"), F.col("_depth")).alias("folder"))
+    )
+
+
 def first_image_per_folder(files: DataFrame, extensions: tuple[str, ...] = IMAGE_EXTENSIONS) -> DataFrame:
     """folder (with its trailing slash), first image key in listing order below it."""
+    every = F.sequence(F.lit(1), folder_depth(F.col("path")))
     return (
-        files.filter(has_extension(F.col("path"), extensions))
-        .select("path", F.explode(folder_prefixes(F.col("path"))).alias("folder"))
+        _with_folders(files.filter(F.col("path").contains("/")), every, extensions)
         .groupBy("folder").agg(F.min("path").alias("first_key"))
     )
 
@@ -57,8 +67,10 @@ def resolve_image_keys(rows: DataFrame, files: DataFrame | None = None) -> DataF
     folder = F.when(
         ~has_extension(F.col("_link")), F.concat(F.regexp_replace("_link", "/+$", ""), F.lit("/"))
     )
+    # rows without a folder get a key of their own that matches nothing, so they stay spread out
+    none = F.concat(F.lit("\x00"), F.col("transaction_id").cast("string"))
     return (
-        rows.withColumn("_folder", folder)
+        rows.withColumn("_folder", F.coalesce(folder, none))
         .join(firsts.withColumnRenamed("folder", "_folder"), "_folder", "left")
         .withColumn("s3_key", F.coalesce(direct, "first_key"))
         .drop("_link", "_folder", "first_key")
@@ -74,9 +86,9 @@ def first_n_per_folder(
         "transaction_id",
         F.concat(F.regexp_replace("folder_url", "^/+|/+$", ""), F.lit("/")).alias("folder"),
     )
-    keys = files.filter(has_extension(F.col("path"), extensions)).select(
-        "path", F.explode(folder_prefixes(F.col("path"))).alias("folder")
-    )
+    # only prefixes as deep as a wanted folder: the top folders, which hold everything, drop out
+    depths = wanted.agg(F.collect_set(folder_depth(F.col("folder")))).scalar()
+    keys = _with_folders(files, depths, extensions)
     ranked = first_per_group(
         keys.join(wanted, "folder"), ["transaction_id"], [F.col("path")], max_images, "image_no", "path"
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from weighlens.functions.ranking import first_per_group
 from weighlens.schemas import MIN_ACCURACY_ROWS, is_true, require
@@ -23,7 +23,7 @@ def active_model(
     rows = tx.select(*[c for c in columns if c in tx.columns])
     if per_deployment:
         keys = ["deployment_id"]
-        rows = first_per_group(rows, keys, order, recent, "_n", "transaction_id")
+        rows = first_per_group(_recent_days(rows, recent, newest), keys, order, recent, "_n", "transaction_id")
     else:
         keys = []
         rows = rows.orderBy(*order).limit(recent)
@@ -41,6 +41,27 @@ def active_model(
     )
 
 
+def _recent_days(rows: DataFrame, recent: int, newest: bool) -> DataFrame:
+    """Rows of each deployment's latest days that together hold at least ``recent`` rows.
+
+    Two scans with hash aggregation; ranking alone would sort every row of every task.
+    """
+    day = F.coalesce(F.to_date("transaction_start_time"), F.lit("0001-01-01" if newest else "9999-12-31").cast("date"))
+    rows = rows.withColumn("_day", day)
+    per_day = rows.groupBy("deployment_id", "_day").agg(F.count(F.lit(1)).alias("_rows"))
+    order = F.col("_day").desc() if newest else F.col("_day").asc()
+    before = F.sum("_rows").over(
+        W.partitionBy("deployment_id").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    )
+    edge = F.min("_day") if newest else F.max("_day")
+    cut = (
+        per_day.withColumn("_before", F.coalesce(before, F.lit(0)))
+        .filter(F.col("_before") < recent).groupBy("deployment_id").agg(edge.alias("_edge"))
+    )
+    inside = F.col("_day") >= F.col("_edge") if newest else F.col("_day") <= F.col("_edge")
+    return rows.join(cut, "deployment_id").filter(inside).drop("_day", "_edge")
+
+
 def mark_active(counts: DataFrame, active: DataFrame | int | None) -> DataFrame:
     """Add ``_active``: does the row belong to the active model (always, when none is known)?"""
     if active is None or "model_id" not in counts.columns:

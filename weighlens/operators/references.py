@@ -8,19 +8,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from weighlens.functions.codes import whole_number
+from weighlens.functions.codes import whole_number_in
 from weighlens.functions.quality import is_client, is_manual
 from weighlens.operators.models import mark_active
 from weighlens.schemas import MIN_APPEARANCES, is_false, is_true, percent, require
 
 
 def label_id_of(references: DataFrame) -> Column:
-    return whole_number(F.col("label_id"))
+    return whole_number_in(references, "label_id")
 
 
 def references_with_labels(references: DataFrame, labels: DataFrame) -> DataFrame:
     """Products with ``label_name``; ids are compared as numbers and NULL matches nothing."""
-    names = labels.select(whole_number(F.col("label_id")).alias("_label"), "label_name").dropna(subset=["_label"])
+    names = labels.select(whole_number_in(labels, "label_id").alias("_label"), "label_name").dropna(subset=["_label"])
     return (
         references.withColumn("label_id", label_id_of(references))
         .join(names, F.col("label_id") == F.col("_label"), "left").drop("_label")

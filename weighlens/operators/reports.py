@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from weighlens.functions.codes import normalize_yes_no, whole_number
+from weighlens.functions.codes import normalize_yes_no, whole_number_in
 from weighlens.schemas import IMAGES_PER_PRODUCT, MIN_CLIENT_ROWS, column_or, percent
 
 
@@ -128,7 +128,7 @@ def decision_columns(
     clients = column_or(references, "num_cliente", F.lit(0))
     included = F.coalesce(clients.try_cast("double"), F.lit(0.0)) >= min_client
     trained_class = column_or(references, "producto_trained", F.lit(None).cast("string"))
-    label = whole_number(F.col("label_id")) if "label_id" in references.columns else F.lit(None).cast("bigint")
+    label = whole_number_in(references, "label_id") if "label_id" in references.columns else F.lit(None).cast("bigint")
     columns = {
         "incluir_dataset": F.when(included, F.lit("si")).otherwise(F.lit("no")),
         "devices_incluir": F.lit("devices_seleccionados"),
@@ -154,7 +154,7 @@ def consolidated_references(
 
 def model_class_table(classes: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per class and trained label with the label's name; classes without labels stay."""
-    names = labels.select(whole_number(F.col("label_id")).alias("_label"), "label_name")
+    names = labels.select(whole_number_in(labels, "label_id").alias("_label"), "label_name")
     return classes.join(names, F.col("label_id") == F.col("_label"), "left").select(
         "model_id", "model_code", "class_index",
         F.coalesce("class_name", F.lit("No hay datos de clases disponibles")).alias("class_name"),

@@ -141,10 +141,10 @@ def normalize_times(tx: DataFrame) -> DataFrame:
     columns = {}
     for name in ("transaction_start_time", "transaction_end_time"):
         if name in tx.columns:
-            moment = F.col(name)
-            if isinstance(tx.schema[name].dataType, T.StringType):
-                moment = moment.try_cast("timestamp_ntz")
-            columns[name] = F.date_trunc("second", moment).cast("timestamp_ntz")
+            moment = F.col(name).try_cast("timestamp_ntz")
+            # by seconds, not date_trunc: that goes through the session's time zone
+            seconds = F.extract(F.lit("SECOND"), moment)
+            columns[name] = moment - F.make_dt_interval(secs=seconds - F.floor(seconds))
     if "time" in tx.columns:
         columns["time"] = F.col("time").try_cast("date") if isinstance(
             tx.schema["time"].dataType, T.StringType) else F.to_date("time")
