@@ -73,7 +73,9 @@ def _(f: Fleet) -> DataFrame:
 
 @query("sample_per_device", _TRAINING + " select cast(device_id as string) as valor_motivo, transaction_id, reference_name, class, label as label_id from extra")
 def _(f: Fleet) -> DataFrame:
-    taken = sampling.sample_per_reference(_candidates(f), _good(f))
+    path = shared_dir(f.spark, "taken")
+    sampling.sample_per_reference(_candidates(f), _good(f)).select("transaction_id").write.parquet(path)
+    taken = f.spark.read.parquet(path)
     return sampling.sample_per_device(
         f.derived("fx_device_decisions"), _good(f), _cached(f), taken, f.derived("fx_used")
     ).select("valor_motivo", "transaction_id", "reference_name", "class", "label_id")

@@ -131,7 +131,7 @@ SHARED = {
                     then 'x' else '' end as result_index,
                cast(cast(code as bigint) as string) as selected_reference,
                case when confidence = 'HIGH' then ' Sí ' when confidence = 'MEDIUM' then 'no' else 'TRUE' end as valida
-        from {fx_listed} where model_id = deployment_id * 10""",
+        from {fx_entries} where model_id = deployment_id * 10""",
     "fx_files": """
         select s as dataset, o as set_order, 'class_' || cast(selected_reference_index as string) as class,
                cast(label as string) as label_id,
@@ -169,6 +169,7 @@ SHARED = {
 _TOP5 = [(f"cast(floor(p_partkey / 18.0) as bigint) + {i}", f"p_size - 3 * {i}", f"1e2 / (p_size + {i})") for i in range(5)]
 
 SPARK_ONLY = {
+    "fx_entries": "select *, explode(array_distinct(predicted_codes)) as code from {fx_flat}",
     "fx_suggestions": """
         select lpad(cast(p_partkey as string), 7, '0') as reference_code,
                upper(p_name) || ' ' || cast(p_partkey as string) as reference_name,
@@ -185,6 +186,7 @@ SPARK_ONLY = {
 }
 
 DUCK_ONLY = {
+    "fx_entries": "select *, unnest(list_distinct(predicted_codes)) as code from {fx_flat}",
     "fx_suggestions": """
         select lpad(cast(p_partkey as string), 7, '0') as reference_code,
                upper(p_name) || ' ' || cast(p_partkey as string) as reference_name,
@@ -377,12 +379,18 @@ class Fleet:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+        self._frames: dict[str, DataFrame] = {}
+
     def given(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._frames[name]
 
     def derived(self, name: str) -> DataFrame:
-        text = SHARED.get(name) or SPARK_ONLY[name]
-        return self.spark.sql(text, **{n: self.table(n) for n in _names_in(text)})
+        if name not in self._frames:
+            text = SHARED.get(name) or SPARK_ONLY[name]
+            self._frames[name] = self.spark.sql(text, **{n: self.table(n) for n in _names_in(text)})
+        return self._frames[name]
 
     def table(self, name: str) -> DataFrame:
         if name in BASE:
@@ -503,3 +511,14 @@ class Fleet:
     @cached_property
     def activations(self) -> DataFrame:
         return load_activations(self.derived("fx_activations_raw"), "row_no")
+
+
+_fleets: dict[tuple[str, str], Fleet] = {}
+
+
+def fleet_of(spark: SparkSession, sf_dir: str) -> Fleet:
+    """The session's fleet over a data folder: its lazy tables are defined once."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _fleets or _fleets[key].spark is not spark:
+        _fleets[key] = Fleet(spark, sf_dir.rstrip("/"))
+    return _fleets[key]

@@ -15,15 +15,23 @@ def folder_structure(files: DataFrame, extensions: tuple[str, ...] = IMAGE_EXTEN
 
     ``files`` holds paths relative to the folder that contains the sets.
     """
-    folders = (
+    counted = (
         files.filter(has_extension(F.col("path"), extensions))
         .groupBy(parent_folder(F.col("path")).alias("folder"))
-        .agg(F.count(F.lit(1)).alias("images_count"))
+        .agg(F.count(F.lit(1)).alias("images"))
+    )
+    # each folder with images also tells its parent that it has such a sub-folder
+    signs = counted.select(F.inline(F.array(
+        F.struct("folder", F.col("images"), F.lit(0).alias("child")),
+        F.struct(parent_folder(F.col("folder")).alias("folder"), F.lit(0).cast("bigint").alias("images"), F.lit(1).alias("child")),
+    )))
+    leaves = (
+        signs.groupBy("folder").agg(F.sum("images").alias("images_count"), F.max("child").alias("_child"))
+        .filter((F.col("images_count") > 0) & (F.col("_child") == 0))
     )
-    parents = folders.select(parent_folder(F.col("folder")).alias("folder")).distinct()
     parts = F.split("folder", "/")
     inner = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
-    return folders.join(parents, "folder", "left_anti").select(
+    return leaves.select(
         F.get(parts, F.lit(0)).alias("dataset_name"),
         F.when(F.size(inner) >= 2, F.get(parts, F.size(parts) - 2)).otherwise(F.lit("")).alias("product"),
         F.get(parts, F.size(parts) - 1).alias("label_id"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from weighlens.functions.codes import normalize_yes_no, whole_number_in
 from weighlens.schemas import IMAGES_PER_PRODUCT, MIN_CLIENT_ROWS, column_or, percent
@@ -182,30 +182,34 @@ def run_summary(processed: DataFrame, undefined: DataFrame, top_dates: int = 10)
         "with_image": count_where(F.col("has_image") == 1),
         "images": F.sum("num_images").cast("bigint"),
     }
-    totals = processed.agg(*[m.alias(n) for n, m in measures.items()])
-    rows = totals.select(F.inline(F.array(*[
-        F.struct(F.lit("totals").alias("section"), F.lit(n).alias("metric"), F.col(n).alias("value")) for n in measures
-    ])))
+    # one pass over the rows: sums per (status, date), from which every section is added up
+    cells = processed.groupBy("estado_dispositivo", "fecha_encendido").agg(
+        *[m.alias(f"_{n}") for n, m in measures.items()]
+    )
 
-    def by_value(column: str) -> DataFrame:
-        return processed.groupBy(F.col(column).alias("metric")).agg(total.alias("value"))
+    def entry(section: str, metric: Column, value: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), metric.alias("metric"), value.alias("value"))
 
-    dates = by_value("fecha_encendido").orderBy(F.col("value").desc(), "metric").limit(top_dates)
+    sections = F.array(
+        *[entry("totals", F.lit(n), F.col(f"_{n}")) for n in measures],
+        entry("device_status", F.col("estado_dispositivo"), F.col("_records")),
+        entry("activation", F.col("fecha_encendido"), F.col("_records")),
+    )
+    rows = cells.select(F.inline(sections)).groupBy("section", "metric").agg(F.sum("value").alias("value"))
+    # there are as many dates as days with activations, so ranking them is small
+    place = F.row_number().over(W.partitionBy("section").orderBy(F.col("value").desc(), "metric"))
+    rows = (
+        rows.withColumn("_place", place)
+        .filter((F.col("section") != "activation") | (F.col("_place") <= top_dates)).drop("_place")
+    )
     pairs = undefined.agg(
         count_where(F.col("num_parejas_no_definidas") > 0).alias("deployments"),
         *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in
           ("num_parejas_no_definidas", "num_veces_seleccionadas", "num_veces_listas")],
     )
-    missing = pairs.select(F.inline(F.array(*[
-        F.struct(F.lit("undefined_pairs").alias("section"), F.lit(c).alias("metric"), F.col(c).alias("value"))
-        for c in pairs.columns
-    ])))
-    return (
-        rows
-        .unionByName(by_value("estado_dispositivo").select(F.lit("device_status").alias("section"), "metric", "value"))
-        .unionByName(dates.select(F.lit("activation").alias("section"), "metric", "value"))
-        .unionByName(missing)
-    )
+    return rows.unionByName(pairs.select(F.inline(F.array(*[
+        entry("undefined_pairs", F.lit(c), F.col(c)) for c in pairs.columns
+    ]))))
 
 
 def download_summary(manifest: DataFrame) -> DataFrame:
