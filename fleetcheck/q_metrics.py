@@ -254,7 +254,7 @@ def _(f: Fleet) -> DataFrame:
     return pairs.undefined_pairs(f.tx, f.pairs)
 
 
-@query("run_summary", """
+RUN_SUMMARY = """
     with pairs_of as (select x.transaction_id, count(*) as good from (select transaction_id, deployment_id, result_index, unnest(predicted_codes) as code from {fx_tx}) x
                join {fx_pairs} p on cast(x.deployment_id as string) = p.deployment_id and x.result_index = p.result_index and cast(cast(x.code as bigint) as string) = p.code
                where p.valid group by 1),
@@ -284,7 +284,10 @@ def _(f: Fleet) -> DataFrame:
     union all select 'undefined_pairs', 'deployments', count(*) from und
     union all select 'undefined_pairs', 'num_parejas_no_definidas', cast(sum(n) as bigint) from und
     union all select 'undefined_pairs', 'num_veces_seleccionadas', cast(sum(s) as bigint) from und
-    union all select 'undefined_pairs', 'num_veces_listas', cast(sum(l) as bigint) from und""")
+    union all select 'undefined_pairs', 'num_veces_listas', cast(sum(l) as bigint) from und"""
+
+
+@query("run_summary", RUN_SUMMARY)
 def _(f: Fleet) -> DataFrame:
     processed = candidates.processed_transactions(
         f.tx, f.pairs, f.activations, f.derived("fx_folders"), models.accuracy_stats(f.tx, 2))

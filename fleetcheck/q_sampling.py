@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from fleetcheck.q_metrics import RUN_SUMMARY
 from fleetcheck.q_rows import analysed
 from fleetcheck.registry import query
 from fleetcheck.tables import Fleet
@@ -292,7 +293,7 @@ def _(f: Fleet) -> DataFrame:
     return _table_counts(f, written)
 
 
-@query("candidate_report", None)
+@query("candidate_report", RUN_SUMMARY)
 def _(f: Fleet) -> DataFrame:
     written = candidates.candidate_report(
         f.tx, f.pairs, f.descriptions, f.activations, f.derived("fx_folders"), shared_dir(f.spark, "candidates"), 2)
