@@ -153,6 +153,15 @@ def _(f: Fleet) -> DataFrame:
     return images.first_n_per_folder(f.derived("fx_folders"), f.derived("fx_listing"), 2)
 
 
+@query("all_images_per_folder", """
+    select transaction_id, path as s3_key, cast(rn as bigint) as image_no, transaction_id || '_' || cast(rn as string) || '.jpg' as filename
+    from (select d.transaction_id, l.path, row_number() over (partition by d.transaction_id order by l.path) as rn
+          from {fx_folders} d join {fx_listing} l on d.folder_url = regexp_extract(l.path, '^(.*/)', 1)) a""")
+def _(f: Fleet) -> DataFrame:
+    return images.first_n_per_folder(
+        f.derived("fx_folders"), f.derived("fx_listing"), None, work_dir=shared_dir(f.spark, "numbered"))
+
+
 @query("latest_per_transaction", """
     select transaction_id, cast(device_id as string) as device_id, transaction_start_time from {fx_tx}
     where transaction_metric <> 'GFRSUSERPROCESSCOM03' or confidence = 'HIGH'""")
@@ -271,26 +280,40 @@ def _(f: Fleet) -> DataFrame:
 
 # Jobs
 
-_TABLES = ("active_model", "products", "devices", "summary_stats", "labels", "model_classes", "summary", "consistency")
-
+@query("quality_report", """
+    select 'products' as table_name, reference_code as key, coalesce(label_name, '') as name, num_cliente, num_manuales, pct_ok_sistema, pct_ok_modelo,
+           case when num_cliente >= 8 then 'si' else 'no' end as include from {fx_analysed}
+    union all select 'devices', cast(device_id as string), device_name, num_cliente, num_manual, pct_ok_sistema, pct_ok_modelo, 'si' from {fx_devices}
+    union all select 'active_model', cast(deployment_id as string), cast(model_id as string), frequency, total_records, percentage, 0, '' from {fx_active}
+    union all select 'labels', cast(label_id as string), label_name, 0, 0, 0, 0, '' from {fx_labels}
+    union all select 'model_classes', class_name, '', count(*), count(label_id), 0, 0, '' from {fx_classes} group by class_name
+    union all select 'consistency', '', '', 7, 0, 0, 0, ''
+    union all select 'summary', '', '', 11 + 3 * count(*), 0, 0, 0, '' from {fx_active}""")
+def _(f: Fleet) -> DataFrame:
+    """Every table of the written report, read back."""
+    written = quality.quality_report(
+        f.tx, f.derived("fx_references"), f.derived("fx_labels"), f.derived("fx_classes"), shared_dir(f.spark, "quality"), 8)
 
-def _table_counts(f: Fleet, written: dict[str, str]) -> DataFrame:
-    rows = [f.spark.read.parquet(p).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("table_name"), "n")
-            for t, p in sorted(written.items())]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    def part(table: str, key: str, name: str, *values: str) -> DataFrame:
+        exprs = [v if " as " in v else f"{v} as {n}" for v, n in zip(values, ("num_cliente", "num_manuales", "pct_ok_sistema", "pct_ok_modelo", "include"))]
+        return f.spark.read.parquet(written[table]).selectExpr(f"'{table}' as table_name", f"cast({key} as string) as key", f"{name} as name", *exprs)
 
+    def counted(table: str, group: str, filled: str) -> DataFrame:
+        return f.spark.read.parquet(written[table]).groupBy(F.expr(group).alias("key")).agg(
+            F.count(F.lit(1)).alias("num_cliente"), F.expr(filled).alias("num_manuales")
+        ).selectExpr(f"'{table}' as table_name", "key", "'' as name", "num_cliente", "num_manuales", "0D as pct_ok_sistema", "0D as pct_ok_modelo", "'' as include")
 
-@query("quality_report", " union all ".join(f"select '{t}' as table_name, {e}" for t, e in {
-    "active_model": "count(*) as n from {fx_active}", "products": "count(*) from {fx_references}", "devices": "count(*) from {fx_devices}",
-    "summary_stats": "1", "labels": "count(*) from {fx_labels}", "model_classes": "count(*) from {fx_classes}",
-    "summary": "3 + 5 + 3 + 3 * count(*) from {fx_active}", "consistency": "7"}.items()))
-def _(f: Fleet) -> DataFrame:
-    written = quality.quality_report(
-        f.tx, f.derived("fx_references"), f.derived("fx_labels"), f.derived("fx_classes"), shared_dir(f.spark, "quality"), 8)
-    return _table_counts(f, written)
+    rows = part("products", "reference_code", "coalesce(label_name, '')", "num_cliente", "num_manuales", "pct_ok_sistema", "pct_ok_modelo", "incluir_dataset")
+    for other in (
+        part("devices", "device_id", "device_name", "num_cliente", "num_manual", "pct_ok_sistema", "pct_ok_modelo", "incluir_dataset"),
+        part("active_model", "deployment_id", "cast(model_id as string)", "frequency", "total_records", "percentage", "0D", "''"),
+        part("labels", "label_id", "label_name", "0L", "0L", "0D", "0D", "''"),
+        counted("model_classes", "class_name", "count(label_id)"),
+        counted("consistency", "''", "0L"),
+        counted("summary", "''", "0L"),
+    ):
+        rows = rows.unionByName(other)
+    return rows
 
 
 @query("candidate_report", RUN_SUMMARY)
@@ -369,10 +392,20 @@ def _(f: Fleet) -> DataFrame:
 
 
 @query("register_dataset", """
-    select 'registry' as table_name, count(*) + 1 as n from {fx_registry} union all select 'summary', count(*) from (""" + _SUMMARY + """) s
-    union all select 'totals', 1""")
+    select 'registry' as table_name, dataset_name as key, created_at as value from {fx_registry}
+    union all select 'registry', 'set_new', '15/06/1998'
+    union all select 'summary', filename || '|' || clase, coalesce(device_id, '') from (""" + _SUMMARY + """) s
+    union all select 'totals', cast(count(*) as string), cast(count(distinct class || '/' || label_id) as string) from {fx_files}""")
 def _(f: Fleet) -> DataFrame:
     written = registry.register_dataset(
         f.derived("fx_registry"), f.derived("fx_files"), [f.derived("fx_log")], "set_new", "15/06/1998", "3", "", "all", "s3://x/y",
         shared_dir(f.spark, "registry"))
-    return _table_counts(f, written)
+
+    def part(table: str, key: str, value: str) -> DataFrame:
+        return f.spark.read.parquet(written[table]).selectExpr(f"'{table}' as table_name", f"{key} as key", f"{value} as value")
+
+    return (
+        part("registry", "dataset_name", "created_at")
+        .unionByName(part("summary", "filename || '|' || clase", "coalesce(device_id, '')"))
+        .unionByName(part("totals", "cast(files as string)", "cast(folders as string)"))
+    )

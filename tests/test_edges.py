@@ -257,11 +257,13 @@ def test_folder_files(rows):
     assert mapped(rows, texts, lambda c: F.size(images.folder_file_list(c))) == [2, 0, 0, 0, 0, 0, 1]
 
 
-def test_first_image_in_nested_folders(rows):
+def test_first_image_in_nested_folders(rows, tmp_path):
     listing = rows([("f/1/b.jpg",), ("f/1/sub/a.JPG",), ("f/10/a.png",), ("f/1/a.txt",), ("top.jpg",)], "path string")
     folders = rows([("t1", "/f/1/"), ("t2", "f/10"), ("t3", None), ("t4", "f/9/")], "transaction_id string, folder_url string")
     got = {(r.transaction_id, r.s3_key, r.filename) for r in images.first_n_per_folder(folders, listing, 5).collect()}
     assert got == {("t1", "f/1/b.jpg", "t1_1.jpg"), ("t1", "f/1/sub/a.JPG", "t1_2.jpg"), ("t2", "f/10/a.png", "t2_1.jpg")}
+    every = images.first_n_per_folder(folders, listing, None, work_dir=str(tmp_path / "work"))
+    assert {(r.transaction_id, r.s3_key, r.filename) for r in every.collect()} == got
     links = rows([("1", "/f/1/"), ("2", "f/10"), ("3", "x/y.gif"), ("4", "none"), ("5", "f/9")], "transaction_id string, image_link string")
     keys = {r.transaction_id: r.s3_key for r in images.resolve_image_keys(links, listing).collect()}
     assert keys == {"1": "f/1/b.jpg", "2": "f/10/a.png", "3": "x/y.gif", "4": None, "5": None}

@@ -6,7 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from weighlens.functions.ranking import first_per_group, sample_per_group
+from weighlens.functions.ranking import first_per_group, number_all, sample_per_group
 from weighlens.operators.sampling import dataset_candidates, exclude_used, limit_decisions, sample_per_device, sample_per_reference
 
 
@@ -116,3 +116,11 @@ def test_limit_decisions_is_reproducible(small):
     a = [r.reference_code for r in limit_decisions(decisions, "reference_code", 2).collect()]
     assert len(a) == 2 and a == [r.reference_code for r in limit_decisions(decisions.repartition(3), "reference_code", 2).collect()]
     assert limit_decisions(decisions, "reference_code", None).count() == 3
+
+
+def test_number_all(skewed, tmp_path):
+    got = number_all(skewed, ["key"], ["tx"], "rank", str(tmp_path / "work")).collect()
+    groups = defaultdict(list)
+    for r in skewed.collect():
+        groups[r.key].append(r.tx)
+    assert {(r.key, r.tx, r["rank"]) for r in got} == {(k, tx, i) for k, v in groups.items() for i, tx in enumerate(sorted(v), 1)}

@@ -69,13 +69,33 @@ def first_per_group(
     Up to 1,000 Spark itself keeps only n rows per group and task before the shuffle.
     Beyond that each group is first cut to n rows per slice of its hash space.
     """
+    group = F.struct(*keys)  # one struct column, for the reason given above
     if n > _GROUP_LIMIT:
-        sliced = rows.withColumn("_slice", F.pmod(F.xxhash64(row_id), F.lit(_SLICES)))
-        within = W.partitionBy(*keys, "_slice").orderBy(*order)
-        rows = (
-            sliced.withColumn("_rank", F.row_number().over(within))
-            .filter(F.col("_rank") <= n)
-            .drop("_rank", "_slice")
-        )
-    window = W.partitionBy(*keys).orderBy(*order)
+        within = W.partitionBy(F.struct(group, F.pmod(F.xxhash64(row_id), F.lit(_SLICES)))).orderBy(*order)
+        rows = rows.withColumn("_rank", F.row_number().over(within)).filter(F.col("_rank") <= n).drop("_rank")
+    window = W.partitionBy(group).orderBy(*order)
     return rows.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
+
+
+def number_all(rows: DataFrame, keys: list[str], order: list[str], rank: str, work_dir: str) -> DataFrame:
+    """1-based position of every row in its group, however large the group is.
+
+    The rows are written once in range partitions of (keys, order), so that the partition
+    numbers are fixed; positions are counted inside each and shifted by the sizes before it.
+    """
+    spark = rows.sparkSession
+    (
+        rows.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id())
+        .write.parquet(work_dir)
+    )
+    kept = spark.read.schema(f"{_ddl(rows)}, _part int").parquet(work_dir)
+    cell = F.struct(*keys, "_part")
+    sizes = kept.groupBy(cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_n")).select("_cell.*", "_n")
+    running = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    shifts = sizes.withColumn("_shift", F.coalesce(F.sum("_n").over(running), F.lit(0))).drop("_n")
+    position = F.row_number().over(W.partitionBy(cell).orderBy(*order)) + F.col("_shift")
+    return kept.join(shifts, [*keys, "_part"]).withColumn(rank, position).drop("_part", "_shift")
+
+
+def _ddl(rows: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)

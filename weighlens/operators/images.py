@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from weighlens.functions.paths import clean_image_link, folder_at, folder_depth, has_extension
 from weighlens.schemas import FOLDER_EXTENSIONS, IMAGE_EXTENSIONS
-from weighlens.functions.ranking import first_per_group
+from weighlens.functions.ranking import first_per_group, number_all
 from weighlens.sources.lookups import lookup_folders
 
 
@@ -78,10 +78,13 @@ def resolve_image_keys(rows: DataFrame, files: DataFrame | None = None) -> DataF
 
 
 def first_n_per_folder(
-    folders: DataFrame, files: DataFrame, max_images: int,
-    extensions: tuple[str, ...] = FOLDER_EXTENSIONS,
+    folders: DataFrame, files: DataFrame, max_images: int | None,
+    extensions: tuple[str, ...] = FOLDER_EXTENSIONS, work_dir: str | None = None,
 ) -> DataFrame:
-    """First images below each transaction's folder in listing order, named ``<id>_<i>.jpg``."""
+    """First images below each transaction's folder in listing order, named ``<id>_<i>.jpg``.
+
+    Without ``max_images`` all of them, numbered by way of the shared ``work_dir``.
+    """
     wanted = folders.filter(F.col("folder_url").isNotNull()).select(
         "transaction_id",
         F.concat(F.regexp_replace("folder_url", "^/+|/+$", ""), F.lit("/")).alias("folder"),
@@ -89,9 +92,11 @@ def first_n_per_folder(
     # only prefixes as deep as a wanted folder: the top folders, which hold everything, drop out
     depths = wanted.agg(F.collect_set(folder_depth(F.col("folder")))).scalar()
     keys = _with_folders(files, depths, extensions)
-    ranked = first_per_group(
-        keys.join(wanted, "folder"), ["transaction_id"], [F.col("path")], max_images, "image_no", "path"
-    )
+    found = keys.join(wanted, "folder").drop("folder")
+    if max_images is None:
+        ranked = number_all(found, ["transaction_id"], ["path"], "image_no", work_dir)
+    else:
+        ranked = first_per_group(found, ["transaction_id"], [F.col("path")], max_images, "image_no", "path")
     return ranked.select(
         "transaction_id", F.col("path").alias("s3_key"), "image_no",
         F.concat(F.col("transaction_id"), F.lit("_"), F.col("image_no"), F.lit(".jpg")).alias("filename"),
@@ -118,8 +123,11 @@ def extract_image_urls(tx: DataFrame, max_images: int | None = None, codes: Data
     )
     if codes is not None:
         urls = urls.join(codes.select("reference_code"), "reference_code", "left_semi")
-    first = urls.groupBy("reference_code", "url").agg(
-        F.min(F.struct("pos", "transaction_start_time", "transaction_id")).alias("first_seen")
+    # one struct key: a semi join by code before must not decide where a hot code is summed up
+    first = (
+        urls.groupBy(F.struct("reference_code", "url").alias("_key"))
+        .agg(F.min(F.struct("pos", "transaction_start_time", "transaction_id")).alias("first_seen"))
+        .select("_key.*", "first_seen")
     )
     if max_images is None:
         return first

@@ -11,7 +11,8 @@ from weighlens.sources.lookups import lookup_folder_urls
 
 
 def folder_download_plan(
-    requests: DataFrame, transactions: DataFrame, folders: DataFrame, files: DataFrame, base: str, max_images: int
+    requests: DataFrame, transactions: DataFrame, folders: DataFrame, files: DataFrame, base: str,
+    max_images: int | None = None, work_dir: str | None = None,
 ) -> DataFrame:
     """First images of every requested transaction and the folder its request row builds.
 
@@ -26,7 +27,7 @@ def folder_download_plan(
         )).alias("target_folder"),
     )
     known = lookup_folder_urls(wanted, transactions, folders)
-    images = first_n_per_folder(known, files, max_images)
+    images = first_n_per_folder(known, files, max_images, work_dir=work_dir)
     return wanted.join(images, "transaction_id").withColumn(
         "local_path", F.concat_ws("/", "target_folder", "filename")
     )
