@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 from fleetcheck.q_metrics import RUN_SUMMARY
 from fleetcheck.q_rows import analysed
 from fleetcheck.registry import query
-from fleetcheck.tables import Fleet
+from fleetcheck.tables import AS_OF, Fleet
 from weighlens.operators import datasets, images, review, sampling, suggestions
 from weighlens.operators.checks import validate_decisions
-from weighlens.plans import candidates, downloads, image_review, quality, registry, training_set
+from weighlens.plans import candidates, downloads, extract, image_review, quality, registry, training_set
 from weighlens.sources.decisions import marked_for_dataset, marked_for_review
 from weighlens.sources.lookups import load_review_transactions
 from weighlens.storage import shared_dir
@@ -280,6 +280,29 @@ def _(f: Fleet) -> DataFrame:
 
 # Jobs
 
+
+@query("deployment_extract", """
+    select transaction_id, deployment_id, Result, Result_modelo, has_image, cast(num_images as int) as num_images, image_link, "Date" from {fx_images}
+    where deployment_id = 5 and model_id = 50 and transaction_start_time >= timestamp '1995-09-19' and transaction_start_time < timestamp '1998-06-16'""")
+def _(f: Fleet) -> DataFrame:
+    """One deployment's extract, written by deployment and read back."""
+    path = shared_dir(f.spark, "deployment")
+    extract.write_extract(
+        extract.deployment_extract(f.raw, f.derived("fx_deployments"), f.derived("fx_folders"), 5, AS_OF, 1000, 999), path)
+    return f.spark.read.parquet(path).filter("deployment_id = 5").select(
+        "transaction_id", "deployment_id", "Result", "Result_modelo", "has_image", "num_images", "image_link", "Date")
+
+
+@query("write_manifest", _TRAINING + """
+    select class, label, count(*) as n from (select class, label from picked union all select class, label from extra) x group by 1, 2""")
+def _(f: Fleet) -> DataFrame:
+    """The training set's manifest in its folder layout, read back."""
+    path = shared_dir(f.spark, "manifest")
+    training_set.write_manifest(training_set.create_dataset(
+        f.derived("fx_decisions"), f.derived("fx_device_decisions"), f.cached, f.derived("fx_used"), "dataset_1",
+        work_dir=shared_dir(f.spark, "training")), path)
+    return f.spark.read.parquet(path).groupBy("class", "label").agg(F.count(F.lit(1)).alias("n"))
+
 @query("quality_report", """
     select 'products' as table_name, reference_code as key, coalesce(label_name, '') as name, num_cliente, num_manuales, pct_ok_sistema, pct_ok_modelo,
            case when num_cliente >= 8 then 'si' else 'no' end as include from {fx_analysed}

@@ -16,8 +16,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weighlens.operators.images import add_image_info
 from weighlens.operators.labelling import label_transactions
+from weighlens.plans.extract import transaction_extract
 from weighlens.sources.lookups import load_activations, load_product_descriptions, load_valid_pairs
 from weighlens.storage import shared_dir
 
@@ -407,7 +407,7 @@ class Fleet:
     @cached_property
     def cached(self) -> DataFrame:
         """Labelled transactions with image links: the extract that later jobs read."""
-        return self._staged("extract", lambda: add_image_info(self.tx, self.derived("fx_folders")))
+        return self._staged("extract", lambda: transaction_extract(self.raw, self.derived("fx_folders")))
 
     def _staged(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from weighlens.functions.times import time_text
 from weighlens.schemas import IMAGE_EXTENSIONS, URL_EXTENSIONS
 
 
@@ -43,8 +44,7 @@ def clean_image_link(link: Column) -> Column:
 
 def dataset_filename(start_time: Column, transaction_id: Column, key: Column) -> Column:
     """``<yyyyMMddHHmmss>_<transaction>_<original name>`` with a known image extension."""
-    text = F.substring(start_time.try_cast("timestamp_ntz").cast("string"), 1, 19)
-    stamp = F.coalesce(F.regexp_replace(text, "[^0-9]", ""), F.lit("0" * 14))
+    stamp = F.coalesce(F.regexp_replace(time_text(start_time), "[^0-9]", ""), F.lit("0" * 14))
     name = F.coalesce(base_name(key), F.lit(""))
     extension = F.regexp_extract(name, r"^.+(\.[^.]+)$", 1)
     stem = F.when(extension != "", F.regexp_replace(name, r"\.[^.]+$", "")).otherwise(name)

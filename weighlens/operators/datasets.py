@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from weighlens.functions.paths import base_name, filename_transaction_id, has_extension, parent_folder
+from weighlens.functions.times import time_text
 from weighlens.schemas import IMAGE_EXTENSIONS, REGISTRY, column_or, require
 
 
@@ -71,7 +72,7 @@ def dataset_summary(files: DataFrame, sources: list[DataFrame]) -> DataFrame:
     known = latest_per_transaction(sources)
     return images.join(known, "transaction_id", "left").select(
         "transaction_id", "device_id",
-        F.date_format("transaction_start_time", "yyyy-MM-dd HH:mm:ss").alias("transaction_start_time"),
+        time_text(F.col("transaction_start_time")).alias("transaction_start_time"),
         F.to_date("transaction_start_time").alias("Date"),
         "clase", "label_id", "filename", "file_name_path",
     )

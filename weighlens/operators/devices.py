@@ -100,7 +100,7 @@ def add_activation_label(tx: DataFrame, activations: DataFrame) -> DataFrame:
         F.when(F.col("_device").isNull(), F.lit(""))
         .when(F.col("_listed").isNull(), F.lit("No en archivo"))
         .when(F.col("_activated").isNull(), F.lit("Sin fecha"))
-        .otherwise(F.date_format("_activated", "yyyy-MM-dd"))
+        .otherwise(F.to_date("_activated").cast("string"))
     )
     return (
         _with_activation(tx, activations).withColumn("fecha_encendido", label)

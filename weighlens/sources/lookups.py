@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from weighlens.functions.codes import answer_is, normalize_code, strip_decimal_suffix, whole_number
+from weighlens.functions.times import parse_time
 from weighlens.schemas import YES_VALID_PAIR, require
 
 
@@ -57,20 +58,12 @@ def load_product_descriptions(raw: DataFrame, row_order: str | None = None) -> D
     )
 
 
-# Fixed date formats of the activation file.
-_ACTIVATION_FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy", "yyyy-MM-dd HH:mm:ss", "dd/MM/yyyy HH:mm:ss")
-
-
 def load_activations(raw: DataFrame, row_order: str | None = None) -> DataFrame:
     """device_id, activated_at (NULL when listed without a usable date); the last row wins."""
     require(raw, "device_id")
     order = F.col(row_order) if row_order else F.monotonically_increasing_id()
     name = next((c for c in ("fecha_encendido", "Fecha encendido", "Fecha_encendido") if c in raw.columns), None)
-    text = F.trim(F.col(name).cast("string")) if name else F.lit(None).cast("string")
-    moment = F.coalesce(
-        *[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in _ACTIVATION_FORMATS],
-        text.try_cast("timestamp_ntz"),
-    )
+    moment = parse_time(F.col(name).cast("string")) if name else F.lit(None).cast("timestamp_ntz")
     return (
         raw.select(
             strip_decimal_suffix(F.col("device_id")).alias("device_id"),
