@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as contract
 from conftest import SMALL
 from fleetcheck.compare import compare, connect
+from fleetcheck.registry import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -23,4 +24,4 @@ def test_entry_has_rows(spark):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
