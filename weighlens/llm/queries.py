@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weighlens.llm import histogram_shards, poisson_mix, secret_ledger
+from weighlens.llm import decontaminate, histogram_shards, poisson_mix, quality_eb, secret_ledger, token_files, toxic_crf, warc_index
 from weighlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,17 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_round_trip(table(spark, sf_dir, "documents"), tokenizer_file(), tokens=False)
+
+
 @query
 def op2_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = histogram_shards.shard_by_bytes(table(spark, sf_dir, "documents"), shards=16)
@@ -26,11 +37,22 @@ def op2_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc_index.archive_round_trip(table(spark, sf_dir, "pages"), payloads=False, least_bytes=0)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op5_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return poisson_mix.mix_sources(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_ledger.BlobLedger(spark).scan(table(spark, sf_dir, "documents"))
@@ -38,3 +60,19 @@ def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns(counts | {"spans": secret_ledger.span_text(F.col("findings"))}).select(
         "doc_id", *counts, F.sha2(F.col("spans").cast("binary"), 256).alias("base_sha256"), "spans"
     )
+
+
+@query
+def op8_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    model = toxic_crf.train(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    return toxic_crf.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans"
+    )
+
+
+@query
+def op10_quality_eb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_eb.add_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "source", "lang", "evidence", "host_rate", "path_rate", "quality", "keep")
