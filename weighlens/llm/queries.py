@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weighlens.llm import decontaminate, histogram_shards, poisson_mix, quality_eb, secret_ledger, token_files, toxic_crf, warc_index
+from weighlens.llm import (
+    binary_codes, decontaminate, histogram_shards, poisson_mix, quality_eb, secret_ledger, signature_join, token_files, toxic_crf, warc_index,
+)
 from weighlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +39,11 @@ def op2_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_binary_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return binary_codes.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = warc_index.archive_round_trip(table(spark, sf_dir, "pages"), payloads=False, least_bytes=0)
@@ -72,6 +79,11 @@ def op8_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_join.join_near_copies(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_quality_eb(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_eb.add_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
