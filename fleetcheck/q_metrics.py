@@ -179,9 +179,9 @@ def _(f: Fleet) -> DataFrame:
 
 
 @query("one_sided_references", """
-    (select 'SOLO SIN ASIGNAR' as categoria, reference_code from {fx_analysed} where label_id is null and is_trained_elastic order by 2 limit 20)
+    (select 'SOLO SIN ASIGNAR' as categoria, reference_code from {fx_analysed} where label_id is null and is_trained_elastic)
     union all
-    (select 'SOLO NO ENTRENADAS', reference_code from {fx_analysed} where label_id is not null and not is_trained_elastic order by 2 limit 20)""")
+    (select 'SOLO NO ENTRENADAS', reference_code from {fx_analysed} where label_id is not null and not is_trained_elastic)""")
 def _(f: Fleet) -> DataFrame:
     rows = analysed(f)
     return reports.one_sided_references(rows.filter("label_id is null"), rows.filter("not is_trained_elastic"))
@@ -280,7 +280,7 @@ RUN_SUMMARY = """
             where e.code is not null and p.valid is null group by 1)
     select 'totals' as section, metric, value from m
     union all select 'device_status', state, count(*) from states group by 2
-    union all select * from (select 'activation', day, count(*) from states group by 2 order by 3 desc, 2 limit 10) x
+    union all select * from (select 'activation', day, count(*) from states group by 2) x
     union all select 'undefined_pairs', 'deployments', count(*) from und
     union all select 'undefined_pairs', 'num_parejas_no_definidas', cast(sum(n) as bigint) from und
     union all select 'undefined_pairs', 'num_veces_seleccionadas', cast(sum(s) as bigint) from und

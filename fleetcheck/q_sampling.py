@@ -19,7 +19,7 @@ from weighlens.storage import shared_dir
 _GOOD = """good as (select *, trim(producto_a_entrenar) as class, cast(try_cast(label_considerar as double) as bigint) as label
     from {fx_decisions} where lower(trim(incluir_dataset)) in ('si', 'sí') and producto_a_entrenar is not null and try_cast(label_considerar as double) is not null)"""
 _DEVICES = "(select cast(cast(device_id as bigint) as string) from {fx_device_decisions} where lower(trim(incluir_dataset)) in ('si', 'sí'))"
-_CACHED = "cached as (select * from {fx_images} where selected_reference_code is not null and image_link is not null)"
+_CACHED = "cached as (select * from {fx_images} where selected_reference_code is not null and image_link <> '')"
 _CANDIDATES = """candidates as (select g.reference_code, g.reference_name, g.class, g.label, g.num_imagenes_dataset, t.transaction_id, t.transaction_start_time, t.device_id, t.image_link
     from good g join cached t on g.reference_code = t.selected_reference_code
     where t.transaction_id not in (select transaction_id from {fx_used}) and cast(t.device_id as string) in """ + _DEVICES + ")"
@@ -300,7 +300,7 @@ def _(f: Fleet) -> DataFrame:
     path = shared_dir(f.spark, "manifest")
     training_set.write_manifest(training_set.create_dataset(
         f.derived("fx_decisions"), f.derived("fx_device_decisions"), f.cached, f.derived("fx_used"), "dataset_1",
-        work_dir=shared_dir(f.spark, "training")), path)
+        work_dir=shared_dir(f.spark, "training"), skip_bad=True), path)
     return f.spark.read.parquet(path).groupBy("class", "label").agg(F.count(F.lit(1)).alias("n"))
 
 @query("quality_report", """
@@ -363,7 +363,7 @@ _FIRST_KEY = "firsts as (select regexp_extract(path, '^(.*/)', 1) as folder, min
 def _(f: Fleet) -> DataFrame:
     return training_set.create_dataset(
         f.derived("fx_decisions"), f.derived("fx_device_decisions"), f.cached, f.derived("fx_used"), "dataset_1", f.derived("fx_listing"),
-        work_dir=shared_dir(f.spark, "training"))
+        work_dir=shared_dir(f.spark, "training"), skip_bad=True)
 
 
 @query("download_summary", _TRAINING + ", " + _FIRST_KEY + """
@@ -373,7 +373,7 @@ def _(f: Fleet) -> DataFrame:
     from weighlens.operators.reports import download_summary
     return download_summary(training_set.create_dataset(
         f.derived("fx_decisions"), f.derived("fx_device_decisions"), f.cached, f.derived("fx_used"), "dataset_1", f.derived("fx_listing"),
-        work_dir=shared_dir(f.spark, "training")))
+        work_dir=shared_dir(f.spark, "training"), skip_bad=True))
 
 
 @query("review_images", _REVIEW + _REVIEW_ROWS + ", " + _FIRST_KEY + """

@@ -127,10 +127,10 @@ def _(f: Fleet) -> DataFrame:
 
 
 @query("read_semicolon_csv", """
-    select transaction_id, folder_url, folder_files from {fx_folders} where folder_url is not null""")
+    select transaction_id, folder_url, folder_files from {fx_folders}""")
 def _(f: Fleet) -> DataFrame:
     path = shared_dir(f.spark, "csv")
-    write_semicolon_csv(f.derived("fx_folders").filter("folder_url is not null"), path)
+    write_semicolon_csv(f.derived("fx_folders"), path)
     return lookups.read_semicolon_csv(f.spark, path, "transaction_id string, folder_url string, folder_files string")
 
 
@@ -156,7 +156,7 @@ def with_links(f: Fleet) -> DataFrame:
 
 @query("load_cached_transactions", """
     select transaction_id, selected_reference_code, image_link from {fx_images}
-    where selected_reference_code is not null and image_link is not null""")
+    where selected_reference_code is not null and image_link <> ''""")
 def _(f: Fleet) -> DataFrame:
     return lookups.load_cached_transactions(with_links(f)).select("transaction_id", "selected_reference_code", "image_link")
 

@@ -340,7 +340,7 @@ def test_deployment_id_check():
 
 def test_clean_for_export(rows):
     df = rows([("a\x00b" + "x" * 40000, float("inf"), None, ["q"]), (None, float("nan"), 3, None)], "t string, d double, i int, l array<string>")
-    a, b = checks.clean_for_export(df).collect()
+    a, b = checks.clean_for_export(df, checks.CELL_LIMIT).collect()
     assert len(a.t) == 32767 and a.t.startswith("abx") and (a.d, a.i, a.l) == (0.0, 0, '["q"]')
     assert tuple(b) == ("", 0.0, 3, "")
 
@@ -367,3 +367,83 @@ def test_list_image_files(spark, tmp_path):
     got = files.list_image_files(spark, str(tmp_path))
     assert {(r.path.rsplit("/", 1)[1], r.length) for r in got.collect()} == {("x.JPG", 5), ("y.png", 5)}
     assert "content" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_csv_copies_hold_whole_texts(rows, spark, tmp_path):
+    from weighlens.sinks.tables import write_report
+    write_report({"long": rows([("x" * 40_000,)], "t string")}, str(tmp_path), csv_copy=True)
+    assert spark.read.option("sep", ";").option("header", True).csv(f"{tmp_path}/long_csv").first().t == "x" * 40_000
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from weighlens.storage import NoSharedFolder, shared_dir
+
+    def session(**settings):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda name, default=None: settings.get(name.replace(".", "_"), default)))
+
+    for master in ("spark://host:7077", "local-cluster[3,2,1000]", "yarn"):
+        with pytest.raises(NoSharedFolder):
+            shared_dir(session(spark_master=master), "x")
+        assert shared_dir(session(spark_master=master, spark_checkpoint_dir="hdfs://c/"), "x").startswith("hdfs://c/x-")
+    assert shared_dir(session(spark_master="local[4]"), "x")
+
+
+def test_flags_as_numbers_and_unknown_keys_in_json(rows):
+    from weighlens.sources.transactions import flatten_transactions
+    tx = rows([(1, '{"selected_reference_is_trained": 1, "image": "u", "n": {"a": 2}}'), (2, '{"selected_reference_is_trained": 0}'),
+               (3, '{"selected_reference_is_trained": true, "topk": 3}'), (4, "broken"), (5, None)], "id int, transaction_data string")
+    got = {r.id: (r.selected_reference_is_trained, r.topk, r.rest) for r in flatten_transactions(tx, other_keys="rest").collect()}
+    assert got == {1: (True, None, {"image": "u", "n": '{"a":2}'}), 2: (False, None, {}), 3: (True, 3, {}), 4: (None, None, got[4][2]), 5: (None, None, None)}
+
+
+def test_number_flags_count_as_trained(rows):
+    from weighlens.operators.pairs import candidate_pairs
+    tx = rows([(1, 5, "a", "A", 1, [], []), (1, 5, "a", "A", 1, [], []), (1, 5, "b", "B", 0, [], [])],
+              "deployment_id int, result_index int, selected_reference_code string, selected_reference_name string, selected_reference_is_trained int, predicted_codes array<string>, predicted_names array<string>")
+    assert {r.selected_reference: r.is_trained for r in candidate_pairs(tx).collect()} == {"a": "True", "b": "False"}
+
+
+def test_objects_inside_listed_objects_are_flattened(rows):
+    df = rows([('{"a": [{"b": {"c": 1}, "d": [{"e": 2}, {"e": 3}]}, {"b": {"c": 4}}]}',), ('{"a": []}',), (None,)], "j string")
+    schema = "struct<a:array<struct<b:struct<c:int>,d:array<struct<e:int>>>>>"
+    flat = checks.flatten_json(df, "j", schema)
+    assert flat.columns == ["j_a_0_b_c", "j_a_0_d_0_e", "j_a_0_d_1_e", "j_a_1_b_c", "j_a_1_d_0_e", "j_a_1_d_1_e"]
+    assert tuple(flat.first()) == (1, 2, 3, 4, None, None)
+    given = checks.flatten_json(df, "j", schema, lengths={"j_a": 1, "j_a_d": 1})
+    assert given.columns == ["j_a_0_b_c", "j_a_0_d_0_e"]
+
+
+def test_logs_are_appended_to(spark, rows, tmp_path):
+    from weighlens.sinks import logs
+    folder = str(tmp_path / "log")
+    assert logs.read_dataset_log(spark, folder).count() == 0
+    for i in range(2):
+        logs.write_dataset_log(rows([(str(i), "set")], "transaction_id string, dataset_folder string"), folder)
+    assert sorted(r.transaction_id for r in logs.read_dataset_log(spark, folder).collect()) == ["0", "1"]
+    review = rows([("1", "device", "7.0"), ("2", "clase_principal", "x"), ("3", None, None)], "transaction_id string, product_type string, device_id string")
+    for _ in range(2):
+        written = logs.write_review_log(review, str(tmp_path / "review"))
+    assert {n: spark.read.parquet(p).count() for n, p in written.items()} == {"revisar_imagenes_bajadas": 4, "devices_imagenes_bajadas": 2}
+
+
+def test_blank_links_are_no_links(rows):
+    from weighlens.sources.lookups import load_cached_transactions
+    cached = rows([("1", "a", "x/"), ("2", "a", ""), ("3", "a", " "), ("4", "a", "None"), ("5", "a", "null"), ("6", "a", None)],
+                  "transaction_id string, selected_reference_code string, image_link string")
+    assert [r.transaction_id for r in load_cached_transactions(cached).collect()] == ["1"]
+
+
+def test_bad_decisions_stop_the_training_set(rows, spark, tmp_path):
+    from weighlens.plans.training_set import create_dataset
+    decisions = rows([("1", "01", "apple", "si", "c", "5"), ("2", "02", "pear", "si", "c", "x")],
+                     "reference_id string, reference_code string, reference_name string, incluir_dataset string, producto_a_entrenar string, label_considerar string")
+    devices = rows([], "device_id double, incluir_dataset string, num_imagenes_dataset_adicionales int")
+    cached = rows([("1", "01", "a/1.jpg", 3, None), ("2", "02", "a/2.jpg", 3, None)],
+                  "transaction_id string, selected_reference_code string, image_link string, device_id int, transaction_start_time timestamp")
+    with pytest.raises(checks.InvalidDecisions):
+        create_dataset(decisions, devices, cached, None, "set")
+    made = create_dataset(decisions, devices, cached, None, "set", work_dir=str(tmp_path), skip_bad=True)
+    assert [r.transaction_id for r in made.collect()] == ["1"]
+    assert spark.read.parquet(f"{tmp_path}/bad_decisions").first().reference_name == "pear"

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from fleetcheck.registry import QUERIES
 from conftest import SMALL
 from fleetcheck.tables import AS_OF
 from weighlens.functions.ranking import first_per_group, sample_per_group
@@ -20,7 +21,7 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - WRITING))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING))
 def test_no_cross_join_and_no_python(spark, name):
     plan = plan_of(contract.queries()[name](spark, SMALL))
     assert not [word for word in FORBIDDEN if word in plan]

@@ -87,8 +87,23 @@ def test_sample_is_part_of_the_candidates(small):
 def test_empty_device_list_means_no_filter(small, rows):
     decisions, tx = small
     none = rows([], "device_id double, incluir_dataset string")
-    assert dataset_candidates(decisions, tx, devices=none).count() == 0
-    assert dataset_candidates(decisions, tx, devices=none, no_device_filter=True).count() == 31
+    assert dataset_candidates(decisions, tx, devices=none).count() == 31
+    assert dataset_candidates(decisions, tx, devices=rows([(7.0, "no")], "device_id double, incluir_dataset string")).count() == 31
+
+
+def test_device_ids_are_compared_as_numbers(small, rows):
+    decisions, tx = small
+    one = rows([(7.0, "si")], "device_id double, incluir_dataset string")
+    as_double = tx.withColumn("device_id", tx.device_id.cast("double"))
+    assert dataset_candidates(decisions, tx, devices=one).count() == dataset_candidates(decisions, as_double, devices=one).count() == 15
+
+
+def test_device_limit_counts_asking_devices_only(small, rows):
+    decisions, tx = small
+    devices = rows([(float(d), "si", 3 if d == 7 else 0) for d in range(1, 11)],
+                   "device_id double, incluir_dataset string, num_imagenes_dataset_adicionales int")
+    for seed in range(4):
+        assert sample_per_device(devices, decisions, tx, seed=seed, limit=1).count() == 3
 
 
 def test_used_rows_never_return(small, rows):

@@ -8,8 +8,8 @@ from weighlens.functions.codes import whole_number_in
 from weighlens.schemas import require
 from weighlens.sources.decisions import marked_for_dataset
 
-# Fixed limit of a spreadsheet cell.
-_CELL_LIMIT = 32767
+# Fixed limit of a spreadsheet cell, for callers whose target is one.
+CELL_LIMIT = 32767
 
 
 def check_required(df: DataFrame, required: list[str]) -> DataFrame:
@@ -57,15 +57,15 @@ def valid_decisions(decisions: DataFrame) -> DataFrame:
     return checked.drop("error")
 
 
-def clean_for_export(df: DataFrame) -> DataFrame:
-    """Nested values to text, control marks removed, long text cut, infinities and NULLs filled."""
+def clean_for_export(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """Nested values to text, control marks removed, infinities and NULLs filled; text cut only to a given ``limit``."""
     def clean(f: T.StructField) -> Column:
         column, kind = F.col(f.name), f.dataType
         if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
             column, kind = F.to_json(column), T.StringType()
         if isinstance(kind, T.StringType):
             text = F.translate(column, "\x00�", "")
-            column = F.coalesce(F.substring(text, 1, _CELL_LIMIT), F.lit(""))
+            column = F.coalesce(F.substring(text, 1, limit) if limit else text, F.lit(""))
         elif isinstance(kind, (T.DoubleType, T.FloatType)):
             finite = ~F.isnan(column) & (F.abs(column) != float("inf"))
             column = F.when(F.coalesce(finite, F.lit(False)), column).otherwise(F.lit(0.0))
@@ -76,34 +76,56 @@ def clean_for_export(df: DataFrame) -> DataFrame:
     return df.select(*[clean(f) for f in df.schema.fields])
 
 
-def flatten_nested(df: DataFrame, separator: str = "_") -> DataFrame:
-    """Struct fields to flat ``parent_child`` columns, plain lists to ', ' text, object lists numbered.
+def _object_lists(schema: T.StructType) -> bool:
+    """Whether some list of objects lies in the schema, at any depth."""
+    return any(
+        isinstance(k, T.ArrayType) and isinstance(k.elementType, T.StructType) or isinstance(k, T.StructType) and _object_lists(k)
+        for k in (f.dataType for f in schema.fields)
+    )
 
-    The number of columns for a list of objects is its greatest length, read first.
+
+def list_lengths(df: DataFrame) -> dict[str, int]:
+    """Greatest length of every list of objects, by its flat name without numbers; one job."""
+    sizes: list[Column] = []
+
+    def visit(kind: T.DataType, name: str, values: Column) -> None:
+        """``values`` is an array of all values that a row has under this name."""
+        if isinstance(kind, T.StructType):
+            for f in kind.fields:
+                visit(f.dataType, f"{name}_{f.name}", F.transform(values, lambda v: v[f.name]))
+        elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+            sizes.append(F.max(F.array_max(F.transform(values, lambda v: F.size(v)))).alias(name))
+            visit(kind.elementType, name, F.flatten(F.filter(values, lambda v: v.isNotNull())))
+
+    for f in df.schema.fields:
+        visit(f.dataType, f.name, F.array(F.col(f"`{f.name}`")))
+    return {name: max(n or 0, 0) for name, n in df.agg(*sizes).first().asDict().items()} if sizes else {}
+
+
+def flatten_nested(df: DataFrame, separator: str = "_", lengths: dict[str, int] | None = None) -> DataFrame:
+    """Struct fields to flat ``parent_child`` columns, plain lists to ', ' text, object lists numbered at any depth.
+
+    A list of objects becomes as many numbered columns as ``lengths`` says for its name (names joined by '_', without
+    numbers): the plan then needs no look at the data.  Without ``lengths`` they are read first (``list_lengths``).
     """
-    def leaves(schema: T.StructType, prefix: str, path: str) -> list[Column]:
-        out: list[Column] = []
-        for f in schema.fields:
-            name = f"{prefix}{separator}{f.name}" if prefix else f.name
-            here = f"{path}.`{f.name}`" if path else f"`{f.name}`"
-            if isinstance(f.dataType, T.StructType):
-                out += leaves(f.dataType, name, here)
-            elif isinstance(f.dataType, T.ArrayType) and not isinstance(f.dataType.elementType, T.StructType):
-                text = F.transform(F.col(here), lambda v: v.cast("string"))
-                out.append(F.array_join(text, ", ").alias(name))
-            elif isinstance(f.dataType, T.ArrayType):
-                longest = df.agg(F.max(F.size(F.col(here)))).first()[0] or 0
-                out += [
-                    F.get(F.col(here), F.lit(i))[g.name].alias(f"{name}{separator}{i}{separator}{g.name}")
-                    for i in range(longest) for g in f.dataType.elementType.fields
-                ]
-            else:
-                out.append(F.col(here).alias(name))
-        return out
-
-    return df.select(*leaves(df.schema, "", ""))
-
-
-def flatten_json(df: DataFrame, column: str, schema: str | T.StructType) -> DataFrame:
+    if lengths is None:
+        lengths = list_lengths(df) if _object_lists(df.schema) else {}
+
+    def leaves(kind: T.DataType, name: str, plain: str, here: Column) -> list[Column]:
+        if isinstance(kind, T.StructType):
+            return [c for f in kind.fields for c in leaves(f.dataType, f"{name}{separator}{f.name}", f"{plain}_{f.name}", here[f.name])]
+        if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+            return [
+                c for i in range(lengths.get(plain, 0))
+                for c in leaves(kind.elementType, f"{name}{separator}{i}", plain, F.get(here, F.lit(i)))
+            ]
+        if isinstance(kind, T.ArrayType):
+            return [F.array_join(F.transform(here, lambda v: v.cast("string")), ", ").alias(name)]
+        return [here.alias(name)]
+
+    return df.select(*[c for f in df.schema.fields for c in leaves(f.dataType, f.name, f.name, F.col(f"`{f.name}`"))])
+
+
+def flatten_json(df: DataFrame, column: str, schema: str | T.StructType, lengths: dict[str, int] | None = None) -> DataFrame:
     """JSON text to flat ``<column>_<key>`` columns beside the others."""
-    return flatten_nested(df.withColumn(column, F.from_json(F.col(column), schema)))
+    return flatten_nested(df.withColumn(column, F.from_json(F.col(column), schema)), lengths=lengths)

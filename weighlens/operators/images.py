@@ -8,6 +8,7 @@ from weighlens.functions.paths import clean_image_link, folder_at, folder_depth,
 from weighlens.schemas import FOLDER_EXTENSIONS, IMAGE_EXTENSIONS
 from weighlens.functions.ranking import first_per_group, number_all
 from weighlens.sources.lookups import lookup_folders
+from weighlens.storage import shared_dir
 
 
 def folder_file_list(text: Column) -> Column:
@@ -63,10 +64,16 @@ def resolve_image_keys(rows: DataFrame, files: DataFrame | None = None) -> DataF
     direct = F.when(has_extension(F.col("_link")), F.col("_link"))
     if files is None:
         return rows.withColumn("s3_key", direct).drop("_link")
-    firsts = first_image_per_folder(files)
     folder = F.when(
         ~has_extension(F.col("_link")), F.concat(F.regexp_replace("_link", "/+$", ""), F.lit("/"))
     )
+    # only folders that some row names, at their depths, are looked for in the listing
+    wanted = rows.select(folder.alias("folder")).filter(F.col("folder").isNotNull()).distinct()
+    depths = wanted.agg(F.collect_set(folder_depth(F.col("folder")))).scalar()
+    firsts = (
+        _with_folders(files, depths, IMAGE_EXTENSIONS).join(wanted, "folder", "left_semi")
+        .groupBy(F.struct("folder").alias("_key")).agg(F.min("path").alias("first_key")).select("_key.folder", "first_key")
+    )
     # rows without a folder get a key of their own that matches nothing, so they stay spread out
     none = F.concat(F.lit("\x00"), F.col("transaction_id").cast("string"))
     return (
@@ -83,7 +90,7 @@ def first_n_per_folder(
 ) -> DataFrame:
     """First images below each transaction's folder in listing order, named ``<id>_<i>.jpg``.
 
-    Without ``max_images`` all of them, numbered by way of the shared ``work_dir``.
+    Without ``max_images`` all of them, numbered by way of ``work_dir`` (a fresh shared folder by default).
     """
     wanted = folders.filter(F.col("folder_url").isNotNull()).select(
         "transaction_id",
@@ -94,6 +101,7 @@ def first_n_per_folder(
     keys = _with_folders(files, depths, extensions)
     found = keys.join(wanted, "folder").drop("folder")
     if max_images is None:
+        work_dir = work_dir or shared_dir(found.sparkSession, "numbered")
         ranked = number_all(found, ["transaction_id"], ["path"], "image_no", work_dir)
     else:
         ranked = first_per_group(found, ["transaction_id"], [F.col("path")], max_images, "image_no", "path")

@@ -111,11 +111,12 @@ def consistency_report(stats: DataFrame, devices: DataFrame) -> DataFrame:
     }))
 
 
-def one_sided_references(unassigned: DataFrame, untrained: DataFrame, shown: int = 20) -> DataFrame:
-    """Up to ``shown`` products that are only unassigned, and as many that are only untrained."""
+def one_sided_references(unassigned: DataFrame, untrained: DataFrame, shown: int | None = None) -> DataFrame:
+    """Products that are only unassigned and products that are only untrained; of each kind the first ``shown``, if given."""
     def side(a: DataFrame, b: DataFrame, text: str) -> DataFrame:
         codes = a.select("reference_code").distinct().join(b.select("reference_code"), "reference_code", "left_anti")
-        return codes.orderBy("reference_code").limit(shown).select(F.lit(text).alias("categoria"), "reference_code")
+        codes = codes.orderBy("reference_code").limit(shown) if shown is not None else codes
+        return codes.select(F.lit(text).alias("categoria"), "reference_code")
 
     return side(unassigned, untrained, "SOLO SIN ASIGNAR").unionByName(
         side(untrained, unassigned, "SOLO NO ENTRENADAS"))
@@ -164,8 +165,11 @@ def model_class_table(classes: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def run_summary(processed: DataFrame, undefined: DataFrame, top_dates: int = 10) -> DataFrame:
-    """(section, metric, value) rows: flag totals, image coverage, status, dates, undefined pairs."""
+def run_summary(processed: DataFrame, undefined: DataFrame, top_dates: int | None = None) -> DataFrame:
+    """(section, metric, value) rows: flag totals, image coverage, status, dates, undefined pairs.
+
+    With ``top_dates`` only so many of the most frequent activation dates.
+    """
     def count_where(c: Column) -> Column:
         return F.count_if(c).cast("bigint")
 
@@ -200,7 +204,7 @@ def run_summary(processed: DataFrame, undefined: DataFrame, top_dates: int = 10)
     place = F.row_number().over(W.partitionBy("section").orderBy(F.col("value").desc(), "metric"))
     rows = (
         rows.withColumn("_place", place)
-        .filter((F.col("section") != "activation") | (F.col("_place") <= top_dates)).drop("_place")
+        .filter((F.col("section") != "activation") | (F.col("_place") <= top_dates if top_dates is not None else F.lit(True))).drop("_place")
     )
     pairs = undefined.agg(
         count_where(F.col("num_parejas_no_definidas") > 0).alias("deployments"),

@@ -102,9 +102,10 @@ def lookup_folder_urls(ids: DataFrame, transactions: DataFrame, folders: DataFra
 
 
 def load_cached_transactions(cached: DataFrame) -> DataFrame:
-    """Cached rows that have all of id, product code and image link."""
+    """Cached rows that have all of id, product code and image link; blank, 'none' and 'null' links are no links."""
     needed = ("transaction_id", "selected_reference_code", "image_link")
-    return require(cached, *needed).dropna(subset=list(needed))
+    linked = ~F.lower(F.trim("image_link")).isin("", "none", "null")
+    return require(cached, *needed).dropna(subset=list(needed)).filter(linked)
 
 
 def load_review_transactions(cached: DataFrame) -> DataFrame:

@@ -112,11 +112,18 @@ def scan_with_model_fallback(
     )
 
 
-def flatten_transactions(tx: DataFrame, data_schema: T.StructType = TRANSACTION_DATA) -> DataFrame:
+def _undeclared(text: Column, schema: T.StructType) -> Column:
+    """Keys of a JSON object that the schema does not name, with their values as JSON text."""
+    declared = [f.name for f in schema.fields]
+    return F.map_filter(F.from_json(text, "map<string,string>"), lambda k, _: ~k.isin(declared))
+
+
+def flatten_transactions(tx: DataFrame, data_schema: T.StructType = TRANSACTION_DATA, other_keys: str | None = None) -> DataFrame:
     """Spread ``transaction_data`` (else ``metric_data``) into columns, time columns first.
 
     A struct is spread as it is; JSON text is parsed with the declared schema.  On a name
-    clash the outer column keeps its name and the inner one is prefixed.
+    clash the outer column keeps its name and the inner one is prefixed.  With ``other_keys`` the
+    keys of JSON text that the schema does not declare are kept in a map column of that name.
     """
     if "_source" in tx.columns:
         tx = tx.select("_source.*")
@@ -128,7 +135,15 @@ def flatten_transactions(tx: DataFrame, data_schema: T.StructType = TRANSACTION_
     if inner is None:
         return tx.select(*outer)
     if isinstance(tx.schema[inner].dataType, T.StringType):
-        tx = tx.withColumn(inner, F.from_json(F.col(inner), data_schema))
+        # flags come as true/false or as 1/0: read as text, then judged
+        flags = [f.name for f in data_schema.fields if isinstance(f.dataType, T.BooleanType)]
+        as_text = T.StructType([T.StructField(f.name, T.StringType()) if f.name in flags else f for f in data_schema.fields])
+        tx = tx.withColumns({"_json": F.col(inner), inner: F.from_json(F.col(inner), as_text)})
+        for name in flags:
+            said = F.lower(F.col(inner)[name])
+            tx = tx.withColumn(inner, F.col(inner).withField(name, F.when(said.isin("true", "1", "1.0"), True).when(said.isin("false", "0", "0.0"), False)))
+        if other_keys:
+            tx = tx.withColumn(inner, F.col(inner).withField(other_keys, _undeclared(F.col("_json"), data_schema)))
     fields = [f.name for f in tx.schema[inner].dataType.fields]
     return tx.select(
         *outer,
