@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +27,17 @@ from weighlens.llm.common import staged
 from weighlens.storage import shared_dir
 
 END_ID = 2
-BLOCK_BYTES = 8 << 20
-KNOWN_WORDS = 2_000_000  # a worker forgets its words beyond this many
+BLOCK_BYTES = 4 << 20
+KNOWN_WORDS = 1_500_000  # a worker forgets its words beyond this many
 
 _WHITE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _RUN = _WHITE + _WHITE
 
+# byte-level models write a byte as the sign of that number where it is printable, else as the next sign from 256 on
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_SIGNS = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_SPACE = _BYTE_SIGNS[32]
+
 
 class WordEncoder:
     """Token ids of whole texts, by way of their distinct words."""
@@ -41,48 +47,54 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.line, self.space = (self._ids([x])[0].tolist() for x in ("\n", " "))
+        self.marks = {x: self._ids([x])[0][0] for x in ",."}
         self._forget()
 
     def _forget(self) -> None:
-        self.words = pa.array([], pa.large_string())
+        self.place: dict[str, int] = {}
         self.starts, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _word_ids(self, words: list[str]) -> list[list[int]]:
+        """Ids of pieces: a piece stands for itself behind a space, or for itself if it begins with a line feed.
 
-    def _word_ids(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of pieces: a piece stands for itself behind a space, or for itself if it begins with a line feed."""
-        found: list = [None] * len(words)
-        joined: list[int] = []
+        A run of letters is one word to the tokenizer too, so its model merges it at once; all else takes the whole way.
+        """
+        merge, found, rest = self.tokenizer.model.tokenize, [None] * len(words), []
         for i, w in enumerate(words):
-            rest = w[1:] if w[:1] == "\n" else w
-            if not rest:
-                found[i] = np.array(self.line if w else self.space, np.uint32)
-            elif any(c.isspace() for c in rest):
-                found[i] = self._ids([w if w[:1] == "\n" else " " + w])[0]
+            if w.isalpha():
+                found[i] = [t.id for t in merge(_SPACE + w.encode().decode("latin-1").translate(_BYTE_SIGNS))]
             else:
-                joined.append(i)
-        line = self.line[0]
-        for at in range(0, len(joined), 1000):
-            some = joined[at: at + 1000]
-            # between words the line feed is a token of its own, so it parts their ids again
-            ids = self._ids(["\n".join(words[i][1:] if words[i][0] == "\n" else " " + words[i] for i in some)])[0]
-            parts = np.split(ids, np.flatnonzero(ids == line))
-            if len(parts) != len(some):
-                raise ValueError("words and their ids do not match")
-            for n, (i, part) in enumerate(zip(some, parts)):
-                part = part[1:] if n else part
-                found[i] = np.concatenate([np.array(self.line, np.uint32), part]) if words[i][0] == "\n" else part
+                rest.append(i)
+        for i, ids in zip(rest, self._ids([words[i] if words[i][:1] == "\n" else " " + words[i] for i in rest])):
+            found[i] = ids
         return found
 
-    def _learn(self, words: list[str]) -> None:
-        ids = self._word_ids(words)
-        sizes = np.array([len(x) for x in ids], np.int64)
+    def _add(self, words: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
         starts = len(self.ids) + np.cumsum(sizes) - sizes
-        self.words = pa.concat_arrays([self.words, pa.array(words, pa.large_string())])
+        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words))))
         self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, *ids])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def _learn(self, words: list[str]) -> None:
+        """A comma or full stop behind a letter or digit is a token of its own, so the word before it is learned."""
+        stems = {w: w[:-1] for w in words if w[-1:] in (",", ".") and w[-2:-1].isalnum()}
+        plain = list(dict.fromkeys(x for x in (stems.get(w, w) for w in words) if x not in self.place))
+        found = self._word_ids(plain)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self._add(plain, sizes, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())))
+        if stems:
+            at = np.fromiter(map(self.place.__getitem__, stems.values()), np.int64, len(stems))
+            sizes = self.sizes[at]
+            ids = np.empty(int(sizes.sum()) + len(at), np.uint32)
+            mark_at = np.cumsum(sizes + 1) - 1
+            ids[mark_at] = np.fromiter((self.marks[w[-1]] for w in stems), np.uint32, len(stems))
+            to = np.ones(len(ids), bool)
+            to[mark_at] = False
+            ids[to] = self.ids[np.repeat(self.starts[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))]
+            self._add(list(stems), sizes + 1, ids)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, each with the end id; ids per text)."""
@@ -94,18 +106,17 @@ class WordEncoder:
         firsts -= firsts[0] if len(firsts) else 0
         flat = pieces.flatten()
         coded = flat.dictionary_encode()
-        where = pc.index_in(coded.dictionary, value_set=self.words)
-        if where.null_count:
-            if len(self.words) > KNOWN_WORDS:
-                self._forget()
-                where = pc.index_in(coded.dictionary, value_set=self.words)
-            self._learn(coded.dictionary.filter(pc.is_null(where)).to_pylist())
-            where = pc.index_in(coded.dictionary, value_set=self.words)
-        index = np.asarray(where).astype(np.int64)[np.asarray(coded.indices)]
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # much faster than to_pylist()
+        if len(self.place) > KNOWN_WORDS:
+            self._forget()
+        new = [w for w in distinct if w not in self.place]
+        if new:
+            self._learn(new)
+        index = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))[np.asarray(coded.indices)]
         # first pieces have no space before them
         first_ids = self._ids(pc.if_else(pa.array(whole), texts, flat.take(pa.array(firsts))).to_pylist())
-        own = np.array([len(x) for x in first_ids], np.int64)
-        table = np.concatenate([self.ids, *first_ids, np.array([END_ID], np.uint32)])
+        own = np.fromiter(map(len, first_ids), np.int64, len(first_ids))
+        table = np.concatenate([self.ids, np.fromiter(chain.from_iterable(first_ids), np.uint32, int(own.sum())), np.array([END_ID], np.uint32)])
         starts, sizes = self.starts[index], self.sizes[index]
         starts[firsts], sizes[firsts] = len(self.ids) + np.cumsum(own) - own, own
         # the end id follows each text's last piece

@@ -248,7 +248,7 @@ class _Words:
         if where.null_count:
             new = coded.dictionary.filter(pc.is_null(where))
             self.words = pa.concat_arrays([self.words, new])
-            self.values = np.concatenate([self.values, self.field.emission(new.to_pylist())])
+            self.values = np.concatenate([self.values, self.field.emission(new.to_numpy(zero_copy_only=False).tolist())])
             where = pc.index_in(coded.dictionary, value_set=self.words)
         if not len(flat):
             return np.zeros(0), counts, flat
