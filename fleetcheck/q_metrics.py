@@ -15,7 +15,7 @@ from weighlens.plans import candidates, quality
 @query("references_with_labels", """
     select reference_code, l.label_id, b.label_name from {fx_label_of_reference} l left join {fx_labels} b on l.label_id = b.label_id""")
 def _(f: Fleet) -> DataFrame:
-    return references.references_with_labels(f.derived("fx_references"), f.derived("fx_labels")).select(
+    return references.references_with_labels(f.catalogue, f.derived("fx_labels")).select(
         "reference_code", "label_id", "label_name")
 
 
@@ -23,13 +23,13 @@ def _(f: Fleet) -> DataFrame:
     select reference_code, c.label_id is not null as is_in_dataset, last_class as producto_trained
     from {fx_label_of_reference} l left join {fx_class_of_label} c on l.label_id = c.label_id""")
 def _(f: Fleet) -> DataFrame:
-    return references.references_with_model(f.derived("fx_references"), f.derived("fx_classes")).select(
+    return references.references_with_model(f.catalogue, f.derived("fx_classes")).select(
         "reference_code", "is_in_dataset", "producto_trained")
 
 
 @query("transactions_by_reference", "select reference_id, transaction_id, matched_by, Result from {fx_matches}")
 def _(f: Fleet) -> DataFrame:
-    return references.transactions_by_reference(f.tx, f.derived("fx_references")).select(
+    return references.transactions_by_reference(f.tx, f.catalogue).select(
         "reference_id", "transaction_id", "matched_by", "Result")
 
 
@@ -42,7 +42,7 @@ _FREQUENT = """(select selected_reference_code as reference_code, count(*) filte
 @query("frequent_references", "select r.reference_code, cliente_appearances, num_manuales from {fx_references} r join " + _FREQUENT
        + " c on r.reference_code = c.reference_code")
 def _(f: Fleet) -> DataFrame:
-    return references.frequent_references(f.tx, f.derived("fx_references")).select(
+    return references.frequent_references(f.tx, f.catalogue).select(
         "reference_code", "cliente_appearances", "num_manuales")
 
 
@@ -77,7 +77,7 @@ def reference_metrics_query(f: Fleet) -> DataFrame:
     from {fx_references} r join {fx_metrics} m on r.reference_id = m.reference_id and m.num_cliente > 0
     """ + " ".join(f"left join {{fx_top3}} t{i} on r.reference_id = t{i}.reference_id and t{i}.rn = {i}" for i in (1, 2, 3)))
 def _(f: Fleet) -> DataFrame:
-    return references.top3_results(f.tx, f.derived("fx_references"))
+    return references.top3_results(f.tx, f.catalogue)
 
 
 @query("device_metrics", "select * from {fx_devices}")
@@ -86,15 +86,66 @@ def _(f: Fleet) -> DataFrame:
 
 
 @query("reference_stats", """
-    select selected_reference_code as reference_code, count(*) as total_transactions, count(*) filter (where is_client) as client_transactions,
+    select deployment_id, selected_reference_code as reference_code, count(*) as total_transactions, count(*) filter (where is_client) as client_transactions,
            count(*) filter (where is_manual) as manual_transactions, count(*) filter (where trained) as trained_transactions,
            count(*) filter (where selected_reference_is_trained = false) as not_trained_transactions,
            round(100.0 * count(*) filter (where trained) / count(*), 2) as training_percentage
-    from {fx_tx} where selected_reference_code is not null group by 1""")
+    from {fx_tx} where selected_reference_code is not null group by 1, 2""")
 def _(f: Fleet) -> DataFrame:
     return references.reference_stats(f.tx)
 
 
+# a fleet in one frame: codes and names repeat among deployments
+
+
+@query("fleet_transactions_by_reference", "select reference_id, matched_by, transaction_id from {fx_fleet_matches}")
+def _(f: Fleet) -> DataFrame:
+    return references.transactions_by_reference(f.tx, f.derived("fx_fleet_products")).select("reference_id", "matched_by", "transaction_id")
+
+
+_FLEET_COUNTS = """(select reference_id, count(*) filter (where is_client) as num_cliente, count(*) filter (where is_manual) as num_manuales,
+           count(*) filter (where is_client and trained) as trained_count from {fx_fleet_matches} group by 1)"""
+
+
+@query("fleet_reference_metrics", """
+    select p.reference_id, p.deployment_id, coalesce(num_cliente, 0) as num_cliente, coalesce(num_manuales, 0) as num_manuales,
+           coalesce(trained_count, 0) as trained_count
+    from {fx_fleet_products} p left join """ + _FLEET_COUNTS + " m on p.reference_id = m.reference_id")
+def _(f: Fleet) -> DataFrame:
+    return references.reference_metrics(f.tx, f.derived("fx_fleet_products"), models.active_model(f.tx)).select(
+        "reference_id", "deployment_id", "num_cliente", "num_manuales", "trained_count")
+
+
+@query("fleet_frequent_references", """
+    select p.reference_id, p.deployment_id, cliente_appearances from {fx_fleet_products} p
+    join (select deployment_id, selected_reference_code as code, count(*) filter (where is_client) as cliente_appearances from {fx_tx} group by 1, 2) n
+         on p.deployment_id = n.deployment_id and p.reference_code = n.code where cliente_appearances >= 2""")
+def _(f: Fleet) -> DataFrame:
+    return references.frequent_references(f.tx, f.derived("fx_fleet_products"), 2).select("reference_id", "deployment_id", "cliente_appearances")
+
+
+@query("fleet_training_status", """
+    select p.reference_id, p.reference_code, n.num_cliente, c.class_name as producto_trained, c.class_name is not null as is_in_dataset
+    from {fx_fleet_products} p
+         join (select deployment_id, selected_reference_code as code, count(*) filter (where is_client) as num_cliente from {fx_tx} group by 1, 2) n
+              on p.deployment_id = n.deployment_id and p.reference_code = n.code and num_cliente >= 1
+         left join (select model_id, label_id, arg_min(class_name, class_pos * 10 + label_pos) as class_name from {fx_fleet_classes} where label_id is not null group by 1, 2) c
+              on c.model_id = p.deployment_id * 10 and cast(p.label_id as bigint) = c.label_id""")
+def _(f: Fleet) -> DataFrame:
+    return references.training_status(
+        f.tx, f.derived("fx_fleet_products"), f.derived("fx_fleet_classes"), f.derived("fx_labels"), 1, f.derived("fx_fleet_models")
+    ).select("reference_id", "reference_code", "num_cliente", "producto_trained", "is_in_dataset")
+
+
+@query("fleet_consolidated_references", """
+    select p.reference_id, p.reference_code, coalesce(num_cliente, 0) as num_cliente, case when num_cliente >= 2 then 'si' else 'no' end as incluir_dataset
+    from {fx_fleet_products} p left join """ + _FLEET_COUNTS + " m on p.reference_id = m.reference_id")
+def _(f: Fleet) -> DataFrame:
+    products = f.derived("fx_fleet_products")
+    return reports.consolidated_references(products, references.reference_metrics(f.tx, products), 2).select(
+        "reference_id", "reference_code", "num_cliente", "incluir_dataset")
+
+
 @query("training_status", """
     select r.reference_id, r.reference_code, r.reference_name, l.label_id,
            case when l.label_id is null then 'NO_LABEL_ASSIGNED' else coalesce(b.label_name, 'LABEL_ID_' || cast(l.label_id as string) || '_NOT_FOUND') end as label_name,
@@ -104,7 +155,7 @@ def _(f: Fleet) -> DataFrame:
          join {fx_label_of_reference} l on r.reference_id = l.reference_id
          left join {fx_labels} b on l.label_id = b.label_id left join {fx_class_of_label} c on l.label_id = c.label_id""")
 def _(f: Fleet) -> DataFrame:
-    return references.training_status(f.tx, f.derived("fx_references"), f.derived("fx_classes"), f.derived("fx_labels"))
+    return references.training_status(f.tx, f.catalogue, f.derived("fx_classes"), f.derived("fx_labels"))
 
 
 @query("complete_analysis", """
@@ -114,7 +165,7 @@ def _(f: Fleet) -> DataFrame:
     union all select 'manual_transactions', count(*), cast(sum(Ok) as bigint) from {fx_tx} where is_manual
     union all select 'devices_analysis', count(*), cast(sum(num_cliente) as bigint) from {fx_devices}""")
 def _(f: Fleet) -> DataFrame:
-    parts = quality.complete_analysis(f.tx, f.derived("fx_references"), f.derived("fx_labels"), f.derived("fx_classes"))
+    parts = quality.complete_analysis(f.tx, f.catalogue, f.derived("fx_labels"), f.derived("fx_classes"))
     measure = {"complete_analysis": "num_cliente", "filtered_references": "num_cliente", "client_transactions": "Ok",
                "manual_transactions": "Ok", "devices_analysis": "num_cliente"}
     rows = [parts[p].agg(F.count(F.lit(1)).alias("n"), F.sum(c).alias("total")).select(F.lit(p).alias("part"), "n", "total")
@@ -162,7 +213,7 @@ _COUNT = "select '{0}' as metric, cast(count(*) as string) as value from {{{1}}}
 def _(f: Fleet) -> DataFrame:
     active = models.active_model(f.tx)
     return reports.executive_summary(
-        f.tx, f.derived("fx_references"), f.derived("fx_labels"), active,
+        f.tx, f.catalogue, f.derived("fx_labels"), active,
         reports.summary_stats(analysed(f)), devices.device_metrics(f.tx, active))
 
 
@@ -206,7 +257,7 @@ def _(f: Fleet) -> DataFrame:
            case when num_cliente >= 8 then 150 end as num_imagenes_dataset, top1_result_index
     from {fx_analysed} a join {fx_references} r on a.reference_id = r.reference_id""")
 def _(f: Fleet) -> DataFrame:
-    return reports.consolidated_references(f.derived("fx_references"), analysed(f), 8).select(
+    return reports.consolidated_references(f.catalogue, analysed(f), 8).select(
         "reference_id", "reference_code", "reference_name", "label_id", "label_name", "producto_trained", "is_in_dataset", "num_cliente",
         "num_manuales", "is_trained_elastic", "pct_ok_sistema", "pct_ok_modelo", "incluir_dataset", "num_imagenes_dataset", "top1_result_index")
 

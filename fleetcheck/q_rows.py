@@ -92,7 +92,7 @@ def _(f: Fleet) -> DataFrame:
     from (select unnest([reference_code, ' ' || reference_code, reference_name, cast(reference_id as string) || '.0', '+' || reference_code]) as c
           from {fx_references}) a""")
 def _(f: Fleet) -> DataFrame:
-    refs = f.derived("fx_references")
+    refs = f.catalogue
     variants = F.array(
         "reference_code", F.concat(F.lit(" "), "reference_code"), "reference_name",
         F.concat(F.col("reference_id").cast("string"), F.lit(".0")), F.concat(F.lit("+"), "reference_code"))
@@ -187,7 +187,7 @@ def _(f: Fleet) -> DataFrame:
 
 def analysed(f: Fleet) -> DataFrame:
     known = references.references_with_model(
-        references.references_with_labels(f.derived("fx_references"), f.derived("fx_labels")), f.derived("fx_classes"))
+        references.references_with_labels(f.catalogue, f.derived("fx_labels")), f.derived("fx_classes"))
     return references.reference_metrics(f.tx, known, models.active_model(f.tx))
 
 
@@ -232,7 +232,7 @@ def _(f: Fleet) -> DataFrame:
            reference_name || ' ñ' as shown
     from {fx_references}""")
 def _(f: Fleet) -> DataFrame:
-    refs = f.derived("fx_references")
+    refs = f.catalogue
     shown = paths.safe_name(F.concat("reference_name", F.lit(" (ñ) /?")))
     return refs.select(
         "reference_code", paths.target_folder(F.col("reference_code"), [F.col("reference_name"), F.col("label_id")]).alias("folder"),
@@ -252,7 +252,7 @@ def _(f: Fleet) -> DataFrame:
            else coalesce(b.label_name, 'LABEL_ID_' || cast(l.label_id as string) || '_NOT_FOUND') end as label_name
     from {fx_label_of_reference} l left join {fx_labels} b on l.label_id = b.label_id""")
 def _(f: Fleet) -> DataFrame:
-    return references.add_label_placeholder(f.derived("fx_references"), f.derived("fx_labels")).select("reference_code", "label_id", "label_name")
+    return references.add_label_placeholder(f.catalogue, f.derived("fx_labels")).select("reference_code", "label_id", "label_name")
 
 
 @query("parse_storage_uri", """

@@ -315,7 +315,7 @@ def _(f: Fleet) -> DataFrame:
 def _(f: Fleet) -> DataFrame:
     """Every table of the written report, read back."""
     written = quality.quality_report(
-        f.tx, f.derived("fx_references"), f.derived("fx_labels"), f.derived("fx_classes"), shared_dir(f.spark, "quality"), 8)
+        f.tx, f.catalogue, f.derived("fx_labels"), f.derived("fx_classes"), shared_dir(f.spark, "quality"), 8)
 
     def part(table: str, key: str, name: str, *values: str) -> DataFrame:
         exprs = [v if " as " in v else f"{v} as {n}" for v, n in zip(values, ("num_cliente", "num_manuales", "pct_ok_sistema", "pct_ok_modelo", "include"))]

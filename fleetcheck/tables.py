@@ -114,6 +114,18 @@ SHARED = {
                cast(p_size + 3 as bigint) as total_urls, 1e2 * p_size / (p_size + 3) as success_rate,
                'out/' || cast(p_partkey as string) as output_directory
         from {part} where p_type in ('PROMO', 'LARGE')""",
+    # one catalogue per deployment: every code of a deployment's transactions, so codes and names repeat among deployments
+    "fx_fleet_products": """
+        select cast(d.deployment_id as bigint) * 100000000 + p_partkey as reference_id, lpad(cast(p_partkey as string), 7, '0') as reference_code,
+               upper(p_name) || ' ' || cast(p_partkey as string) as reference_name,
+               cast(cast(floor(p_partkey / 18.0) as bigint) + d.deployment_id as string) as label_id, d.deployment_id
+        from (select distinct deployment_id, selected_reference_name as name from {fx_flat} where selected_reference_name is not null) d
+             join {part} on d.name = upper(p_name) || ' ' || cast(p_partkey as string)""",
+    "fx_fleet_models": """
+        select nation as deployment_id, nation * 10 as model_id from (select distinct deployment_id as nation from {fx_flat}) a""",
+    "fx_fleet_classes": """
+        select m.model_id, c.class_pos, c.label_pos, c.label_id, c.class_name || '_of_' || cast(m.model_id as string) as class_name
+        from {fx_classes} c join {fx_fleet_models} m on m.model_id / 10 <= c.class_pos""",
     # from the transactions
     "fx_folders": """
         select transaction_id,
@@ -289,6 +301,12 @@ DUCK_ONLY = {
         select 'code' as matched_by, r.reference_id, t.* from {fx_tx} t join {fx_references} r on t.selected_reference_code = r.reference_code
         union all
         select 'name', r.reference_id, t.* from {fx_tx} t join {fx_references} r on t.selected_reference = r.reference_name""",
+    "fx_fleet_matches": """
+        select 'code' as matched_by, r.reference_id, t.* from {fx_tx} t join {fx_fleet_products} r
+               on t.deployment_id = r.deployment_id and t.selected_reference_code = r.reference_code
+        union all
+        select 'name', r.reference_id, t.* from {fx_tx} t join {fx_fleet_products} r
+               on t.deployment_id = r.deployment_id and t.selected_reference = r.reference_name""",
     "fx_label_of_reference": """
         select r.* exclude (label_id), cast(try_cast(label_id as double) as bigint) as label_id from {fx_references} r""",
     "fx_class_of_label": """
@@ -486,6 +504,11 @@ class Fleet:
     def tx(self) -> DataFrame:
         return label_transactions(self.raw)
 
+    @cached_property
+    def catalogue(self) -> DataFrame:
+        """The products as one catalogue for all deployments; fx_fleet_products has one for each."""
+        return self.derived("fx_references").drop("deployment_id")
+
     @cached_property
     def flat(self) -> DataFrame:
         """The transactions with the helper columns the derived tables use."""

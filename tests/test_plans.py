@@ -40,7 +40,7 @@ def test_scan_pushes_filters_and_prunes_columns(fleet):
 
 
 def test_fact_rows_are_summed_before_the_product_join(fleet):
-    plan = plan_of(references.reference_metrics(fleet.tx, fleet.derived("fx_references")))
+    plan = plan_of(references.reference_metrics(fleet.tx, fleet.catalogue))
     scan = next(i for i, line in enumerate(plan.splitlines()) if "transaction_data" in line and "FileScan" in line)
     above = [line for line in plan.splitlines()[:scan] if "Aggregate" in line or "Join" in line]
     assert "partial_count" in above[-1]  # nearest operator above the fact scan

@@ -2,6 +2,9 @@
 
 Transactions are aggregated by (match key, ...) before they meet the product table, so a
 product that holds a large share of all rows is reduced to a few counts on the map side.
+
+Codes and names belong to a deployment: where both sides have ``deployment_id`` it is part of
+every match, so a whole fleet can be worked on in one frame.
 """
 
 from __future__ import annotations
@@ -27,27 +30,44 @@ def references_with_labels(references: DataFrame, labels: DataFrame) -> DataFram
     )
 
 
-def class_of_label(classes: DataFrame, last: bool = True) -> DataFrame:
-    """One class name per trained label: of several classes the last (or first) one."""
+def class_of_label(classes: DataFrame, last: bool = True, per_model: bool = False) -> DataFrame:
+    """One class name per trained label (``per_model``: of each model): of several classes the last (or first) one."""
     at = F.struct("class_pos", "label_pos")
     pick = F.max_by if last else F.min_by
+    keys = [F.col("model_id").alias("_model")] if per_model else []
     return (
         classes.filter(F.col("label_id").isNotNull())
-        .groupBy(F.col("label_id").alias("_label"))
+        .groupBy(*keys, F.col("label_id").alias("_label"))
         .agg(pick("class_name", at).alias("producto_trained"))
     )
 
 
-def references_with_model(references: DataFrame, classes: DataFrame, last: bool = True) -> DataFrame:
-    """Products with ``is_in_dataset`` and the class they are trained in."""
-    known = class_of_label(classes, last).withColumn("_known", F.lit(True))
+def references_with_model(
+    references: DataFrame, classes: DataFrame, last: bool = True, deployments: DataFrame | None = None
+) -> DataFrame:
+    """Products with ``is_in_dataset`` and the class they are trained in.
+
+    With ``deployments`` (deployment_id, model_id) a product meets the classes of its own deployment's
+    model only; without it ``classes`` must be those of one model.
+    """
+    known = class_of_label(classes, last, deployments is not None).withColumn("_known", F.lit(True))
+    match = label_id_of(references) == F.col("_label")
+    if deployments is not None:
+        own = deployments.groupBy(F.col("deployment_id").alias("_deployment")).agg(F.max("model_id").alias("_own"))
+        known = known.join(own, F.col("_model") == F.col("_own")).drop("_model", "_own")
+        match = match & (F.col("deployment_id") == F.col("_deployment"))
     return (
-        references.join(known, label_id_of(references) == F.col("_label"), "left")
+        references.join(known, match, "left")
         .withColumn("is_in_dataset", F.col("_known").isNotNull())
-        .drop("_label", "_known")
+        .drop("_label", "_known", "_deployment")
     )
 
 
+def _scope(tx: DataFrame, references: DataFrame) -> list[str]:
+    """What a code or name is unique in."""
+    return [c for c in ("deployment_id",) if c in tx.columns and c in references.columns]
+
+
 def add_label_placeholder(references: DataFrame, labels: DataFrame) -> DataFrame:
     """``label_name`` with a readable stand-in for missing and unknown labels."""
     label = F.col("label_id")
@@ -71,10 +91,10 @@ def _transaction_keys(tx: DataFrame) -> Column:
     return _match_keys(F.col("selected_reference_code"), name)
 
 
-def _reference_keys(references: DataFrame) -> DataFrame:
+def _reference_keys(references: DataFrame, scope: list[str]) -> DataFrame:
     return (
         references.filter(F.col("reference_code").isNotNull())
-        .select("reference_id", F.inline(_match_keys(F.col("reference_code"), F.col("reference_name"))))
+        .select("reference_id", *scope, F.inline(_match_keys(F.col("reference_code"), F.col("reference_name"))))
         .filter(F.col("key").isNotNull())
     )
 
@@ -84,10 +104,11 @@ def transactions_by_reference(tx: DataFrame, references: DataFrame) -> DataFrame
 
     One equi-join on (kind, key) instead of a condition with OR.
     """
+    scope = _scope(tx, references)
     return (
         tx.select("*", F.inline(_transaction_keys(tx)))
         .filter(F.col("key").isNotNull())
-        .join(_reference_keys(references), ["kind", "key"])
+        .join(_reference_keys(references, scope), [*scope, "kind", "key"])
         .drop("key").withColumnRenamed("kind", "matched_by")
     )
 
@@ -118,9 +139,10 @@ def _counts_by_reference(tx: DataFrame, references: DataFrame, active: DataFrame
         )
     )
     on = F.col("_active")
+    scope = _scope(tx, references)
     return (
         mark_active(per_key, active)
-        .join(_reference_keys(references), ["kind", "key"])
+        .join(_reference_keys(references, scope), [*scope, "kind", "key"])
         .groupBy("reference_id", *_GROUP)
         .agg(
             *[F.sum(c).alias(c) for c in ("_client", "_manual", "_trained", "_ok", "_ids")],
@@ -197,21 +219,21 @@ def reference_metrics(tx: DataFrame, references: DataFrame, active: DataFrame |
 
 def frequent_references(tx: DataFrame, references: DataFrame, min_client: int = MIN_APPEARANCES) -> DataFrame:
     """Products with at least ``min_client`` client rows, and both counts."""
-    metric = F.col("transaction_metric")
+    metric, scope = F.col("transaction_metric"), _scope(tx, references)
     counts = (
         tx.filter(F.col("selected_reference_code").isNotNull())
-        .groupBy(F.col("selected_reference_code").alias("reference_code"))
+        .groupBy(*scope, F.col("selected_reference_code").alias("reference_code"))
         .agg(
             F.count_if(is_client(metric)).alias("cliente_appearances"),
             F.count_if(is_manual(metric)).alias("num_manuales"),
         )
         .filter(F.col("cliente_appearances") >= min_client)
     )
-    return references.join(counts, "reference_code")
+    return references.join(counts, [*scope, "reference_code"])
 
 
 def reference_stats(tx: DataFrame, code: str | None = None) -> DataFrame:
-    """Row counts and training share of one code - one row even without data - or of every code."""
+    """Row counts and training share of one code - one row even without data - or of every code of every deployment."""
     rows = tx.filter(F.col("selected_reference_code") == code) if code is not None else tx.filter(
         F.col("selected_reference_code").isNotNull())
     metric = F.col("transaction_metric")
@@ -226,19 +248,20 @@ def reference_stats(tx: DataFrame, code: str | None = None) -> DataFrame:
     ]
     if code is not None:
         return rows.agg(*measures).select(F.lit(code).alias("reference_code"), "*")
-    return rows.groupBy(F.col("selected_reference_code").alias("reference_code")).agg(*measures)
+    scope = _scope(tx, tx)
+    return rows.groupBy(*scope, F.col("selected_reference_code").alias("reference_code")).agg(*measures)
 
 
 def training_status(
     tx: DataFrame, references: DataFrame, classes: DataFrame, labels: DataFrame,
-    min_client: int = MIN_APPEARANCES,
+    min_client: int = MIN_APPEARANCES, deployments: DataFrame | None = None,
 ) -> DataFrame:
     """Frequent products with training counts, label name or stand-in, and first matching class."""
-    metric = F.col("transaction_metric")
+    metric, scope = F.col("transaction_metric"), _scope(tx, references)
     client = is_client(metric)
     counts = (
         tx.filter(F.col("selected_reference_code").isNotNull())
-        .groupBy(F.col("selected_reference_code").alias("reference_code"))
+        .groupBy(*scope, F.col("selected_reference_code").alias("reference_code"))
         .agg(
             F.count_if(client).alias("num_cliente"),
             F.count_if(is_manual(metric)).alias("num_manuales"),
@@ -247,11 +270,11 @@ def training_status(
         )
         .filter(F.col("num_cliente") >= min_client)
     )
-    frequent = references.join(counts, "reference_code").withColumns({
+    frequent = references.join(counts, [*scope, "reference_code"]).withColumns({
         "is_trained_elastic": F.col("trained_count") / F.col("num_cliente") >= 0.5,
         "cliente_appearances": F.col("num_cliente"),
     })
-    return references_with_model(add_label_placeholder(frequent, labels), classes, last=False).select(
+    return references_with_model(add_label_placeholder(frequent, labels), classes, False, deployments).select(
         "reference_id", "reference_code", "reference_name", "label_id", "label_name", "num_cliente",
         "num_manuales", "is_trained_elastic", "is_in_dataset", "producto_trained", "trained_count",
         "not_trained_count", "cliente_appearances",
