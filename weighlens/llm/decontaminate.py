@@ -127,7 +127,7 @@ def _large_hits(docs: DataFrame, items: DataFrame, n: int) -> DataFrame:
 
     pairs = docs.mapInArrow(doc_grams, "doc_id bigint, size int, gram bigint, at int").join(seeds, ["size", "gram"]).select("doc_id", "item_id").distinct()
     wanted = pairs.join(items.select("item_id", "words"), "item_id").withColumnRenamed("doc_id", "__doc")
-    rows = docs.join(wanted, docs["doc_id"] == wanted["__doc"]).select("doc_id", "text", "item_id", "words")
+    rows = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["__doc"])).select("doc_id", "text", "item_id", "words")
 
     def cut(batches):
         for batch in batches:
