@@ -243,6 +243,19 @@ def _(f: Fleet) -> DataFrame:
     return models.active_model(f.tx)
 
 
+@query("active_model_recent", """
+    select deployment_id, model_id, frequency, total_records, 100.0 * frequency / total_records as percentage
+    from (select *, cast(sum(frequency) over (partition by deployment_id) as bigint) as total_records,
+                 row_number() over (partition by deployment_id order by (model_id is null), frequency desc, model_id) as rn
+          from (select deployment_id, model_id, count(*) as frequency
+                from (select *, row_number() over (partition by deployment_id order by transaction_start_time desc, transaction_id) as k from {fx_tx}) a
+                where k <= 25 group by 1, 2) b) c
+    where rn = 1 and model_id is not null""")
+def _(f: Fleet) -> DataFrame:
+    """Fewer rows than any deployment has, so that the cut is met."""
+    return models.active_model(f.tx, recent=25)
+
+
 @query("active_model_overall", """
     select model_id, count(*) as frequency, cast(1000 as bigint) as total_records, 100.0 * count(*) / 1000 as percentage
     from (select model_id from {fx_tx} order by transaction_start_time, transaction_id limit 1000) a

@@ -163,13 +163,15 @@ def _(f: Fleet) -> DataFrame:
 
 
 @query("latest_per_transaction", """
-    select transaction_id, cast(device_id as string) as device_id, transaction_start_time from {fx_tx}
-    where transaction_metric <> 'GFRSUSERPROCESSCOM03' or confidence = 'HIGH'""")
+    select t.transaction_id, case when l.newer then 'log' else cast(device_id as string) end as device_id,
+           case when l.newer then timestamp '2005-01-01' else transaction_start_time end as transaction_start_time
+    from {fx_tx} t left join (select transaction_id, bool_or(motivo_descarga = 'device') as newer from {fx_log} group by 1) l on t.transaction_id = l.transaction_id""")
 def _(f: Fleet) -> DataFrame:
-    log = f.derived("fx_log").withColumn("transaction_start_time", F.lit("1990-01-01 00:00:00"))
-    unusable = f.derived("fx_labels")
-    now = f.tx.filter("transaction_metric <> 'GFRSUSERPROCESSCOM03' or confidence = 'HIGH'")
-    return datasets.latest_per_transaction([log, now, unusable])
+    """The log is newer for device rows and older for the others."""
+    log = f.derived("fx_log").withColumns({
+        "transaction_start_time": F.when(F.col("motivo_descarga") == "device", "2005-01-01 00:00:00").otherwise("1990-01-01 00:00:00"),
+        "device_id": F.lit("log")})
+    return datasets.latest_per_transaction([log, f.tx, f.derived("fx_labels")])
 
 
 @query("dataset_versions", """
@@ -294,14 +296,15 @@ def _(f: Fleet) -> DataFrame:
 
 
 @query("write_manifest", _TRAINING + """
-    select class, label, count(*) as n from (select class, label from picked union all select class, label from extra) x group by 1, 2""")
+    select class, label, reference_name, transaction_id, 'dataset_1' as dataset_folder
+    from (select class, label, reference_name, transaction_id from picked union all select class, label, reference_name, transaction_id from extra) x""")
 def _(f: Fleet) -> DataFrame:
     """The training set's manifest in its folder layout, read back."""
     path = shared_dir(f.spark, "manifest")
     training_set.write_manifest(training_set.create_dataset(
         f.derived("fx_decisions"), f.derived("fx_device_decisions"), f.cached, f.derived("fx_used"), "dataset_1",
         work_dir=shared_dir(f.spark, "training"), skip_bad=True), path)
-    return f.spark.read.parquet(path).groupBy("class", "label").agg(F.count(F.lit(1)).alias("n"))
+    return f.spark.read.parquet(path).select("class", "label", "reference_name", "transaction_id", "dataset_folder")
 
 @query("quality_report", """
     select 'products' as table_name, reference_code as key, coalesce(label_name, '') as name, num_cliente, num_manuales, pct_ok_sistema, pct_ok_modelo,
@@ -394,14 +397,14 @@ def _(f: Fleet) -> DataFrame:
 
 
 @query("folder_download_plan", """
-    with req as (select transaction_id, 'base/' || regexp_replace(trim(selected_reference_name), '[^a-zA-Z0-9_.-]', '_', 'g') || '/' || confidence as target_folder from {fx_tx}
-                 where transaction_id in (select transaction_id from {fx_used}) and selected_reference_name is not null)
+    with req as (select transaction_id, 'base' || coalesce('/' || regexp_replace(trim(selected_reference_name), '[^a-zA-Z0-9_.-]', '_', 'g'), '') || '/' || confidence as target_folder
+                 from {fx_tx} where transaction_id in (select transaction_id from {fx_used}))
     select req.transaction_id, target_folder, s3_key, cast(rn as int) as image_no, req.transaction_id || '_' || cast(rn as string) || '.jpg' as filename,
            target_folder || '/' || req.transaction_id || '_' || cast(rn as string) || '.jpg' as local_path
     from req join (select d.transaction_id, l.path as s3_key, row_number() over (partition by d.transaction_id order by l.path) as rn
                    from {fx_folders} d join {fx_listing} l on d.folder_url = regexp_extract(l.path, '^(.*/)', 1)) i on req.transaction_id = i.transaction_id where rn <= 2""")
 def _(f: Fleet) -> DataFrame:
-    requests = f.tx.join(f.derived("fx_used"), "transaction_id", "left_semi").filter("selected_reference_name is not null").select(
+    requests = f.tx.join(f.derived("fx_used"), "transaction_id", "left_semi").select(
         "transaction_id", "selected_reference_name", "confidence")
     return downloads.folder_download_plan(requests, f.tx, f.derived("fx_folders"), f.derived("fx_listing"), "base", 2)
 

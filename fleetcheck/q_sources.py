@@ -8,7 +8,7 @@ from fleetcheck.registry import query
 from fleetcheck.tables import AS_OF, Fleet
 from weighlens.operators.checks import clean_for_export, flatten_json
 from weighlens.operators.labelling import label_transactions
-from weighlens.sinks.logs import append_dataset_log, review_logs
+from weighlens.sinks.logs import append_dataset_log, read_dataset_log, write_dataset_log, write_review_log
 from weighlens.sinks.tables import read_report, write_report, write_semicolon_csv
 from weighlens.sources import catalogue, decisions, files, lookups, transactions
 from weighlens.storage import shared_dir
@@ -16,7 +16,6 @@ from weighlens.storage import shared_dir
 _SCAN = ["transaction_id", "transaction_metric", "deployment_id", "transaction_start_time"]
 
 SPEC = {
-    "index": "device_transaction-*",
     "query_body": {
         "query": {"bool": {"must": [
             {"terms": {"transaction_metric.keyword": ["WSPROCESSCOMPLETED03", "WSREFERENCEIMAGEAC01"]}},
@@ -198,18 +197,26 @@ def _(f: Fleet) -> DataFrame:
 
 
 @query("write_report", """
-    select 'labels' as table_name, count(*) as n from {fx_labels} union all select 'folders', count(*) from {fx_folders}""")
+    select kind || '_' || table_name as table_name, key, value from (
+        select 'labels' as table_name, cast(label_id as string) as key, label_name as value from {fx_labels}
+        union all select 'folders', transaction_id, coalesce(folder_url, '') from {fx_folders}) a, (select unnest(['parquet', 'csv']) as kind) b""")
 def _(f: Fleet) -> DataFrame:
     folder = shared_dir(f.spark, "report")
     write_report(
         {"labels": f.derived("fx_labels"), "folders": f.derived("fx_folders")}, folder,
         sort={"labels": [F.col("label_name")]}, csv_copy=True,
     )
-    counted = [
-        read_report(f.spark, folder, n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("table_name"), "n")
-        for n in ("labels", "folders")
-    ]
-    return counted[0].unionByName(counted[1])
+    def rows(df: DataFrame, name: str, key: str, value: str) -> DataFrame:
+        return df.select(F.lit(name).alias("table_name"), F.col(key).cast("string").alias("key"), F.coalesce(value, F.lit("")).alias("value"))
+
+    labels, folders = ("label_id", "label_name"), ("transaction_id", "folder_url")
+    return (
+        rows(read_report(f.spark, folder, "labels"), "parquet_labels", *labels)
+        .unionByName(rows(read_report(f.spark, folder, "folders"), "parquet_folders", *folders))
+        .unionByName(rows(lookups.read_semicolon_csv(f.spark, f"{folder}/labels_csv", "label_id bigint, label_name string"), "csv_labels", *labels))
+        .unionByName(rows(lookups.read_semicolon_csv(
+            f.spark, f"{folder}/folders_csv", "transaction_id string, folder_url string, folder_files string"), "csv_folders", *folders))
+    )
 
 
 @query("write_semicolon_csv", """
@@ -234,6 +241,16 @@ def _(f: Fleet) -> DataFrame:
     return append_dataset_log(log, log.withColumn("dataset_folder", F.regexp_extract("local_path", "^out/([^/]*)", 1)))
 
 
+@query("write_dataset_log", _LOG + "'' as relative_folder from {fx_log} union all " + _LOG + """
+    clase_name || '/' || cast(label_id as string) from (select * replace (regexp_extract(local_path, '^out/([^/]*)', 1) as dataset_folder) from {fx_log}) x""")
+def _(f: Fleet) -> DataFrame:
+    """Two runs append to one folder; the whole log is read back."""
+    log, path = f.derived("fx_log"), shared_dir(f.spark, "log")
+    write_dataset_log(log, path)
+    write_dataset_log(log.withColumn("dataset_folder", F.regexp_extract("local_path", "^out/([^/]*)", 1)), path)
+    return read_dataset_log(f.spark, path)
+
+
 def _review_log(f: Fleet) -> DataFrame:
     return f.derived("fx_log").select(
         "reference_name", F.col("clase_name").alias("product_name"),
@@ -245,14 +262,16 @@ def _review_log(f: Fleet) -> DataFrame:
 
 @query("write_review_log", """
     select case when motivo_descarga = 'device' then 'devices_imagenes_bajadas' else 'revisar_imagenes_bajadas' end as log_table,
-           reference_name, clase_name as product_name, transaction_id,
-           case when motivo_descarga = 'device' then cast(device_id as string) else cast(device_id as string) || '.0' end as device_id, s3_key
+           reference_name, clase_name as product_name, case when motivo_descarga = 'device' then 'device' else 'clase_principal' end as product_type,
+           download_status, transaction_id, case when motivo_descarga = 'device' then cast(device_id as string) else cast(device_id as string) || '.0' end as device_id,
+           'name' as device_name, 'label' as result_label_name, s3_key, local_path
     from {fx_log}""")
 def _(f: Fleet) -> DataFrame:
+    """Both log tables, written and read back."""
+    written = write_review_log(_review_log(f), shared_dir(f.spark, "review-log"))
     parts = [
-        df.select(F.lit(n).alias("log_table"), "reference_name", "product_name", "transaction_id",
-                  F.col("device_id").cast("string").alias("device_id"), "s3_key")
-        for n, df in review_logs(_review_log(f)).items()
+        f.spark.read.parquet(path).withColumns({"log_table": F.lit(n), "device_id": F.col("device_id").cast("string")})
+        for n, path in written.items()
     ]
     return parts[0].unionByName(parts[1])
 
