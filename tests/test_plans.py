@@ -48,7 +48,7 @@ def test_fact_rows_are_summed_before_the_product_join(fleet):
 
 def test_constant_limit_is_applied_before_the_shuffle(fleet):
     df = first_per_group(fleet.tx, ["deployment_id"], [F.col("transaction_id")], 5, "n", "transaction_id")
-    assert plan_of(df).count("WindowGroupLimit") == 2
+    assert plan_of(df).count("WindowGroupLimit") == 4  # per slice and per group, each before and after its shuffle
 
 
 def test_latest_rows_need_no_full_sort(fleet):

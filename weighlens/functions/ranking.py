@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from weighlens.schemas import SEED
 
 _BUCKET_DIGITS = 3  # hex digits: 16**3 buckets per group
-_GROUP_LIMIT = 1000  # default of spark.sql.optimizer.windowGroupLimitThreshold
 _SLICES = 256
 
 
@@ -66,13 +65,12 @@ def first_per_group(
 ) -> DataFrame:
     """First n rows of each group with their 1-based position.
 
-    Up to 1,000 Spark itself keeps only n rows per group and task before the shuffle.
-    Beyond that each group is first cut to n rows per slice of its hash space.
+    Each group is first cut to n rows per slice of its hash space, so that the last task of a hot
+    group gets a number of rows that depends on n only, not on the data or on the number of tasks.
     """
     group = F.struct(*keys)  # one struct column, for the reason given above
-    if n > _GROUP_LIMIT:
-        within = W.partitionBy(F.struct(group, F.pmod(F.xxhash64(row_id), F.lit(_SLICES)))).orderBy(*order)
-        rows = rows.withColumn("_rank", F.row_number().over(within)).filter(F.col("_rank") <= n).drop("_rank")
+    within = W.partitionBy(F.struct(group, F.pmod(F.xxhash64(row_id), F.lit(_SLICES)))).orderBy(*order)
+    rows = rows.withColumn("_rank", F.row_number().over(within)).filter(F.col("_rank") <= n).drop("_rank")
     window = W.partitionBy(group).orderBy(*order)
     return rows.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
 
