@@ -10,7 +10,8 @@ from fleetcheck.registry import query
 from fleetcheck.tables import AS_OF, Fleet
 from weighlens.operators import datasets, images, review, sampling, suggestions
 from weighlens.operators.checks import validate_decisions
-from weighlens.plans import candidates, downloads, extract, image_review, quality, registry, training_set
+from weighlens.plans import candidates, deployment, downloads, extract, image_review, merging, quality, registry, training_set
+from weighlens.sinks.logs import read_dataset_log, write_dataset_log
 from weighlens.sources.decisions import marked_for_dataset, marked_for_review
 from weighlens.sources.lookups import load_review_transactions
 from weighlens.storage import shared_dir
@@ -210,6 +211,21 @@ def _(f: Fleet) -> DataFrame:
         "class", "label_id", "filename", "dataset_original", "reference_name", "transaction_id", "device_id", "s3_key")
 
 
+@query("merge_sets", """
+    select m.class as clase_name, m.label_id, 'merged/' || m.class || '/' || m.label_id || '/' || m.filename as local_path, m.dataset_original,
+           'merged' as dataset_folder, l.reference_name, l.transaction_id, l.s3_key
+    from """ + _MERGED + """ m
+         left join (select *, regexp_extract(local_path, '([^/]*)$', 1) as filename from {fx_log}) l on m.filename = l.filename""")
+def _(f: Fleet) -> DataFrame:
+    """The log starts with the earlier rows; the merge's rows are read back from it."""
+    path = shared_dir(f.spark, "merge-log")
+    write_dataset_log(f.derived("fx_log"), path)
+    merging.merge_sets(f.derived("fx_files"), path, "merged")
+    return read_dataset_log(f.spark, path).filter("dataset_folder = 'merged'").select(
+        "clase_name", F.col("label_id").cast("string").alias("label_id"), "local_path", "dataset_original", "dataset_folder",
+        "reference_name", "transaction_id", "s3_key")
+
+
 _SUMMARY = """select string_split(x.filename, '_')[2] as transaction_id, cast(l.device_id as string) as device_id, l.transaction_start_time,
     cast(l.transaction_start_time as date) as "Date", x.class as clase, x.label_id, x.filename, x.class || '/' || x.label_id as file_name_path
     from {fx_files} x left join {fx_log} l on string_split(x.filename, '_')[2] = l.transaction_id where x.filename like '%.JPG'"""
@@ -295,6 +311,22 @@ def _(f: Fleet) -> DataFrame:
         "transaction_id", "deployment_id", "Result", "Result_modelo", "has_image", "num_images", "image_link", "Date")
 
 
+@query("deployment_report", """
+    select p.reference_id, p.reference_code, coalesce(c, 0) as num_cliente, coalesce(m, 0) as num_manuales, l.label_name
+    from {fx_fleet_products} p left join (
+        select reference_id, count(*) filter (where is_client) as c, count(*) filter (where is_manual) as m from {fx_fleet_matches}
+        where deployment_id = 5 and model_id = 50 and transaction_start_time >= timestamp '1995-09-19' and transaction_start_time < timestamp '1998-06-16' group by 1) x
+        on p.reference_id = x.reference_id
+        left join {fx_labels} l on cast(p.label_id as bigint) = l.label_id
+    where p.deployment_id = 5""")
+def _(f: Fleet) -> DataFrame:
+    """The whole job for one deployment; its product table is read back."""
+    written = deployment.deployment_report(
+        f.raw, f.derived("fx_deployments"), f.derived("fx_models"), f.derived("fx_fleet_products"), f.derived("fx_labels"), f.derived("fx_folders"),
+        5, AS_OF, shared_dir(f.spark, "deployment-report"), 1000)
+    return f.spark.read.parquet(written["products"]).select("reference_id", "reference_code", "num_cliente", "num_manuales", "label_name")
+
+
 @query("write_manifest", _TRAINING + """
     select class, label, reference_name, transaction_id, 'dataset_1' as dataset_folder
     from (select class, label, reference_name, transaction_id from picked union all select class, label, reference_name, transaction_id from extra) x""")

@@ -100,16 +100,17 @@ def _(f: Fleet) -> DataFrame:
     select r.deployment_id, coalesce(r.model_id, d.model_id) as model_id, case when r.model_id is null then 'deployment' else 'argument' end as source,
            case when r.model_id is null and d.deployment_id is null then 'unknown_deployment'
                 when r.model_id is null and d.model_id is null then 'no_model' else 'ok' end as status,
-           o.deployment_id as conflict_deployment_id
+           coalesce((select string_agg(cast(o.deployment_id as string), ',' order by o.deployment_id) from {fx_deployments} o
+                     where r.model_id = o.model_id and r.deployment_id <> o.deployment_id), '') as conflicts
     from (select cast(c_custkey as int) as deployment_id, case when c_mktsegment = 'BUILDING' then c_nationkey * 10 end as model_id from customer) r
-         left join {fx_deployments} d on r.deployment_id = d.deployment_id
-         left join {fx_deployments} o on r.model_id = o.model_id and r.deployment_id <> o.deployment_id""")
+         left join {fx_deployments} d on r.deployment_id = d.deployment_id""")
 def _(f: Fleet) -> DataFrame:
     requests = f.given("customer").select(
         F.col("c_custkey").cast("int").alias("deployment_id"),
         F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_nationkey") * 10).alias("model_id"),
     )
-    return catalogue.resolve_model(f.derived("fx_deployments"), requests)
+    resolved = catalogue.resolve_model(f.derived("fx_deployments"), requests)
+    return resolved.withColumn("conflicts", F.array_join("conflict_deployment_ids", ",")).drop("conflict_deployment_ids")
 
 
 @query("lookup_folders", """

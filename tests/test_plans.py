@@ -14,7 +14,7 @@ from weighlens.sources.transactions import scan_transactions
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
 
 # queries that write and re-read whole reports: their tables are checked through the operators
-WRITING = {"quality_report", "candidate_report", "write_report", "register_dataset", "list_image_files"}
+WRITING = {"quality_report", "candidate_report", "write_report", "register_dataset", "list_image_files", "deployment_report", "merge_sets"}
 
 
 def plan_of(df) -> str:

@@ -45,7 +45,7 @@ def scan_model_classes(models: DataFrame, model_id: int | None = None) -> DataFr
 
 
 def resolve_model(deployments: DataFrame, requests: DataFrame) -> DataFrame:
-    """The model of each request and, one per row, the other deployments that use it.
+    """The model of each request and, as one sorted list, the other deployments that use it.
 
     ``requests`` holds (deployment_id, model_id); an explicit model wins, NULL means the
     deployment's own.  ``status`` is 'ok', 'unknown_deployment' or 'no_model'.
@@ -60,13 +60,10 @@ def resolve_model(deployments: DataFrame, requests: DataFrame) -> DataFrame:
         .when(~explicit & F.col("_own").isNull(), F.lit("no_model"))
         .otherwise(F.lit("ok")).alias("status"),
     )
-    users = deployments.select(
-        F.col("deployment_id").alias("conflict_deployment_id"), F.col("model_id").alias("_used")
+    users = deployments.groupBy(F.col("model_id").alias("_used")).agg(F.sort_array(F.collect_set("deployment_id")).alias("_users"))
+    others = F.filter("_users", lambda d: d != F.col("deployment_id"))
+    given = F.col("source") == "argument"
+    return (
+        resolved.join(users, (F.col("model_id") == F.col("_used")) & given, "left")
+        .withColumn("conflict_deployment_ids", F.coalesce(others, F.array().cast("array<int>"))).drop("_used", "_users")
     )
-    return resolved.join(
-        users,
-        (F.col("model_id") == F.col("_used"))
-        & (F.col("source") == "argument")
-        & (F.col("deployment_id") != F.col("conflict_deployment_id")),
-        "left",
-    ).drop("_used")
