@@ -79,30 +79,37 @@ def add_device_status(tx: DataFrame, activations: DataFrame) -> DataFrame:
 
     A listed device without a date counts from one month before the earliest row.
     """
-    time = next((c for c in _TIME_COLUMNS if c in tx.columns), None)
-    if "device_id" not in tx.columns or time is None:
-        return tx.withColumn("estado_dispositivo", F.lit("Silencioso"))
-    moment = F.col(time).try_cast("timestamp_ntz")
-    default = tx.agg(F.min(moment) - F.expr("INTERVAL 1 MONTH")).scalar()
-    on = F.col("_listed").isNotNull() & (moment >= F.coalesce(F.col("_activated"), default))
-    return (
-        _with_activation(tx, activations)
-        .withColumn("estado_dispositivo", F.when(on, F.lit("Encendido")).otherwise(F.lit("Silencioso")))
-        .drop("_device", "_listed", "_activated")
-    )
+    return _add_activation(tx, activations, status=True)
 
 
 def add_activation_label(tx: DataFrame, activations: DataFrame) -> DataFrame:
     """Activation day of the row's device as text."""
-    if "device_id" not in tx.columns:
-        return tx.withColumn("fecha_encendido", F.lit(""))
-    label = (
-        F.when(F.col("_device").isNull(), F.lit(""))
-        .when(F.col("_listed").isNull(), F.lit("No en archivo"))
-        .when(F.col("_activated").isNull(), F.lit("Sin fecha"))
-        .otherwise(F.to_date("_activated").cast("string"))
-    )
-    return (
-        _with_activation(tx, activations).withColumn("fecha_encendido", label)
-        .drop("_device", "_listed", "_activated")
-    )
+    return _add_activation(tx, activations, label=True)
+
+
+def add_activation_columns(tx: DataFrame, activations: DataFrame) -> DataFrame:
+    """Status and activation day from one join."""
+    return _add_activation(tx, activations, status=True, label=True)
+
+
+def _add_activation(tx: DataFrame, activations: DataFrame, status: bool = False, label: bool = False) -> DataFrame:
+    known = "device_id" in tx.columns
+    time = next((c for c in _TIME_COLUMNS if c in tx.columns), None)
+    columns = {}
+    if status and known and time is not None:
+        moment = F.col(time).try_cast("timestamp_ntz")
+        default = tx.agg(F.min(moment) - F.expr("INTERVAL 1 MONTH")).scalar()
+        on = F.col("_listed").isNotNull() & (moment >= F.coalesce(F.col("_activated"), default))
+        columns["estado_dispositivo"] = F.when(on, F.lit("Encendido")).otherwise(F.lit("Silencioso"))
+    elif status:
+        columns["estado_dispositivo"] = F.lit("Silencioso")
+    if label:
+        columns["fecha_encendido"] = (
+            F.when(F.col("_device").isNull(), F.lit(""))
+            .when(F.col("_listed").isNull(), F.lit("No en archivo"))
+            .when(F.col("_activated").isNull(), F.lit("Sin fecha"))
+            .otherwise(F.to_date("_activated").cast("string"))
+        ) if known else F.lit("")
+    if not known:
+        return tx.withColumns(columns)
+    return _with_activation(tx, activations).withColumns(columns).drop("_device", "_listed", "_activated")
