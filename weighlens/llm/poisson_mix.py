@@ -61,9 +61,11 @@ def source_rates(docs: DataFrame, weights: DataFrame | None, temperature: float,
     else:
         given = weights.groupBy(F.col(source).alias("__given")).agg(F.sum("weight").cast("double").alias("__weight"))
         sizes = sizes.join(given, F.col("__source").eqNullSafe(F.col("__given")), "left").drop("__given").fillna(0.0, ["__weight"])
-    sums = sizes.agg(F.sum("__size").cast("double").alias("__total"), F.sum("__weight").alias("__weights"))
-    rate = F.when(F.col("__weights") > 0, F.col("__weight") / F.col("__weights") * epochs * F.col("__total") / F.col("__size"))
-    return sizes.join(sums).select("__source", F.coalesce(rate, F.lit(0.0)).alias("rate"))
+    total, weights_sum = sizes.agg(F.sum("__size").cast("double"), F.sum("__weight")).first()  # one row
+    if not weights_sum:
+        return sizes.select("__source", F.lit(0.0).alias("rate"))
+    rate = F.col("__weight") / F.lit(weights_sum) * epochs * F.lit(total) / F.col("__size")
+    return sizes.select("__source", rate.alias("rate"))
 
 
 def mix_sources(
