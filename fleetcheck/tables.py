@@ -125,7 +125,8 @@ SHARED = {
         select nation as deployment_id, nation * 10 as model_id from (select distinct deployment_id as nation from {fx_flat}) a""",
     "fx_fleet_classes": """
         select m.model_id, c.class_pos, c.label_pos, c.label_id, c.class_name || '_of_' || cast(m.model_id as string) as class_name
-        from {fx_classes} c join {fx_fleet_models} m on m.model_id / 10 <= c.class_pos""",
+        from (select x.*, class_pos % 25 as d from {fx_classes} x union all select x.*, (class_pos + 1) % 25 from {fx_classes} x
+              union all select x.*, (class_pos + 7) % 25 from {fx_classes} x) c join {fx_fleet_models} m on c.d = m.deployment_id""",
     # from the transactions
     "fx_folders": """
         select transaction_id,
