@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from weighlens.llm import secret_ledger
 from weighlens.llm.common import table
 
-ASSIGN = re.compile(r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+ASSIGN = re.compile(r"""(?:(?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
 def _spans(text):

@@ -26,7 +26,7 @@ class Rule:
     least: int  # shorter matches are dropped
 
 
-# fixed values: the patterns every scan has
+# fixed values: the patterns every scan has; either case means that of the letters a to z only
 BASE_RULES = (
     Rule("assign", r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
