@@ -77,6 +77,16 @@ def test_frequent_seeds_do_not_hide_a_leak(rows):
     assert {r["doc_id"] for r in decontaminate.find_leaks(docs, items, rare_docs=5).collect()} == set(range(60))
 
 
+@pytest.mark.parametrize("room", [1 << 24, 0])
+def test_leaks_in_many_documents_are_all_found(rows, room):
+    words = ITEM.split()[:16]
+    edited = [w if k % 6 else f"new{k}" for k, w in enumerate(words, 1)]  # two intact runs of five words
+    texts = {i: f"w{i} " + " ".join(edited) for i in range(20)} | {i: f"w{i} four words of it" for i in range(20, 40)}
+    items = rows([(1, " ".join(words)), (2, "four words of it")], "item_id bigint, text string")
+    found = decontaminate.find_leaks(rows(list(texts.items()), "doc_id bigint, text string"), items, rare_docs=5, broadcast_bytes=room)
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(i, 1) for i in range(20)} | {(i, 2) for i in range(20, 40)}
+
+
 def test_given_leaks_are_those_of_a_plain_search(spark):
     docs, items = table(spark, TEN_TIMES, "documents"), table(spark, TEN_TIMES, "benchmark")
     flat = {r["doc_id"]: " ".join(_words(r["text"])) for r in docs.collect()}

@@ -1,9 +1,9 @@
-"""Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: n-gram seeds find passages, Smith-Waterman alignment scores them.
 
 Every n-gram of every test item is a seed.  A scan of all whole texts gives, for each document and item with common
-seeds, the stretch of words around them.  Seeds are counted over the corpus; a stretch is aligned if it holds a rare
-seed or several seeds.  Local alignment of words (match 2, other word -1, gap -1) follows inserted, dropped and replaced
-words; its score is given as a share of the item's perfect score.
+seeds, the stretch of words around them.  Every stretch is aligned, however often its seeds occur.  Local alignment of
+words (match 2, other word -1, gap -1) follows inserted, dropped and replaced words; its score is given as a share of the
+item's perfect score.
 """
 
 from __future__ import annotations
@@ -176,28 +176,24 @@ def find_leaks(
     """(doc_id, item_id, score, first_word, end_word, seeds) of every stretch that aligns with at least ``least_score``.
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text; other columns are not read.  score is the alignment's
-    share of the item's perfect score; words are counted from 0 in the text's words of letters and digits.  A seed is rare
-    if at most ``rare_docs`` stretches hold it; a stretch without a rare seed needs three seeds.  NULL and empty texts,
-    items without words and empty tables give no rows.  Items with fewer than n words are one seed.  Repeated rows and
-    NULL ids give their rows as often as they occur.
+    share of the item's perfect score; words are counted from 0 in the text's words of letters and digits.  ``rare_docs``
+    is taken for older calls and leaves nothing out.  NULL and empty texts, items without words and empty tables give no
+    rows.  Items with fewer than n words are one seed.  Repeated rows and NULL ids give their rows as often as they occur.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     items = staged(_item_words(benchmark, "item_id", "text"), "leak-items")
     size = items.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     hits = _small_hits(docs, items.collect(), n) if size <= broadcast_bytes else _large_hits(docs, items, n)
-    hits = staged(hits.withColumn("row", F.monotonically_increasing_id()), "leak-hits")
-    seeds = hits.select("row", F.explode("seeds").alias("seed"))
-    rarity = seeds.groupBy("seed").count()
-    judged = seeds.join(rarity, "seed").groupBy("row").agg(F.min("count").alias("rarest"), F.count(F.lit(1)).alias("n"))
-    judged = judged.filter((F.col("rarest") <= rare_docs) | (F.col("n") >= 3)).select(F.col("row").alias("__row"))
-    rows = hits.join(judged, F.col("row") == F.col("__row"), "left_semi").join(items, "item_id")
+    rows = staged(hits, "leak-hits").join(items, "item_id")
 
     def score(batches):
         for batch in batches:
-            out = []
+            out, known = [], {}  # copies of a stretch are aligned once
             for r in batch.to_pylist():
-                item = np.frombuffer(r["words"], np.uint64)
-                points, first, end = align(item, np.frombuffer(r["stretch"], np.uint64))
+                item, pair = np.frombuffer(r["words"], np.uint64), (r["words"], r["stretch"])
+                if pair not in known:
+                    known[pair] = align(item, np.frombuffer(r["stretch"], np.uint64))
+                points, first, end = known[pair]
                 share = points / (2 * len(item))
                 if share >= least_score:
                     out.append((r["doc_id"], r["item_id"], share, r["first"] + first, r["first"] + end, len(r["seeds"])))
