@@ -87,6 +87,61 @@ def test_leaks_in_many_documents_are_all_found(rows, room):
     assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(i, 1) for i in range(20)} | {(i, 2) for i in range(20, 40)}
 
 
+def _edits(r):
+    """Copies of items with every 2nd to 9th word replaced, dropped, added or doubled, items of 1 to 40 words, loose words."""
+    items, texts = [], []
+    for m in (1, 2, 3, 4, 5, 6, 9, 16, 25, 40):
+        item = [f"i{m}x{r.randrange(10 ** 6) if m > 9 else k}" for k in range(m)]
+        if m == 25:
+            item = [w if k % 3 else "the" for k, w in enumerate(item)]
+        items.append(item)
+        for every in range(2, 10):
+            for kind in ("replace", "drop", "add", "both"):
+                out = []
+                for k, w in enumerate(item, r.randrange(every)):
+                    edit = k % every == 0
+                    out += [f"n{r.randrange(10 ** 6)}"] if edit and kind == "replace" else [w]
+                    out = out[:-1] if edit and kind == "drop" else out + ["more"] if edit and kind in ("add", "both") else out
+                    out = out[:-2] + ["more"] if edit and kind == "both" and every > 4 else out
+                fill = lambda: [r.choice(["the", "more", f"f{r.randrange(10 ** 6)}"]) for _ in range(r.randrange(12))]
+                texts.append(fill() + out + fill())
+    for item in items:
+        texts.append([x for w in item for x in (w, w)])
+        texts.append([x for w in item for x in (w, "more")])
+    return items, texts
+
+
+@pytest.mark.parametrize("share", [0.5, 0.4, 0.8])
+def test_edited_copies_are_those_of_brute_force(share):
+    for seed in range(3):
+        items, texts = _edits(random.Random(seed))
+        hashed = lambda w: decontaminate.word_hashes(decontaminate.pa.array([" ".join(w)]), plain=True)[0]
+        found = decontaminate._leaks([hashed(w) for w in items], 5, share)(decontaminate.pa.array([" ".join(t) for t in texts]))
+        best = {(t, i): _align(item, text) / (2 * len(item)) for t, text in enumerate(texts) for i, item in enumerate(items) if set(item) & set(text)}
+        assert {(t, i): s for t, i, s, *_ in sorted(found, key=lambda f: f[2])} == pytest.approx({k: s for k, s in best.items() if s >= share})
+
+
+@pytest.mark.parametrize("hits", [1, 7, 100])
+def test_chunks_of_seeds_change_nothing(monkeypatch, hits):
+    items, texts = _edits(random.Random(5))
+    hashed = [decontaminate.word_hashes(decontaminate.pa.array([" ".join(w)]), plain=True)[0] for w in items]
+    texts = decontaminate.pa.array([" ".join(t) for t in texts[::7]] + ["", None] + [" ".join(sum(texts, []))])
+    whole = sorted(decontaminate._leaks(hashed, 5, 0.5)(texts))
+    monkeypatch.setattr(decontaminate, "HITS", hits * 64)
+    assert sorted(decontaminate._leaks(hashed, 5, 0.5)(texts)) == whole
+
+
+@pytest.mark.parametrize("room", [1 << 24, 0])
+def test_copies_without_five_words_in_a_row_are_found(rows, room):
+    words = ITEM.split()
+    texts = {every: " ".join(w if k % every else f"new{k}" for k, w in enumerate(words)) for every in (3, 4, 5)}
+    texts[10] = " ".join(w for w in words for _ in (0, 1))  # scores 0.525
+    docs = rows(list(texts.items()), "doc_id bigint, text string")
+    found = {r["doc_id"]: r["score"] for r in decontaminate.find_leaks(docs, rows([(1, ITEM), (2, "other words")], "item_id bigint, text string"), broadcast_bytes=room).collect()}
+    expected = {i: _align(words, t.split()) / (2 * len(words)) for i, t in texts.items()}
+    assert found == pytest.approx({i: s for i, s in expected.items() if s >= 0.5}) and {4, 5, 10} <= set(found)
+
+
 def test_given_leaks_are_those_of_a_plain_search(spark):
     docs, items = table(spark, TEN_TIMES, "documents"), table(spark, TEN_TIMES, "benchmark")
     flat = {r["doc_id"]: " ".join(_words(r["text"])) for r in docs.collect()}

@@ -1,24 +1,32 @@
-"""Benchmark decontamination: n-gram seeds find passages, Smith-Waterman alignment scores them.
-
-Every n-gram of every test item is a seed.  A scan of all whole texts gives, for each document and item with common
-seeds, the stretch of words around them.  Every stretch is aligned, however often its seeds occur.  Local alignment of
-words (match 2, other word -1, gap -1) follows inserted, dropped and replaced words; its score is given as a share of the
-item's perfect score.
+"""Benchmark decontamination: word-pair seeds find passages, Smith-Waterman alignment scores them.
+
+Local alignment of words (match 2, other word -1, gap -1) follows inserted, dropped and replaced words; its score is given
+as a share of the item's perfect score.  What is aligned follows from the least share s, so that nothing above it is missed.
+An alignment of k matched words and e other steps with an item of m words scores 2k - e >= 2sm.  Between two matched words
+that follow each other lie no other step (weight 2), one (weight 1) or more (weight 0), so the weights sum up to
+2(k - 1) - e >= 2sm - 2 at least.  Steps of weight 2 and 1 are seeds: two words of the item at most two places apart, met in
+the text at most two places apart.  The alignment spans at most m + 2m(1 - s) words of the text, as 2k - e >= 2sm and k <= m.
+So only runs of that many words whose seeds weigh enough are aligned, and all of these, however often a seed occurs.  Where
+2sm - 2 is not above 0 (short items), each word of the item is a seed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from weighlens.llm.common import staged
-from weighlens.llm.words import text_ngrams, word_hashes
+from weighlens.llm.words import mixed, text_ngrams, word_hashes
 
-BROADCAST_BYTES = 16 << 20  # test items up to this size in all go to every task; larger sets are joined
+BROADCAST_BYTES = 16 << 20  # test items go to every task, up to this size at once; a larger set takes several scans
+HITS = 1 << 21  # seeds met that are held at once
 
 _ITEM = "item_id bigint, words binary, n_words int"
-_HIT = "doc_id bigint, item_id bigint, first int, seeds array<bigint>, stretch binary"
+_LEAK = "doc_id bigint, item_id bigint, score double, first_word int, end_word int, seeds int"
 
 
 def _item_words(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
@@ -35,112 +43,163 @@ def _item_words(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
     return benchmark.select(F.col(item_id).cast("bigint"), text).mapInArrow(cut, _ITEM)
 
 
-def _seeds(item_ids: list, words: list[np.ndarray], n: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """n-gram length to (sorted seeds, item number of each); an item shorter than n words is one shorter seed."""
-    found: dict[int, list] = {}
-    for number, w in enumerate(words):
-        size = min(n, len(w))
-        grams = np.unique(text_ngrams(w, np.array([len(w)]), size)[0])
-        found.setdefault(size, []).append((grams, np.full(len(grams), number)))
-    out = {}
-    for size, parts in found.items():
-        grams, numbers = (np.concatenate(x) for x in zip(*parts))
-        order = np.argsort(grams, kind="stable")
-        out[size] = grams[order], numbers[order]
-    return out
-
-
-def _stretches(words, counts, doc_ids, hits, reach, item_ids):
-    """Rows of _HIT: hits (text, item number, position, gram) of a text and item that are near each other are one."""
-    text, item, at, gram = hits
-    order = np.lexsort((at, item, text))
-    text, item, at, gram = text[order], item[order], at[order], gram[order]
-    far = 2 * reach[item]
-    new = np.ones(len(text), bool)
-    new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (at[1:] - at[:-1] > far[1:])
-    begins = np.flatnonzero(new)
+def _pairs(words: np.ndarray, apart: int) -> np.ndarray:
+    """Hash of the word at each place and the one ``apart`` places on."""
+    return mixed(mixed(words[:-apart]) + words[apart:])
+
+
+class _Seeds:
+    """Seeds of some items, sorted: word pairs, and single words of short items."""
+
+    def __init__(self, words: list[np.ndarray], least_score: float):
+        size = np.array([len(w) for w in words], np.int64)
+        self.least = 2 * least_score * size - 2 - 1e-6
+        short = self.least <= 0
+        self.least[short] = 1
+        self.span = size + np.ceil(2 * size * (1 - least_score)).astype(np.int64)
+        self.far = np.maximum(2 * size, self.span)
+        self.of_pairs = self._sorted([(_pairs(w, k), i, 3 - k) for i, w in enumerate(words) if not short[i] for k in (1, 2)])
+        self.of_words = self._sorted([(w, i, 1) for i, w in enumerate(words) if short[i]])
+
+    @staticmethod
+    def _sorted(parts):
+        """(hashes, items, weights), each hash of an item once with its largest weight."""
+        if not parts:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        key = np.concatenate([h for h, _, _ in parts])
+        item = np.concatenate([np.full(len(h), i, np.int64) for h, i, _ in parts])
+        weight = np.concatenate([np.full(len(h), w, np.int64) for h, _, w in parts])
+        order = np.lexsort((-weight, item, key))
+        key, item, weight = key[order], item[order], weight[order]
+        first = np.ones(len(key), bool)
+        first[1:] = (key[1:] != key[:-1]) | (item[1:] != item[:-1])
+        return key[first], item[first], weight[first]
+
+    def marks(self):
+        """Per table: which leading 20 bits its hashes have."""
+        out = []
+        for key, _, _ in (self.of_pairs, self.of_words):
+            mark = np.zeros(1 << 20, bool)
+            mark[key >> np.uint64(44)] = True
+            out.append(mark)
+        return out
+
+
+def _met(words, counts, seeds: _Seeds, marks):
+    """Places where the texts meet seeds: (places, first row of the table, rows, table, weight at most) per kind of seed."""
+    text = np.repeat(np.arange(len(counts)), counts)
+    out = []
+    for table, mark, apart in ((seeds.of_pairs, marks[0], 1), (seeds.of_pairs, marks[0], 2), (seeds.of_words, marks[1], 0)):
+        if not len(table[0]) or len(words) <= apart:
+            continue
+        key = _pairs(words, apart) if apart else words
+        at = np.flatnonzero(mark[key >> np.uint64(44)])
+        at = at[text[at] == text[at + apart]]
+        left = np.searchsorted(table[0], key[at], side="left")
+        rows = np.searchsorted(table[0], key[at], side="right") - left
+        some = rows > 0
+        out.append((at[some], left[some], rows[some], table, 1 if apart == 2 else 2))
+    return text, out
+
+
+def _stretches(counts, text, met, seeds: _Seeds):
+    """(text, item, first word, end word) of all stretches that may align well enough."""
     starts = np.cumsum(counts) - counts
-    rows = []
-    for b, e in zip(begins, np.append(begins[1:], len(text))):
-        t, low = text[b], max(0, int(at[b] - reach[item[b]]))
-        high = min(int(counts[t]), int(at[e - 1] + 2 * reach[item[b]]))
-        rows.append((doc_ids[t], item_ids[item[b]], low, np.unique(gram[b:e]).view(np.int64).tolist(), words[starts[t] + low:starts[t] + high].tobytes()))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 5, (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary()))],
-        names=["doc_id", "item_id", "first", "seeds", "stretch"])
-
-
-def _small_hits(docs: DataFrame, items: list, n: int) -> DataFrame:
-    """Hits where all items are known to every task."""
-    item_ids = [r["item_id"] for r in items]
-    item_words = [np.frombuffer(r["words"], np.uint64) for r in items]
-    reach = np.array([len(w) for w in item_words], np.int64)
-    seeds = _seeds(item_ids, item_words, n)
-
-    def scan(batches):
-        marks = {}
-        for size, (grams, _) in seeds.items():
-            marks[size] = np.zeros(1 << 20, bool)
-            marks[size][grams >> np.uint64(44)] = True
-        for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                batch = whole.slice(at, 2000)
-                words, counts = word_hashes(batch.column(1), plain=True)
-                found = []
-                for size, (grams, numbers) in seeds.items():
-                    g, text, place = text_ngrams(words, counts, size)
-                    maybe = np.flatnonzero(marks[size][g >> np.uint64(44)])
-                    left = np.searchsorted(grams, g[maybe], side="left")
-                    many = np.searchsorted(grams, g[maybe], side="right") - left
-                    which = np.repeat(maybe, many)
-                    offset = np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
-                    found.append((text[which], numbers[np.repeat(left, many) + offset], place[which], g[which]))
-                hits = [np.concatenate(x) for x in zip(*found)] if found else []
-                if hits and len(hits[0]):
-                    yield _stretches(words, counts, batch.column(0).to_pylist(), hits, reach, item_ids)
-
-    return docs.mapInArrow(scan, _HIT)
-
-
-def _large_hits(docs: DataFrame, items: DataFrame, n: int) -> DataFrame:
-    """Hits by a join: documents that share a seed with an item, then the stretches of these pairs."""
-    def item_grams(batches):
-        for batch in batches:
-            for i, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                w = np.frombuffer(w, np.uint64)
-                grams = np.unique(text_ngrams(w, np.array([len(w)]), min(n, len(w)))[0]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([i] * len(grams), pa.int64()), pa.array(np.full(len(grams), min(n, len(w))), pa.int32()), pa.array(grams)], names=["item_id", "size", "gram"])
-
-    seeds = staged(items.mapInArrow(item_grams, "item_id bigint, size int, gram bigint"), "leak-seeds")
-    sizes = [r[0] for r in seeds.select("size").distinct().collect()]  # at most n
-
-    def doc_grams(batches):
-        for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                batch = whole.slice(at, 2000)
-                words, counts = word_hashes(batch.column(1), plain=True)
-                for size in sizes:
-                    g, text, place = text_ngrams(words, counts, size)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(text)), pa.array(np.full(len(g), size), pa.int32()), pa.array(g.view(np.int64)), pa.array(place.astype(np.int32))],
-                        names=["doc_id", "size", "gram", "at"])
-
-    pairs = docs.mapInArrow(doc_grams, "doc_id bigint, size int, gram bigint, at int").join(seeds, ["size", "gram"]).select("doc_id", "item_id").distinct()
-    wanted = pairs.join(items.select("item_id", "words"), "item_id").withColumnRenamed("doc_id", "__doc")
-    rows = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["__doc"])).select("doc_id", "text", "item_id", "words")
-
-    def cut(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                item_id, item = batch.column(2)[i].as_py(), np.frombuffer(batch.column(3)[i].as_py(), np.uint64)
-                words, counts = word_hashes(batch.column(1).slice(i, 1), plain=True)
-                (size, (grams, numbers)), = _seeds([item_id], [item], n).items()
-                g, text, place = text_ngrams(words, counts, size)
-                hit = np.isin(g, grams)
-                if hit.any():
-                    yield _stretches(words, counts, batch.column(0).slice(i, 1).to_pylist(), (text[hit], np.zeros(hit.sum(), np.int64), place[hit], g[hit]), np.array([len(item)]), [item_id])
-
-    return rows.mapInArrow(cut, _HIT)
+    room = int(seeds.far.max()) + 1  # keeps texts apart
+    width = int(counts.sum()) + room * (len(counts) + 1)
+    # texts in chunks of about HITS hits; a text with more of them meets its items one share after the other
+    load = np.zeros(len(counts) + 1, np.int64)
+    for at, _, rows, _, _ in met:
+        load[1:] += np.bincount(text[at], rows, minlength=len(counts)).astype(np.int64)
+    load = np.cumsum(load)
+    begin = 0
+    while begin < len(counts):
+        end = max(begin + 1, int(np.searchsorted(load, load[begin] + HITS, side="right")) - 1)
+        shares = max(1, -(-int(load[end] - load[begin]) // HITS))
+        for share in range(shares):
+            keys = []
+            for at, left, rows, (_, items, weights), most in met:
+                a, b = np.searchsorted(text[at], [begin, end])
+                for x in range(a, b, HITS // 64) if shares > 1 else [a]:
+                    part = slice(x, min(b, x + HITS // 64) if shares > 1 else b)
+                    many = rows[part]
+                    row = np.repeat(left[part] - np.cumsum(many) + many, many) + np.arange(many.sum())
+                    where = np.repeat(at[part], many)
+                    if shares > 1:
+                        mine = items[row] % shares == share
+                        row, where = row[mine], where[mine]
+                    keys.append((items[row] * width + where + text[where] * room) * 4 + np.minimum(weights[row], most))
+            keys = np.sort(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
+            last = np.ones(len(keys), bool)  # of a place and item, the largest weight
+            last[:-1] = keys[1:] >> 2 != keys[:-1] >> 2
+            place, weight = keys[last] >> 2, keys[last] & 3
+            if not len(place):
+                continue
+            item = place // width
+            reach = np.searchsorted(place, place + seeds.span[item], side="left")
+            total = np.concatenate([[0], np.cumsum(weight)])
+            dense = np.flatnonzero(total[reach] - total[:-1] >= seeds.least[item])
+            cover = np.bincount(dense, minlength=len(place) + 1) - np.bincount(reach[dense], minlength=len(place) + 1)
+            keep = np.cumsum(cover)[:-1] > 0
+            place, item = place[keep], item[keep]
+            new = np.ones(len(place), bool)
+            new[1:] = (item[1:] != item[:-1]) | (place[1:] - place[:-1] > seeds.far[item[1:]])
+            firsts = np.flatnonzero(new)
+            shift = starts + np.arange(len(counts)) * room
+            for b, e in zip(firsts, np.append(firsts[1:], len(place))):
+                i, low = int(item[b]), int(place[b] - item[b] * width)
+                t = int(np.searchsorted(shift, low, side="right")) - 1
+                while not counts[t]:
+                    t -= 1
+                low, high = low - int(shift[t]), int(place[e - 1] - item[b] * width - shift[t])
+                yield t, i, max(0, low - int(seeds.span[i])), min(int(counts[t]), high + int(seeds.span[i]) + 1)
+        begin = end
+
+
+def _leaks(words: list[np.ndarray], n: int, least_score: float):
+    """Function from a batch's texts to its leaks: (text, item, score, first word, end word, n-grams that are whole)."""
+    seeds = _Seeds(words, least_score)
+    marks = seeds.marks()
+
+    def grams(w, size):
+        return np.unique(text_ngrams(w, np.array([len(w)]), size)[0])
+
+    def run(texts: pa.Array) -> list[tuple]:
+        heard, counts = word_hashes(texts, plain=True)
+        starts = np.cumsum(counts) - counts
+        text, met = _met(heard, counts, seeds, marks)
+        out, known = [], {}  # copies of a stretch are aligned once
+        for t, i, low, high in _stretches(counts, text, met, seeds):
+            stretch = heard[starts[t] + low:starts[t] + high]
+            pair = i, stretch.tobytes()
+            if pair not in known:
+                points, first, end = align(words[i], stretch)
+                share = points / (2 * len(words[i]))
+                size = min(n, len(words[i]))
+                whole = len(np.intersect1d(grams(words[i], size), grams(stretch, size))) if share >= least_score else 0
+                known[pair] = share, first, end, whole
+            share, first, end, whole = known[pair]
+            if share >= least_score:
+                out.append((t, i, share, low + first, low + end, whole))
+        return out
+
+    return run
+
+
+def _slices(benchmark: DataFrame, most_bytes: int) -> Iterator[tuple[list, list[np.ndarray]]]:
+    """(ids, words) of the items that have words, about ``most_bytes`` of words at once."""
+    items = staged(_item_words(benchmark, "item_id", "text"), "leak-items")
+    size = items.agg(F.sum(F.octet_length("words"))).first()[0] or 0
+    ids, words, held = [], [], 0
+    for r in items.collect() if size <= most_bytes else items.toLocalIterator():
+        if ids and held + len(r["words"]) > most_bytes:
+            yield ids, words
+            ids, words, held = [], [], 0
+        ids.append(r["item_id"])
+        words.append(np.frombuffer(r["words"], np.uint64))
+        held += len(r["words"])
+    if ids:
+        yield ids, words
 
 
 def align(item: np.ndarray, stretch: np.ndarray) -> tuple[int, int, int]:
@@ -176,33 +235,36 @@ def find_leaks(
     """(doc_id, item_id, score, first_word, end_word, seeds) of every stretch that aligns with at least ``least_score``.
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text; other columns are not read.  score is the alignment's
-    share of the item's perfect score; words are counted from 0 in the text's words of letters and digits.  ``rare_docs``
-    is taken for older calls and leaves nothing out.  NULL and empty texts, items without words and empty tables give no
-    rows.  Items with fewer than n words are one seed.  Repeated rows and NULL ids give their rows as often as they occur.
+    share of the item's perfect score; words are counted from 0 in the text's words of letters and digits; seeds are the
+    item's distinct runs of n words (of all words, if it has fewer) that the stretch holds unchanged, which may be none.
+    Stretches of an item less than twice its length apart are one.  ``rare_docs`` is taken for older calls and leaves
+    nothing out.  NULL and empty texts, items without words and empty tables give no rows.  Repeated rows and NULL ids
+    give their rows as often as they occur.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    items = staged(_item_words(benchmark, "item_id", "text"), "leak-items")
-    size = items.agg(F.sum(F.octet_length("words"))).first()[0] or 0
-    hits = _small_hits(docs, items.collect(), n) if size <= broadcast_bytes else _large_hits(docs, items, n)
-    rows = staged(hits, "leak-hits").join(items, "item_id")
 
-    def score(batches):
-        for batch in batches:
-            out, known = [], {}  # copies of a stretch are aligned once
-            for r in batch.to_pylist():
-                item, pair = np.frombuffer(r["words"], np.uint64), (r["words"], r["stretch"])
-                if pair not in known:
-                    known[pair] = align(item, np.frombuffer(r["stretch"], np.uint64))
-                points, first, end = known[pair]
-                share = points / (2 * len(item))
-                if share >= least_score:
-                    out.append((r["doc_id"], r["item_id"], share, r["first"] + first, r["first"] + end, len(r["seeds"])))
-            types = (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 6, types)], names=["doc_id", "item_id", "score", "first_word", "end_word", "seeds"])
-
-    return rows.select("doc_id", "item_id", "first", "seeds", "stretch", "words").mapInArrow(
-        score, "doc_id bigint, item_id bigint, score double, first_word int, end_word int, seeds int"
-    )
+    def found(ids, words):
+        def scan(batches):
+            leaks = _leaks(words, n, least_score)
+            for whole in batches:
+                for at in range(0, whole.num_rows, 2000):
+                    batch = whole.slice(at, 2000)
+                    text, item, *rest = list(zip(*leaks(batch.column(1)))) or [()] * 6
+                    names = ["doc_id", "item_id", "score", "first_word", "end_word", "seeds"]
+                    columns = [batch.column(0).take(pa.array(text, pa.int64())), pa.array([ids[i] for i in item], pa.int64())]
+                    types = (pa.float64(), pa.int32(), pa.int32(), pa.int32())
+                    yield pa.RecordBatch.from_arrays(columns + [pa.array(c, t) for c, t in zip(rest, types)], names=names)
+
+        return docs.mapInArrow(scan, _LEAK)
+
+    parts, held = [], None
+    for x in _slices(benchmark, broadcast_bytes):
+        if held is not None:  # more than one: written one after the other, so that one list of items is held at a time
+            parts.append(staged(held, "leaks"))
+        held = found(*x)
+    if held is None:
+        return docs.sparkSession.createDataFrame([], _LEAK)
+    return reduce(DataFrame.union, [*parts, held])
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
