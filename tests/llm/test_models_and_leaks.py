@@ -142,6 +142,16 @@ def test_copies_without_five_words_in_a_row_are_found(rows, room):
     assert found == pytest.approx({i: s for i, s in expected.items() if s >= 0.5}) and {4, 5, 10} <= set(found)
 
 
+@pytest.mark.parametrize("room", [1 << 24, 0])
+def test_rows_without_ids_leak_like_others(rows, room):
+    docs = rows([(None, ITEM, 1.0), (None, "clean text", 2.0), (1, "see " + ITEM, 3.0), (1, "clean", 4.0), (2, None, 5.0)], "doc_id bigint, text string, score double")
+    items = rows([(None, ITEM), (7, "never seen words")], "item_id bigint, text string")
+    found = decontaminate.find_leaks(docs, items, broadcast_bytes=room).collect()
+    assert sorted((str(r["doc_id"]), r["item_id"]) for r in found) == [("1", None), ("None", None)]
+    kept = decontaminate.drop_leaks(docs, items, broadcast_bytes=room)
+    assert kept.columns == docs.columns and sorted(r["score"] for r in kept.collect()) == [2.0, 4.0, 5.0]
+
+
 def test_given_leaks_are_those_of_a_plain_search(spark):
     docs, items = table(spark, TEN_TIMES, "documents"), table(spark, TEN_TIMES, "benchmark")
     flat = {r["doc_id"]: " ".join(_words(r["text"])) for r in docs.collect()}

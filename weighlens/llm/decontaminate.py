@@ -267,7 +267,29 @@ def find_leaks(
     return reduce(DataFrame.union, [*parts, held])
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark passage; all columns and repeated rows are kept."""
-    leaked = staged(find_leaks(docs, benchmark, **how).select(F.col("doc_id").alias("__leaked")).distinct(), "leaked")
-    return docs.join(leaked, F.col("doc_id") == F.col("__leaked"), "left_anti")
+def drop_leaks(
+    docs: DataFrame, benchmark: DataFrame, n: int = 5, least_score: float = 0.5, rare_docs: int = 1000,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """``docs`` without the rows that hold a benchmark passage; all columns and repeated rows are kept.
+
+    Each row is judged by its own text, so rows with NULL ids go like others and rows that share an id do not take each other along.
+    """
+    at_text = docs.columns.index("text")
+
+    def without(rows, words):
+        def scan(batches):
+            leaks = _leaks(words, n, least_score)
+            for whole in batches:
+                for at in range(0, whole.num_rows, 2000):
+                    batch = whole.slice(at, 2000)
+                    keep = np.ones(batch.num_rows, bool)
+                    keep[[t for t, *_ in leaks(batch.column(at_text))]] = False
+                    yield batch.filter(pa.array(keep))
+
+        return rows.mapInArrow(scan, docs.schema)
+
+    left = None
+    for _, words in _slices(benchmark, broadcast_bytes):  # written in between, as in find_leaks
+        left = without(docs if left is None else staged(left, "without-leaks"), words)
+    return docs if left is None else left
