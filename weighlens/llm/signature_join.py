@@ -6,7 +6,8 @@ BANDS pairs of minimum hashes, so that a pair at 0.75 is missed with probability
 chance that two of the 64-bit hashes collide.  Inside a bucket a signature tree finds the pairs: a leaf has a class's
 bitmap of hashed shingles, a node the OR of its children's bitmaps and the range of their set sizes.  Two nodes are
 descended into only if the largest overlap that their bitmaps and sizes allow can still reach the similarity, and only
-while they are not known to be one component already.
+while they are not known to be one component already.  Buckets of two to four classes have no tree: all
+their pairs take the same bitmap test at once.
 
 Pairs are decided on the exact sets.  First each bucket gives a forest, its best pairs that join what is not joined yet,
 so a bucket of thousands of near copies gives thousands of pairs, not millions; then, for classes that are still apart,
