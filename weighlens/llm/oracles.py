@@ -114,7 +114,89 @@ reach as (select a, b from links union select r.a, l.b from reach r join links l
 lowest as (select a, min(b) as low from reach group by a)
 select s.doc_id, len(grams) as n_shingles, least(s.doc_id, coalesce(low, s.doc_id)) as component_id from s left join lowest on s.doc_id = lowest.a"""
 
+_STEPS = """select list_transform(range(256), lambda n: list_reduce(list_prepend(n, [1, 1, 1, 1, 1, 1, 1, 1]),
+           lambda c, one: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end)) as steps"""
+
+# edits of one row as (state, initial of the row, letter, state behind it), and rows inserted behind it; the least
+# (cost, audit) of every state is carried from row to row
+_OP11 = rf"""
+with recursive raw as (
+    select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as key from conversations),
+crc_steps as ({_STEPS}),
+kinds as (
+    select key, xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(regexp_extract_all(hex(encode(key)), '..'), lambda b: ('0x' || b)::bigint)),
+           lambda c, b: xor(steps[(xor(c, b) & 255) + 1], c >> 8))) % 20 as kind
+    from (select distinct key from raw) x, crc_steps),
+damaged as (
+    select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+           case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text, unnest(range(case when kind = 3 then 2 else 1 end)) as copy
+    from raw join kinds using (key) where kind <> 0),
+placed as (
+    select *, rtrim(text, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))) as solid,
+           row_number() over (partition by conv_id order by turn nulls first, role, sha256(length(role)::varchar || ':' || role || ':' || text), copy) as i from damaged),
+rows_of as (
+    select *, left(role, 1) as initial, case when solid = '' then 'b' when row_number() over (partition by conv_id, role, text order by i) > 1 then 'd'
+           when right(solid, 1) in ('.', '!', '?') then '' else 't' end as fault,
+           lag(left(role, 1)) over (partition by conv_id order by i) || left(role, 1) as step from placed),
+go(state, initial, upto) as (values ('', 's', 's'), ('', 'u', 'u'), ('s', 'u', 'u'), ('a', 'u', 'u'), ('u', 'a', 'a')),
+inserts(state, upto, letters, price, added) as (values
+    ('', '', '', 0, ''), ('s', 's', '', 0, ''), ('u', 'u', '', 0, ''), ('a', 'a', '', 0, ''), ('', 'u', 'I', 5, chr(10) || 'user:'), ('s', 'u', 'I', 5, chr(10) || 'user:'),
+    ('a', 'u', 'I', 5, chr(10) || 'user:'), ('u', 'a', 'I', 5, chr(10) || 'assistant:'), ('', 'a', 'II', 10, chr(10) || 'user:' || chr(10) || 'assistant:'),
+    ('s', 'a', 'II', 10, chr(10) || 'user:' || chr(10) || 'assistant:')),
+walk as (
+    select conv_id, 0::bigint as i, upto as state, struct_pack(cost := price, audit := letters, said := added) as best
+    from (select distinct conv_id from placed) x, inserts where state = ''
+    union all
+    select conv_id, i, state, min(best) as best from (
+        select e.conv_id, e.i, n.upto as state, struct_pack(cost := e.cost + n.price, audit := e.audit || n.letters, said := e.said || n.added) as best
+        from (
+            select r.conv_id, r.i, w.state, w.best.cost + 2 as cost, w.best.audit || 'D' as audit, w.best.said as said
+            from walk w join rows_of r on w.conv_id is not distinct from r.conv_id and r.i = w.i + 1
+            union all
+            select r.conv_id, r.i, g.upto, w.best.cost + case when r.fault = 't' then 5 else 0 end + case when r.initial = g.initial then 0 else 1 end,
+                   w.best.audit || case when r.initial = g.initial then 'K' else 'R' end,
+                   w.best.said || chr(10) || case when r.initial = g.initial then r.role when g.initial = 'u' then 'user' else 'assistant' end || ':' || r.text
+            from walk w join rows_of r on w.conv_id is not distinct from r.conv_id and r.i = w.i + 1 join go g on g.state = w.state
+            where r.fault not in ('b', 'd') and (r.initial = g.initial or g.initial <> 's')) e
+        join inserts n on n.state = e.state) c
+    group by conv_id, i, state),
+counts as (
+    select conv_id, max(i) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (where fault = 'b') as blank,
+           count(*) filter (where fault = 'd') as duplicate, count(*) filter (where fault = 't') as truncated,
+           count(*) filter (where i > 1 and step not in ('su', 'ua', 'au')) as illegal from rows_of group by conv_id),
+ends as (
+    select w.conv_id, min(w.best) as best from walk w join counts c on w.conv_id is not distinct from c.conv_id and w.i = c.n where w.state in ('', 'a') group by w.conv_id)
+select x.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate, coalesce(truncated, 0)::bigint as truncated,
+       coalesce(illegal, 0)::bigint as illegal, coalesce(e.best.cost, 0)::bigint as cost, coalesce(e.best.audit, '') as audit, sha256(coalesce(substr(e.best.said, 2), '')) as repaired_sha256
+from (select distinct conv_id from conversations) x left join counts c on x.conv_id is not distinct from c.conv_id left join ends e on x.conv_id is not distinct from e.conv_id"""
+
+_OP12 = r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+grams as (
+    select doc_id, unnest(list_transform(range(1, len(w) - 11), lambda i: array_to_string(w[i:i + 12], ' '))) as gram, unnest(range(1, len(w) - 11)) as i from d),
+again as (select doc_id, i from (select doc_id, i, min(doc_id) over (partition by gram) as low from grams) x where low < doc_id),
+gone as (select distinct doc_id, unnest(range(i, i + 13)) as i from again),
+words as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from d),
+kept as (select doc_id, string_agg(word, ' ' order by i) as kept, count(*) as n from words anti join gone using (doc_id, i) group by doc_id)
+select d.doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from d left join kept using (doc_id)"""
+
+_OP13 = r"""
+with d as (
+    select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as u,
+           sha256('42:' || coalesce(doc_id::varchar, '')) as h from documents),
+draws as (select *, len(u)::bigint as n, [('0x' || substr(h, 1 + 8 * i, 8))::bigint for i in range(4)] as r from d),
+cuts as (
+    select *, least(r[1] % (n + 1), r[2] % (n + 1)) as a, greatest(r[1] % (n + 1), r[2] % (n + 1)) as b,
+           case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or r[3] % 100 >= 50 then 'plain' when r[4] % 100 < 80 then 'spm' else 'psm' end as form
+    from draws),
+parts as (
+    select *, coalesce(array_to_string(u[1:a], ''), '') as pre, coalesce(array_to_string(u[a + 1:b], ''), '') as mid, coalesce(array_to_string(u[b + 1:n], ''), '') as suf from cuts)
+select doc_id, n, form, case when form <> 'plain' then length(pre)::bigint end as prefix_chars, case when form <> 'plain' then length(mid)::bigint end as middle_chars,
+       sha256(case form when 'plain' then t when 'spm' then '<S>' || suf || '<P>' || pre || '<M>' || mid else '<P>' || pre || '<S>' || suf || '<M>' || mid end) as output_sha256,
+       sha256(t) as restored_sha256
+from parts"""
+
 ORACLES = {
     "op2_histogram_shards": _OP2, "op3_binary_codes": _OP3, "op4_warc_index": _OP4, "op5_poisson_mix": _OP5, "op7_secret_ledger": _OP7,
-    "op9_signature_join": _OP9,
+    "op9_signature_join": _OP9, "op11_run_length_repair": _OP11, "op12_super_kmers": _OP12, "op13_fill_in_middle": _OP13,
 }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weighlens.llm import (
-    binary_codes, decontaminate, histogram_shards, poisson_mix, quality_eb, secret_ledger, signature_join, token_files, toxic_crf, warc_index,
+    binary_codes, decontaminate, fill_in_middle, histogram_shards, poisson_mix, quality_eb, run_length_repair, secret_ledger, signature_join,
+    super_kmers, token_files, toxic_crf, warc_index,
 )
 from weighlens.llm.common import table
 from weighlens.llm.oracles import ORACLES  # noqa: F401
@@ -89,3 +90,23 @@ def op9_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_eb(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_eb.add_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "source", "lang", "evidence", "host_rate", "path_rate", "quality", "keep")
+
+
+def _sha256(text: str):
+    return F.sha2(F.col(text).cast("binary"), 256).alias(f"{text}_sha256")
+
+
+@query
+def op11_run_length_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_length_repair.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return super_kmers.drop_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", _sha256("kept"))
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    examples = fill_in_middle.restore(fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents")))
+    return examples.select("doc_id", "n", "form", "prefix_chars", "middle_chars", _sha256("output"), _sha256("restored"))
