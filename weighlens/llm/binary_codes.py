@@ -3,8 +3,8 @@
 A unit vector o is rotated at random; its code is the signs of the rotated components, its correction factor
 f = <x, o> with x the code scaled to unit length.  For another rotated vector q, <x, q> / f estimates <o, q> without bias,
 with an error below WIDTH * sqrt((1 - f^2) / f^2 / (d - 1)) but for a tiny share of pairs.  The rotated vector is held in
-8 bits per component, which adds a bound of its own.  Only pairs whose bounds, from both sides, reach the threshold are
-worked out exactly, in double precision, from the given vectors.
+8 bits per component, which adds a bound of its own.  A vector is looked at exactly if the bounds of one of its pairs, from
+both sides, reach the threshold; such vectors of a block are then multiplied in double precision, all with all.
 
 Which pairs are looked at: the signs of further random projections, cut into bands, are bucket keys.  Vectors at the
 threshold differ in a sign with probability arccos(threshold) / pi, so the number of bands follows from the wanted recall
@@ -121,6 +121,14 @@ def _likely(threshold: float):
     return run
 
 
+def _reaches(u: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether the exactly rounded sum of products reaches the threshold: numpy's sum decides where its last bits cannot."""
+    cosine = np.concatenate([(u[i[a:a + 65536]] * u[j[a:a + 65536]]).sum(1) for a in range(0, len(i), 65536)] or [np.zeros(0)])
+    for n in np.flatnonzero(np.abs(cosine - threshold) < 1e-9):
+        cosine[n] = math.fsum(u[i[n]] * u[j[n]])
+    return cosine >= threshold
+
+
 def _exact(threshold: float):
     """Per block of a bucket: links of each class, counted in the first band a pair shares, and a forest of them."""
     def run(batches):
@@ -139,9 +147,7 @@ def _exact(threshold: float):
                 if not one_block[b]:
                     near &= side[b:e][:, None] != side[b:e][None, :]
                 i, j = np.nonzero(near)
-                # exactly as a scalar would have it, whatever order the matrix product adds in
-                exact = np.array([math.fsum(u[x] * u[y]) for x, y in zip(i, j)]) if len(i) < 64 else (u[i] * u[j]).sum(1)
-                keep = exact >= threshold
+                keep = _reaches(u, i, j, threshold)
                 i, j = i[keep], j[keep]
                 band = int(key[b] % 4096)
                 first = np.ones(len(i), bool)

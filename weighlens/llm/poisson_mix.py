@@ -72,14 +72,15 @@ def mix_sources(
     docs: DataFrame, weights: DataFrame | None = None, temperature: float = 0.5, epochs: float = 1.0, seed: int = 42,
     text: str = "text", source: str = "source", row_id: str = "doc_id",
 ) -> DataFrame:
-    """``docs`` with every row repeated copies times, in global shuffle order, plus rate, copy (from 0) and shuffle_key.
+    """``docs`` with every row repeated copies times, plus rate, copy (from 0) and shuffle_key.
 
-    Rows are dealt to partitions by shuffle_key and sorted by it inside.  A row with NULL text has size 1 and is drawn
-    like any other; NULL ids share one number, and so do repeated rows (same id): they are repeated equally often.
-    An empty table gives no rows.  Columns of ``docs`` named like an output are replaced.
+    Rows are dealt to partitions by a hash of shuffle_key and text and sorted by shuffle_key inside.  A row with NULL text
+    has size 1 and is drawn like any other; rows with one id are repeated equally often, rows without an id go by their
+    text instead.  Very long texts count with all their bytes.  An empty table gives no rows.  Columns of ``docs`` named
+    like an output are replaced.
     """
     rates = staged(source_rates(docs, weights, temperature, epochs, text, source), "mix-rates")
-    name = F.coalesce(F.col(row_id).cast("string"), F.lit("null"))
+    name = F.coalesce(F.col(row_id).cast("string"), F.concat(F.lit("null"), F.md5(F.coalesce(F.col(text), F.lit("")))))
     copies = (
         docs.drop("rate", "copy", "shuffle_key")
         .join(rates, F.col(source).eqNullSafe(F.col("__source"))).drop("__source")
@@ -89,4 +90,4 @@ def mix_sources(
         .withColumn("shuffle_key", hash60(F.concat_ws("|", F.lit(f"order{seed}"), name, F.col("copy").cast("string"))))
         .drop("__copies")
     )
-    return copies.repartition("shuffle_key").sortWithinPartitions("shuffle_key", row_id, "copy")
+    return copies.repartition("shuffle_key", F.xxhash64(text)).sortWithinPartitions("shuffle_key", row_id, "copy")

@@ -81,13 +81,15 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> C
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = TRAIN_ROWS) -> Classifier:
-    """Classifier from at most ``rows`` labelled documents; only their features reach the driver."""
+    """Classifier from at most ``rows`` labelled documents, one row of each id; only their features reach the driver."""
     known = (
         labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("__good"))
         .withColumn("__order", hash60(F.col("doc_id").cast("string"))).orderBy("__order", "doc_id").limit(rows)
         .select(F.col("doc_id").alias("__known"), "__good")
     )
-    sample = docs.join(F.broadcast(staged(known, "quality-labels")), F.col("doc_id") == F.col("__known")).select("__good", "text")
+    sample = docs.join(F.broadcast(staged(known, "quality-labels")), F.col("doc_id") == F.col("__known"))
+    text = F.min(F.struct(F.xxhash64("text"), "text"))["text"]  # of rows with one id, that with the least hash
+    sample = sample.groupBy("__known", "__good").agg(text.alias("text")).select("__good", "text")
 
     def extract(batches):
         for batch in batches:
@@ -133,17 +135,22 @@ def _logit(p: Column) -> Column:
 
 def add_quality(
     docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", label: str = "quality", rows: int = TRAIN_ROWS,
-    threshold: float = 0.5,
+    threshold: float = 0.5, carry: list[str] | None = None,
 ) -> DataFrame:
     """``docs`` with evidence (the classifier's probability), host_rate, path_rate, quality (posterior) and keep.
 
     ``docs`` has doc_id, text and the columns ``host`` and ``path``.  A group's rate leaves the document itself out.
-    NULL hosts and paths are groups of their own.  NULL texts are empty texts, repeated rows count as often as they occur.
-    Without labels the evidence is 1/2 for all; an empty table gives no rows.  Columns named like an output are replaced.
+    NULL hosts and paths are groups of their own.  NULL texts are empty texts, very long ones are read whole, repeated rows
+    count as often as they occur; of rows that share an id only one is learned from.  Without labels the evidence is 1/2
+    for all; an empty table gives no rows.  Columns named like an output are replaced.  ``carry`` names the columns to
+    return (default: all): texts are read once, and the evidence is written beside these columns.
     """
     model = train(docs, labels, label, rows)
-    scored = with_evidence(docs.drop("evidence", "host_rate", "path_rate", "quality", "keep"), model)
-    site = [F.col(host).alias("__host"), F.col(path).alias("__path")]
+    docs = docs.drop("evidence", "host_rate", "path_rate", "quality", "keep")
+    carry = [c for c in docs.columns if carry is None or c in carry]
+    scored = with_evidence(docs, model).select(*carry, F.col(host).alias("__host"), F.col(path).alias("__path"), "__p")
+    scored = staged(scored, "quality-evidence")
+    site = ["__host", "__path"]
     sums = (F.count(F.lit(1)).alias("__n"), F.sum("__p").alias("__s"), F.sum(F.col("__p") ** 2).alias("__q"))
     paths = staged(scored.groupBy(*site).agg(*sums), "quality-paths")
     merged = (F.sum("__n").alias("__n"), F.sum("__s").alias("__s"), F.sum("__q").alias("__q"))
@@ -159,9 +166,10 @@ def add_quality(
     host_rate = (of_host * F.lit(rate) + F.col("__hs") - F.col("__p")) / (of_host + F.col("__hn") - 1)
     path_rate = (of_path * F.col("host_rate") + F.col("__s") - F.col("__p")) / (of_path + F.col("__n") - 1)
     odds = _logit(F.col("__p")) - float(np.log(model.base / (1 - model.base))) + _logit(F.col("path_rate"))
-    on_site = F.col(host).eqNullSafe(F.col("__host")) & F.col(path).eqNullSafe(F.col("__path"))
+    both = both.withColumnsRenamed({"__host": "__at", "__path": "__in"})
+    on_site = F.col("__host").eqNullSafe(F.col("__at")) & F.col("__path").eqNullSafe(F.col("__in"))
     return (
         scored.join(both, on_site).withColumn("host_rate", host_rate).withColumn("path_rate", path_rate)
         .withColumns({"evidence": F.col("__p"), "quality": 1 / (1 + F.exp(-odds))}).withColumn("keep", F.col("quality") >= threshold)
-        .drop("__host", "__path", "__n", "__s", "__q", "__hn", "__hs", "__p")
+        .drop("__host", "__path", "__at", "__in", "__n", "__s", "__q", "__hn", "__hs", "__p")
     )

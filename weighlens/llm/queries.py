@@ -88,7 +88,8 @@ def op9_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_quality_eb(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = quality_eb.add_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality_eb.add_quality(docs, labels, carry=["doc_id", "source", "lang"])
     return scored.select("doc_id", "source", "lang", "evidence", "host_rate", "path_rate", "quality", "keep")
 
 

@@ -58,7 +58,7 @@ def _odd(n: int) -> np.ndarray:
 
 
 def _sketches(batches):
-    """Per document: set size, two sums that name the set, bucket keys, bitmap."""
+    """Per row: set size, two sums that name the set, bucket keys, bitmap."""
     odd, shift = _odd(2 * BANDS), _odd(4 * BANDS)[2 * BANDS:]
     for whole in batches:
         for at in range(0, whole.num_rows, 1500):
@@ -79,10 +79,10 @@ def _sketches(batches):
                 bits[np.repeat(np.arange(n), sizes), (ids % np.uint64(BITS)).astype(np.int64)] = True
             offsets = pa.array(np.concatenate([[0], np.cumsum(np.where(sizes > 0, BANDS, 0))]).astype(np.int32))
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(sizes.astype(np.int64)), pa.array(name[0].view(np.int64)), pa.array(name[1].view(np.int64)),
+                batch.column(0), batch.column(2), pa.array(sizes.astype(np.int64)), pa.array(name[0].view(np.int64)), pa.array(name[1].view(np.int64)),
                 pa.ListArray.from_arrays(offsets, pa.array(bands[some].reshape(-1).view(np.int64))),
                 pa.array([x.tobytes() for x in np.packbits(bits, axis=1)], pa.binary()),
-            ], names=["doc_id", "n", "name", "more", "bands", "bits"])
+            ], names=["doc_id", "twin", "n", "name", "more", "bands", "bits"])
 
 
 class _Classes:
@@ -160,7 +160,7 @@ def _candidates(all_pairs: bool):
     """Pairs (a, b) of sorted groups: a forest of each group, or all that are possible."""
     def run(batches):
         for table, begins in whole_groups(batches, ["key", "block", "other"]):
-            doc = table.column("doc_id").to_numpy()
+            doc = table.column("cls").to_numpy()
             c = _Classes(table.column("n").to_numpy(), table.column("component").to_numpy(), binary_rows(table.column("bits"), np.uint64))
             side = table.column("side").to_numpy()
             i, j = pairs_within(begins, len(doc), 4, c.possible)
@@ -187,40 +187,40 @@ def _candidates(all_pairs: bool):
     return run
 
 
-def _pairs(buckets: DataFrame, sketches: DataFrame, known: DataFrame, all_pairs: bool) -> DataFrame:
-    """Distinct candidate pairs.  ``buckets`` has key, doc_id and the bucket's number of classes m; ``known`` components."""
-    rows = buckets.join(known, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+def _pairs(buckets: DataFrame, bitmaps: DataFrame, known: DataFrame, all_pairs: bool) -> DataFrame:
+    """Distinct candidate pairs.  ``buckets`` has key, cls and the bucket's number of classes m; ``known`` components."""
+    rows = buckets.join(known, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     mixed_keys = rows.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y").select("key")
     rows = rows.join(mixed_keys, "key", "left_semi")
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    rows = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("doc_id", "key"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("cls", "key"), F.col("blocks")).cast("int"))
     if all_pairs:  # a row meets its own block and each other one
         rows = rows.withColumn("met", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         rows = rows.withColumns({"block": F.least("own", "met"), "other": F.greatest("own", "met"), "side": (F.col("own") > F.col("met")).cast("int")})
     else:
         rows = rows.withColumns({"block": F.col("own"), "other": F.col("own"), "side": F.lit(0)})
-    rows = rows.select("key", "block", "other", "side", "doc_id", "component").join(sketches.select("doc_id", "n", "bits"), "doc_id")
-    rows = rows.repartition("key", "block", "other").sortWithinPartitions("key", "block", "other", "doc_id")
+    rows = rows.select("key", "block", "other", "side", "cls", "component").join(bitmaps, "cls")
+    rows = rows.repartition("key", "block", "other").sortWithinPartitions("key", "block", "other", "cls")
     return rows.mapInArrow(_candidates(all_pairs), "a bigint, b bigint").distinct()
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(doc_id, ids) of the wanted documents: their exact sets."""
+def _sets(docs: DataFrame, heads: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(cls, ids) of the wanted classes: their exact sets, from the text of the row that stands for each."""
     def run(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, 1500):
                 batch = whole.slice(at, 1500)
                 ids, sizes = shingle_sets(batch.column(1))
                 offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(ids.view(np.int64)))], names=["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(ids.view(np.int64)))], names=["cls", "ids"])
 
-    return docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(run, "doc_id bigint, ids array<bigint>")
+    return docs.join(heads.join(wanted, "cls", "left_semi"), ["doc_id", "twin"]).select("cls", "text").mapInArrow(run, "cls bigint, ids array<bigint>")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose exact sets reach the similarity."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("ids").alias("a_ids"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("ids").alias("b_ids"))
+    left = sets.select(F.col("cls").alias("a"), F.col("ids").alias("a_ids"))
+    right = sets.select(F.col("cls").alias("b"), F.col("ids").alias("b_ids"))
     both = F.size(F.array_intersect("a_ids", "b_ids"))
     return (
         pairs.join(left, "a").join(right, "b")
@@ -228,45 +228,77 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def join_near_copies(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id and text; other columns are not read).
+def near_copy_groups(docs: DataFrame) -> DataFrame:
+    """(doc_id, twin, n, group) of every row: rows of one group are linked through similar texts.
 
-    A text without words (NULL, empty or white space) has an empty set and links with nothing.  Rows with a NULL id link
-    with nothing and have no component.  Repeated rows are rows of one class; rows that share an id but not the text
-    link through that id.  An empty table gives no rows.
+    twin is a hash of the text and tells rows of one id apart.  Rows without words and rows with a NULL id have no group.
+    Classes, buckets and pairs go by the number of a class, never by a document's id, so that ids that repeat with
+    different texts neither join nor hide classes.
     """
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    sketches = staged(docs.mapInArrow(_sketches, "doc_id bigint, n bigint, name bigint, more bigint, bands array<bigint>, bits binary"), "sketches")
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("twin"))
+    sketches = staged(docs.mapInArrow(_sketches, "doc_id bigint, twin bigint, n bigint, name bigint, more bigint, bands array<bigint>, bits binary"), "sketches")
     linkable = sketches.filter("n > 0 and doc_id is not null")
     named = ["n", "name", "more"]
-    classes = staged(linkable.groupBy(*named).agg(F.min("doc_id").alias("head")), "classes")
-    heads = linkable.join(classes.select("head", *(F.col(x).alias(f"of_{x}") for x in named)),
-                          (F.col("doc_id") == F.col("head")) & (F.col("name") == F.col("of_name")) & (F.col("more") == F.col("of_more")) & (F.col("n") == F.col("of_n")), "left_semi")
-    keys = heads.select("doc_id", F.explode("bands").alias("key")).distinct()
+    classes = linkable.groupBy(*named).agg(F.min(F.struct("doc_id", "twin")).alias("head"))
+    classes = staged(classes.select(*named, "head.*", F.monotonically_increasing_id().alias("cls")), "classes")
+    heads = linkable.join(classes, [*named, "doc_id", "twin"])
+    keys = heads.select("cls", F.explode("bands").alias("key")).distinct()
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     buckets = staged(keys.join(shared, "key"), "buckets")
-    small = staged(heads.select("doc_id", "n", "bits").join(buckets.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "bitmaps")
-
-    nothing = docs.sparkSession.createDataFrame([], "doc_id bigint, component bigint")
-    first = staged(_pairs(buckets, small, nothing, all_pairs=False), "first-pairs")
-    ends = lambda p: p.select(F.col("a").alias("doc_id")).union(p.select("b")).distinct()
-    sets = staged(_sets(docs, ends(first)), "sets")
+    bitmaps = heads.select("cls", "n", "bits").join(buckets.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"])  # repeated rows
+    bitmaps = staged(bitmaps, "bitmaps")
+
+    nothing = docs.sparkSession.createDataFrame([], "cls bigint, component bigint")
+    first = staged(_pairs(buckets, bitmaps, nothing, all_pairs=False), "first-pairs")
+    ends = lambda p: p.select(F.col("a").alias("cls")).union(p.select("b")).distinct()
+    texts_of = classes.select("cls", "doc_id", "twin")
+    sets = staged(_sets(docs, texts_of, ends(first)), "sets")
     links = staged(_similar(first, sets), "first-links")
-    known = components(links).select(F.col("id").alias("doc_id"), "component")
-    apart = _pairs(buckets, small, known, all_pairs=True).join(first, ["a", "b"], "left_anti")
+    known = components(links).select(F.col("id").alias("cls"), "component")
+    apart = _pairs(buckets, bitmaps, known, all_pairs=True).join(first, ["a", "b"], "left_anti")
     apart = staged(apart, "apart-pairs")
-    new = staged(ends(apart).join(sets.select("doc_id"), "doc_id", "left_anti"), "apart-docs")
+    new = staged(ends(apart).join(sets.select("cls"), "cls", "left_anti"), "apart-classes")
     if not apart.isEmpty():
         if not new.isEmpty():
-            sets = sets.union(staged(_sets(docs, new), "more-sets"))
+            sets = sets.union(staged(_sets(docs, texts_of, new), "more-sets"))
         links = links.union(staged(_similar(apart, sets), "apart-links"))
-        known = components(links).select(F.col("id").alias("doc_id"), "component")
+        known = components(links).select(F.col("id").alias("cls"), "component")
 
-    of_class = classes.join(known, F.col("head") == F.col("doc_id"), "left").select(
-        *(F.col(x).alias(f"of_{x}") for x in named), F.coalesce("component", "head").alias("component")
-    )
-    rows = sketches.select("doc_id", *named).join(
-        of_class, (F.col("name") == F.col("of_name")) & (F.col("more") == F.col("of_more")) & (F.col("n") == F.col("of_n")), "left")
-    return rows.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")
+    groups = classes.join(known, "cls", "left").select(*named, F.coalesce("component", "cls").alias("group"))
+    rows = sketches.select("doc_id", "twin", *named).join(groups, named, "left")
+    return rows.select("doc_id", "twin", "n", F.when(F.col("doc_id").isNotNull(), F.col("group")).alias("group"))
+
+
+def join_near_copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id and text; other columns are not read).
+
+    A text without words (NULL, empty or white space) has an empty set and links with nothing.  Rows with a NULL id link
+    with nothing and have no component.  Repeated rows are rows of one class; rows that share an id but not the text
+    link through that id.  An empty table gives no rows.
+    """
+    rows = staged(near_copy_groups(docs), "near-copies")
+    in_group = rows.filter("group is not null")
+    lows = staged(in_group.groupBy("group").agg(F.min("doc_id").alias("low")), "group-lows")
+    # ids in several groups, which only ids that repeat can be, join these
+    several = in_group.groupBy("doc_id").agg(F.min("group").alias("x"), F.max("group").alias("y")).filter("x != y").select("doc_id")
+    links = staged(in_group.join(several, "doc_id", "left_semi").join(lows, "group").select("low", "doc_id"), "id-links")
+    if not links.isEmpty():
+        joined = components(links, "low", "doc_id").select(F.col("id").alias("low"), "component")
+        lows = lows.join(joined, "low", "left").select("group", F.coalesce("component", "low").alias("low"))
+    return rows.join(lows, "group", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("low", "doc_id")).alias("component_id")
     )
+
+
+def drop_near_copies(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each group of near copies, the one with the smallest id (then text hash); all its columns.
+
+    Only texts make groups: unrelated texts that share an id both stay.  Of repeated rows one stays; rows without words and
+    rows with a NULL id all stay.
+    """
+    groups = near_copy_groups(docs).filter("group is not null").groupBy("group").agg(F.min(F.struct("doc_id", "twin")).alias("head"))
+    heads = staged(groups.select(F.col("head.doc_id").alias("__id"), F.col("head.twin").alias("__of")), "heads")
+    worded = F.col("doc_id").isNotNull() & F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    keyed = docs.filter(worded).withColumn("__twin", F.xxhash64("text"))
+    kept = keyed.join(heads, (F.col("doc_id") == F.col("__id")) & (F.col("__twin") == F.col("__of")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "__twin"]).select(docs.columns).union(docs.filter(~worded))

@@ -20,8 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from weighlens.llm.common import hash60, staged
 
 TRAIN_ROWS = 12_000  # at most so many labelled documents are learned from, those with the lowest hashes of their ids
-FORMS = 5_000  # at most so many word forms get a weight
-WINDOWS = 8_000  # at most so many windows of REACH words to each side train the field
+WINDOWS = 1  # windows of REACH words to each side that a labelled document gives to train the field
 REACH = 10
 KNOWN_WORDS = 1_000_000  # a worker forgets its words beyond this many
 
@@ -173,10 +172,14 @@ def _fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
     return tuple(map(float, w))
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, least_docs: int = 5, odds: float = 8.0) -> Field:
+def train(
+    docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, least_docs: int = 5, odds: float = 8.0, windows: int = WINDOWS,
+) -> Field:
     """Field and curve from at most ``rows`` labelled documents (labels: doc_id and toxic; NULLs are left out).
 
-    What reaches the driver is bounded: FORMS word forms, WINDOWS windows, two numbers per document.
+    Of rows with one id the one with the least text hash is learned from.  Every document gives ``windows`` windows, drawn by
+    its hash around any of its marked words (any word, if it has none).  What reaches the driver is bounded by ``rows``:
+    their windows, two numbers each, and word forms that stand in ``least_docs`` of their toxic texts.
     """
     known = (
         labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("__toxic"))
@@ -184,7 +187,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, least_docs
         .select(F.col("doc_id").alias("__known"), "__toxic", "__order")
     )
     sample = docs.join(F.broadcast(staged(known, "toxic-labels")), F.col("doc_id") == F.col("__known"))
-    sample = staged(sample.select("__order", "doc_id", F.col("__toxic").cast("int").alias("__toxic"), "text"), "toxic-sample")
+    one = F.min(F.struct(F.xxhash64("text"), "text"))["text"]
+    sample = sample.groupBy("__order", "doc_id", F.col("__toxic").cast("int").alias("__toxic")).agg(one.alias("text"))
+    sample = staged(sample, "toxic-sample")
 
     def count(batches):
         for batch in batches:
@@ -201,19 +206,20 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, least_docs
         sample.select("__toxic", "text").mapInArrow(count, "form string, toxic bigint, clean bigint")
         .groupBy("form").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .filter(F.col("toxic") >= least_docs).withColumn("ratio", ratio).filter(F.col("ratio") >= odds)
-        .orderBy(F.desc(F.col("toxic") * F.log("ratio")), "form").limit(FORMS).collect()
+        .orderBy(F.desc(F.col("toxic") * F.log("ratio")), "form").collect()
     )
     forms = {r["form"]: i for i, r in enumerate(sorted(marks, key=lambda r: r["form"]))}
 
-    def windows(batches):
+    def cut(batches):
         for batch in batches:
             out = []
             for order, toxic, text in zip(*(c.to_pylist() for c in batch.columns)):
                 words = (text or "").split()
                 ids = [[forms[f] for f in word_forms(w) if f in forms][:4] for w in words]
                 marked = [i for i, x in enumerate(ids) if x]
-                centres = marked[:3] + ([order % len(words)] if words else [])
-                for c in centres:
+                places = marked or list(range(len(words)))
+                draws = np.random.default_rng(order).permutation(len(places))[:windows]
+                for c in sorted(places[d] for d in draws):
                     span = range(c - REACH, c + REACH + 1)
                     inner = [ids[i] if 0 <= i < len(ids) else [] for i in span]
                     out.append((order, c, inner, [int(bool(x) and toxic > 0) for x in inner]))
@@ -222,7 +228,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, least_docs
                 names=["order", "centre", "ids", "y"])
 
     rows_in = sample.select("__order", "__toxic", "text")
-    got = rows_in.mapInArrow(windows, "order bigint, centre int, ids array<array<int>>, y array<int>").orderBy("order", "centre").limit(WINDOWS).collect()
+    got = rows_in.mapInArrow(cut, "order bigint, centre int, ids array<array<int>>, y array<int>").orderBy("order", "centre").collect()
     f = _train_field(forms, [(r["ids"], r["y"]) for r in got])
     sums = sample.mapInArrow(_summer(f), "order bigint, toxic int, top double, mass double").orderBy("order").collect()
     x, y = np.array([[r["top"], r["mass"]] for r in sums]).reshape(-1, 2), np.array([r["toxic"] for r in sums])

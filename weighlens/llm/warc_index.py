@@ -45,7 +45,8 @@ def write_archives(
     pages: DataFrame, path: str, least_bytes: int = 0, date: str = "2024-01-01T00:00:00Z",
     page_id: str = "page_id", url: str = "url", html: str = "html",
 ) -> None:
-    """One record per row of ``pages``, one archive per partition, no exchange of page contents.
+    """One record per row of ``pages``, one archive per partition.  Page contents are exchanged only where the table of
+    repeated payloads (digest, size, id) is too large to be sent to all tasks.
 
     Rows whose payloads (UTF-8 bytes of the html, NULL: empty) are equal and at least ``least_bytes`` long: those with
     the largest page_id become responses, the others revisits of it.  All others are responses, as is every row of a
@@ -154,8 +155,12 @@ def read_records(selected: DataFrame, payloads: bool = True, range_bytes: int =
     """
     slot = W.partitionBy("file", "slot").orderBy("offset")
     ends = F.lag(F.col("offset") + F.col("length")).over(slot)
+    # index rows are few bytes that stand for many: tasks are counted by the bytes to read, a fixed number of them
+    wanted = selected.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-wanted // (range_bytes // 2)))
     ranges = (
         selected.select("file", "offset", "length", F.expr(f"offset div {range_bytes}").alias("slot"))
+        .repartition(tasks, "file", "slot")
         .withColumn("new", F.coalesce((F.col("offset") - ends > gap).cast("int"), F.lit(1)))
         .withColumn("range", F.sum("new").over(slot))
         .groupBy("file", "slot", "range")
