@@ -6,35 +6,42 @@ every stage as Parquet in the shared folder and goes on from the files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weighlens.llm.common import staged, table
 from weighlens.llm.decontaminate import drop_leaks
 from weighlens.llm.histogram_shards import shard_by_bytes
 from weighlens.llm.poisson_mix import mix_sources
 from weighlens.llm.quality_eb import add_quality
-from weighlens.llm.signature_join import join_near_copies
+from weighlens.llm.signature_join import drop_near_copies
+
+ROW = "__row"
+
+
+def _beside(docs: DataFrame, *columns: str) -> DataFrame:
+    """What an operator needs, and the whole row beside it: what the operator adds cannot replace a column of ``docs``."""
+    return docs.select(*columns, F.struct(*docs.columns).alias(ROW))
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps."""
-    return add_quality(docs, table(spark, sf_dir, "labels")).filter("keep").select(docs.columns)
+    rated = add_quality(_beside(docs, "doc_id", "text", "source", "lang"), table(spark, sf_dir, "labels"), carry=[ROW])
+    return rated.filter("keep").select(f"{ROW}.*")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, the document with the smallest id; rows without an id all stay."""
-    heads = staged(join_near_copies(docs).filter("doc_id = component_id").select("doc_id").distinct(), "heads")
-    return docs.join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).union(docs.filter("doc_id is null"))
+    """Of each group of near copies, the document with the smallest id; rows without an id or words all stay."""
+    return drop_near_copies(docs)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark passages."""
-    return drop_leaks(docs, table(spark, sf_dir, "benchmark")).select(docs.columns)
+    return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out so that sources have their target weights."""
-    return mix_sources(docs).select(docs.columns)
+    return mix_sources(_beside(docs, "doc_id", "text", "source")).select(f"{ROW}.*")
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
