@@ -187,14 +187,14 @@ def _(f: Fleet) -> DataFrame:
 
 
 @query("list_image_files", """
-    select distinct 'class=' || class || '/label_id=' || label_id as folder from {fx_files}""")
+    select 'class=' || class || '/label_id=' || label_id as folder, sum(strlen(filename) + 1)::bigint as length from {fx_files} group by class, label_id""")
 def _(f: Fleet) -> DataFrame:
-    """One text file per class, label and task stands for the images of a set."""
+    """One text file per class and label stands for its images: their names, a line each; two folder levels."""
     path = shared_dir(f.spark, "set")
-    f.derived("fx_files").select("class", "label_id", F.col("filename").alias("value")).write.partitionBy(
-        "class", "label_id").text(path)
+    named = f.derived("fx_files").select("class", "label_id", F.col("filename").alias("value"))
+    named.repartition("class", "label_id").write.partitionBy("class", "label_id").text(path)
     found = files.list_image_files(f.spark, path, (".TXT",))
-    return found.select(F.regexp_extract("path", "(class=.*)/[^/]*$", 1).alias("folder")).distinct()
+    return found.select(F.regexp_extract("path", "(class=.*)/[^/]*$", 1).alias("folder"), "length")
 
 
 @query("write_report", """

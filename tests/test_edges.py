@@ -2,6 +2,8 @@
 
 from datetime import datetime
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -361,12 +363,58 @@ def test_csv_keeps_leading_zeros_and_encoding(spark, rows, tmp_path):
 
 
 def test_list_image_files(spark, tmp_path):
-    for name in ("a/b/x.JPG", "a/y.png", "a/z.txt"):
+    names = ["a/b/x.JPG", "a/y.png", "a/z.txt", "A/b/y.Png", "top.jpeg", "deep/1/2/3/4/5/é ü.webp", "a/b/.hidden.jpg", "_work/w.gif"]
+    for n, name in enumerate(names):
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
-        (tmp_path / name).write_bytes(b"12345")
-    got = files.list_image_files(spark, str(tmp_path))
-    assert {(r.path.rsplit("/", 1)[1], r.length) for r in got.collect()} == {("x.JPG", 5), ("y.png", 5)}
-    assert "content" not in got._jdf.queryExecution().executedPlan().toString()
+        (tmp_path / name).write_bytes(b"x" * n)
+    (tmp_path / "empty/also.jpg").mkdir(parents=True)
+    for root in (str(tmp_path), f"file://{tmp_path}/"):
+        got = {(r.path, r.length, int(r.modificationTime.timestamp())) for r in files.list_image_files(spark, root).collect()}
+        walk = [p for p in tmp_path.rglob("*") if p.is_file() and p.suffix.lower() in (".jpg", ".jpeg", ".png", ".gif", ".webp")]
+        assert got == {(f"{root.rstrip('/')}/{p.relative_to(tmp_path)}", p.stat().st_size, int(p.stat().st_mtime)) for p in walk}
+    (tmp_path / "none").mkdir()
+    assert files.list_image_files(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_first_image_merge_against_a_plain_search(rows):
+    rng = random.Random(6)
+    parts = ["a", "b", "a b", "é", "a-", "a0", "Z", "~"]
+    keys = {"/".join(rng.choices(parts, k=rng.randrange(1, 5))) + rng.choice([".jpg", "/x.PNG", "/n.txt"]) for _ in range(400)}
+    asked = {"/".join(rng.choices(parts, k=rng.randrange(1, 5))) + "/" for _ in range(120)} | {"zz/", "\U0001f600/"}
+    listing = rows([(k,) for k in keys], "path string").repartition(7)
+    spark = listing.sparkSession
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        found = images.first_image_per_folder(rows([(a,) for a in asked for _ in range(2)], "folder string"), listing)
+        got = {r.folder: r.first_key for r in found.collect()}
+        assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    images_only = sorted((k for k in keys if not k.endswith(".txt")), key=str.encode)
+    first = {a: next((k for k in images_only if k.startswith(a)), None) for a in asked}
+    assert got == {a: k for a, k in first.items() if k}
+
+
+def test_similarity_with_a_class_that_holds_most_pairs(rows, spark):
+    """A third of 100,000 pairs belong to one class: no plan collects them, and the largest task of the join stays small."""
+    data = spark.range(100_000).selectExpr(
+        "'1' as deployment_id", "cast(if(id % 3 = 0, 7, id % 1000 + 10) as int) as result_index", "cast(id as string) as code", "id % 5 != 0 as valid")
+    tx = spark.range(3_000).selectExpr(
+        "cast(id as string) transaction_id", "1 deployment_id", "7 result_index", "array('0', cast(id * 3 as string), cast(id as string), '3', null) predicted_codes",
+        "cast(id * 3 as string) selected_reference_code", "5 num_candidatos")
+    got = pairs.add_pair_similarity(tx, data)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "collect_set" not in plan and "collect_list" not in plan
+    valid = {i for i in range(0, 100_000, 3) if i % 5}
+    for r in got.collect():
+        i = int(r.transaction_id)
+        good = sum(c in valid for c in (0, i * 3, i, 3))
+        assert (r.num_referencias_similares, r.producto_seleccionado_similar) == (good, int(i * 3 in valid))
+    spread = data.filter("valid and result_index = 7").repartition(16, "deployment_id", "result_index", "code").groupBy(F.spark_partition_id()).count()
+    assert spread.agg(F.max("count")).first()[0] < 2 * 100_000 / 3 / 16
 
 
 def test_csv_copies_hold_whole_texts(rows, spark, tmp_path):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from weighlens.functions.paths import clean_image_link, folder_at, folder_depth, has_extension
 from weighlens.schemas import FOLDER_EXTENSIONS, IMAGE_EXTENSIONS
@@ -46,13 +46,29 @@ def _with_folders(files: DataFrame, depths: Column, extensions: tuple[str, ...])
     )
 
 
-def first_image_per_folder(files: DataFrame, extensions: tuple[str, ...] = IMAGE_EXTENSIONS) -> DataFrame:
-    """folder (with its trailing slash), first image key in listing order below it."""
-    every = F.sequence(F.lit(1), folder_depth(F.col("path")))
-    return (
-        _with_folders(files.filter(F.col("path").contains("/")), every, extensions)
-        .groupBy("folder").agg(F.min("path").alias("first_key"))
+def first_image_per_folder(folders: DataFrame, files: DataFrame, extensions: tuple[str, ...] = IMAGE_EXTENSIONS) -> DataFrame:
+    """(folder, first_key): for each folder (with its trailing slash) the first image key in listing order below it, if any.
+
+    An as-of merge: folders and keys are sorted together by ranges, and the first key behind a folder is its image if it begins
+    with the folder.  Every key is moved once, whatever its depth; the key behind the last folder of a range is the first key
+    of a later range, and there is one such row per range.
+    """
+    spark = files.sparkSession
+    # a folder that holds nothing at all needs no row of its own: names that end in '/' sort before all that they begin
+    both = folders.select(F.col("folder").alias("name"), F.lit(True).alias("asked")).distinct().union(
+        files.filter(has_extension(F.col("path"), extensions)).select("path", F.lit(False))
     )
+    work_dir = shared_dir(spark, "first-images")
+    both.repartitionByRange("name").withColumn("part", F.spark_partition_id()).write.parquet(work_dir)
+    both = spark.read.schema("name string, asked boolean, part int").parquet(work_dir)
+    key = F.when(~F.col("asked"), F.col("name"))
+    back = W.partitionBy("part").orderBy(F.desc("name"), "asked").rowsBetween(W.unboundedPreceding, W.currentRow)
+    placed = both.withColumn("behind", F.last(key, ignorenulls=True).over(back)).filter("asked")
+    edges = both.groupBy("part").agg(F.min(key).alias("first"))
+    later = W.orderBy(F.desc("part")).rowsBetween(W.unboundedPreceding, -1)  # one row per range
+    edges = edges.select("part", F.last("first", ignorenulls=True).over(later).alias("next"))
+    first = F.coalesce("behind", "next")
+    return placed.join(edges, "part").filter(first.startswith(F.col("name"))).select(F.col("name").alias("folder"), first.alias("first_key"))
 
 
 def resolve_image_keys(rows: DataFrame, files: DataFrame | None = None) -> DataFrame:
@@ -67,11 +83,12 @@ def resolve_image_keys(rows: DataFrame, files: DataFrame | None = None) -> DataF
     folder = F.when(
         ~has_extension(F.col("_link")), F.concat(F.regexp_replace("_link", "/+$", ""), F.lit("/"))
     )
-    firsts = first_image_per_folder(files)
+    rows = rows.withColumn("_folder", folder)
+    firsts = first_image_per_folder(rows.select(F.col("_folder").alias("folder")).filter("folder is not null"), files)
     # rows without a folder get a key of their own that matches nothing, so they stay spread out
     none = F.concat(F.lit("\x00"), F.col("transaction_id").cast("string"))
     return (
-        rows.withColumn("_folder", F.coalesce(folder, none))
+        rows.withColumn("_folder", F.coalesce("_folder", none))
         .join(firsts.withColumnRenamed("folder", "_folder"), "_folder", "left")
         .withColumn("s3_key", F.coalesce(direct, "first_key"))
         .drop("_link", "_folder", "first_key")

@@ -12,15 +12,26 @@ from weighlens.functions.paths import image_extension
 from weighlens.schemas import IMAGES_PER_REVIEW, SEED
 from weighlens.sources.decisions import marked_for_review
 from weighlens.sources.lookups import load_review_transactions
+from weighlens.storage import shared_dir
 
 
-def _log_rows(sample: DataFrame, folder: Column, bucket: str, files: DataFrame | None) -> DataFrame:
-    rows = resolve_image_keys(sample.withColumn("_folder_to", folder), files)
+_SAMPLED = (
+    "reference_name", "product_name", "product_type", "transaction_id", "transaction_start_time", "device_id", "device_name",
+    "selected_reference_name", "result_label_name", "confidence", "Ok", "Ok_modelo", "image_link",
+)
+
+
+def _sampled(sample: DataFrame, folder: Column) -> DataFrame:
+    return sample.withColumn("device_id", F.col("device_id").cast("string")).select(*_SAMPLED, folder.alias("_folder_to"))
+
+
+def _log_rows(sample: DataFrame, bucket: str, files: DataFrame | None) -> DataFrame:
+    rows = resolve_image_keys(sample, files)
     key = F.col("s3_key")
     found = key.isNotNull()
     return rows.select(
         "reference_name", "product_name", "product_type", "transaction_id", "transaction_start_time",
-        F.col("device_id").cast("string").alias("device_id"), "device_name", "selected_reference_name", "result_label_name",
+        "device_id", "device_name", "selected_reference_name", "result_label_name",
         "confidence", "Ok", "Ok_modelo",
         F.coalesce(key, F.lit("")).alias("s3_key"),
         F.when(found, F.concat(F.lit(f"s3://{bucket}/"), key)).otherwise(F.lit("")).alias("s3_url"),
@@ -53,6 +64,10 @@ def review_images(
     )
     by_device = sample_devices_for_review(devices, tx, images, mode, seed).withColumn("reference_name", F.lit("unknown"))
     device_folder = F.concat_ws("/", F.lit(target), F.lit("devices"), F.col("device_id").cast("string"))
-    return _log_rows(by_product, folder, bucket, files).unionByName(
-        _log_rows(by_device, device_folder, bucket, files)
-    )
+    # one look at the listing for both kinds; the sample is written once, as its links and its rows are read apart
+    sample = _sampled(by_product, folder).unionByName(_sampled(by_device, device_folder))
+    if files is not None:
+        work_dir = shared_dir(sample.sparkSession, "review-sample")
+        sample.write.parquet(work_dir)
+        sample = sample.sparkSession.read.schema(sample.schema).parquet(work_dir)
+    return _log_rows(sample, bucket, files)
