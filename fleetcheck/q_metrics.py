@@ -137,13 +137,41 @@ def _(f: Fleet) -> DataFrame:
     ).select("reference_id", "reference_code", "num_cliente", "producto_trained", "is_in_dataset")
 
 
-@query("fleet_consolidated_references", """
-    select p.reference_id, p.reference_code, coalesce(num_cliente, 0) as num_cliente, case when num_cliente >= 2 then 'si' else 'no' end as incluir_dataset
-    from {fx_fleet_products} p left join """ + _FLEET_COUNTS + " m on p.reference_id = m.reference_id")
+FLEET_COLUMNS = [*METRICS, "deployment_id", "label_name", "producto_trained", "is_in_dataset", "trained_count"]
+
+
+def fleet_analysed(f: Fleet) -> DataFrame:
+    return quality.complete_analysis(
+        f.tx, f.derived("fx_fleet_products"), f.derived("fx_labels"), f.derived("fx_fleet_classes"), deployments=f.derived("fx_fleet_models")
+    )["complete_analysis"]
+
+
+@query("fleet_complete_analysis", "select " + ", ".join(FLEET_COLUMNS) + " from {fx_fleet_analysed}")
 def _(f: Fleet) -> DataFrame:
-    products = f.derived("fx_fleet_products")
-    return reports.consolidated_references(products, references.reference_metrics(f.tx, products), 2).select(
-        "reference_id", "reference_code", "num_cliente", "incluir_dataset")
+    return fleet_analysed(f).select(*FLEET_COLUMNS)
+
+
+_EDITED = """case when num_cliente >= 2 then 'si' else 'no' end as incluir_dataset, case when num_cliente >= 2 then 150 end as num_imagenes_dataset,
+           case when num_cliente >= 2 then producto_trained end as producto_a_entrenar, case when num_cliente >= 2 then label_id end as label_considerar"""
+
+
+@query("fleet_consolidated_references", "select " + ", ".join(c for c in FLEET_COLUMNS if c != "label_id") + ", cast(label_id as string) as label_id, " + _EDITED + " from {fx_fleet_analysed}")
+def _(f: Fleet) -> DataFrame:
+    found = reports.consolidated_references(f.derived("fx_fleet_products"), fleet_analysed(f), 2, fleet=True)
+    return found.select(*FLEET_COLUMNS, "incluir_dataset", "num_imagenes_dataset", "producto_a_entrenar", "label_considerar")
+
+
+@query("fleet_download_stats_join", """
+    select p.reference_id, p.deployment_id, p.reference_code, coalesce(d.downloaded, 0) as imagenes_descargadas, coalesce(d.total_urls, 0) as total_urls_encontradas,
+           printf('%.1f%%', round(coalesce(d.success_rate, 0), 1)) as tasa_exito_descarga, coalesce(d.output_directory, 'N/A') as directorio_imagenes,
+           coalesce(cast(s.confident_suggestion as string), 'N/A') as sugerencia_confiable, coalesce(cast(s.main_suggestion_label_id as string), 'N/A') as sugerencia_principal,
+           printf('%.1f%%', round(coalesce(cast(s.main_suggestion_percentage as double), 0), 1)) as porcentaje_sugerencia, coalesce(s.suggestion_confidence, 'Sin datos') as nivel_confianza
+    from {fx_fleet_products} p left join {fx_fleet_downloads} d on p.deployment_id = d.deployment_id and p.reference_code = d.reference_code
+         left join {fx_fleet_suggestions} s on p.deployment_id = s.deployment_id and p.reference_code = s.reference_code""")
+def _(f: Fleet) -> DataFrame:
+    from weighlens.operators.suggestions import download_stats_join
+    products = f.derived("fx_fleet_products").select("reference_id", "deployment_id", "reference_code")
+    return download_stats_join(products, f.derived("fx_fleet_downloads"), f.derived("fx_fleet_suggestions"))
 
 
 @query("training_status", """

@@ -288,12 +288,19 @@ def _(f: Fleet) -> DataFrame:
 
 
 @query("new_references_report", """
-    select 'new_references' as part, count(*) as n from {fx_analysed} where not is_trained_elastic
-    union all select 'suggestions', count(*) from """ + _LONG + " x")
+    select 'new_references' as part, a.reference_code, a.reference_name, cast(a.num_cliente as bigint) as num_cliente, coalesce(d.downloaded, 0) as imagenes_descargadas,
+           coalesce(s.suggestion_confidence, 'Sin datos') as level, printf('%.1f%%', round(coalesce(cast(s.main_suggestion_percentage as double), 0), 1)) as percentage, null as label_id, null as "count"
+    from {fx_analysed} a left join {fx_downloads} d on a.reference_code = d.reference_code left join {fx_suggestions} s on a.reference_code = s.reference_code
+    where not a.is_trained_elastic
+    union all select 'suggestions', reference_code, reference_name, total_detections, null, confidence_level, percentage, suggested_label_id, "count" from """ + _LONG + " x")
 def _(f: Fleet) -> DataFrame:
     parts = suggestions.new_references_report(analysed(f), f.derived("fx_downloads"), f.derived("fx_suggestions"))
-    rows = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(p).alias("part"), "n") for p, df in parts.items()]
-    return rows[0].unionByName(rows[1])
+    detail = parts["suggestions"].selectExpr(
+        "'suggestions' as part", "reference_code", "reference_name", "total_detections as num_cliente", "confidence_level as level", "percentage",
+        "suggested_label_id as label_id", "count")
+    return parts["new_references"].selectExpr(
+        "'new_references' as part", "reference_code", "reference_name", "num_cliente", "imagenes_descargadas", "nivel_confianza as level", "porcentaje_sugerencia as percentage"
+    ).unionByName(detail, allowMissingColumns=True)
 
 
 # Jobs
@@ -327,6 +334,114 @@ def _(f: Fleet) -> DataFrame:
     return f.spark.read.parquet(written["products"]).select("reference_id", "reference_code", "num_cliente", "num_manuales", "label_name")
 
 
+@query("fleet_report", """
+    with own as (select deployment_id, max(model_id) as own from {fx_deployments} group by 1 having max(model_id) is not null),
+    window_of as (select t.*, own from {fx_tx} t join own using (deployment_id)
+                  where transaction_start_time >= timestamp '1995-09-19' and transaction_start_time < timestamp '1998-06-16'),
+    has as (select distinct deployment_id from window_of where model_id = own),
+    taken as (select transaction_id from window_of where model_id = own or deployment_id not in (select deployment_id from has))
+    select 'product' as kind, p.reference_id, p.deployment_id, p.reference_code, coalesce(c, 0) as num_cliente, coalesce(m, 0) as num_manuales, l.label_name,
+           case when c >= 2 then 'si' else 'no' end as incluir_dataset
+    from {fx_fleet_products} p join own on p.deployment_id = own.deployment_id left join (
+        select reference_id, count(*) filter (where is_client) as c, count(*) filter (where is_manual) as m from {fx_fleet_matches}
+        where transaction_id in (select transaction_id from taken) group by 1) x on p.reference_id = x.reference_id
+        left join {fx_labels} l on cast(p.label_id as bigint) = l.label_id
+    union all select 'skipped', null, deployment_id, null, null, null, null, null from {fx_deployments} group by deployment_id having max(model_id) is null
+    union all select 'extract', null, deployment_id, null, count(*), null, null, null from window_of where transaction_id in (select transaction_id from taken) group by deployment_id""")
+def _(f: Fleet) -> DataFrame:
+    """The job for all deployments at once; its products, skipped deployments and extract are read back."""
+    written = deployment.fleet_report(
+        f.raw, f.derived("fx_deployments"), f.derived("fx_models"), f.derived("fx_fleet_products"), f.derived("fx_labels"), f.derived("fx_folders"),
+        AS_OF, shared_dir(f.spark, "fleet-report"), 1000, 2)
+    read = lambda table: f.spark.read.parquet(written[table])
+    products = read("products").selectExpr(
+        "'product' as kind", "reference_id", "deployment_id", "reference_code", "num_cliente", "num_manuales", "label_name", "incluir_dataset")
+    extracted = read("extract").groupBy("deployment_id").agg(F.count(F.lit(1)).alias("num_cliente")).withColumn("kind", F.lit("extract"))
+    skipped = read("skipped").select(F.lit("skipped").alias("kind"), "deployment_id")
+    return products.unionByName(skipped, allowMissingColumns=True).unionByName(extracted, allowMissingColumns=True)
+
+
+# a fleet in one frame: a code is sampled, looked up and downloaded in its own deployment only
+_FLEET_REVIEW = (_REVIEW + _REVIEW_ROWS).replace("{fx_decisions}", "{fx_fleet_decisions}")
+for _one, _fleet in (
+    ("select distinct lower(t.result_label_name)", "select distinct t.deployment_id, lower(t.result_label_name)"),
+    ("on t.selected_reference_code = d.reference_code where", "on t.deployment_id = d.deployment_id and t.selected_reference_code = d.reference_code where"),
+    ("tops as (select reference_id,", "tops as (select deployment_id, reference_id,"),
+    ("union all select reference_id, reference_name, 'similar_top2'", "union all select deployment_id, reference_id, reference_name, 'similar_top2'"),
+    ("entries as (select coalesce", "entries as (select deployment_id, coalesce"),
+    ("select case when s.selected_reference_code is not null", "select t.deployment_id, case when s.selected_reference_code is not null"),
+    ("on lower(t.parent) = s.similar_name", "on t.deployment_id = s.deployment_id and lower(t.parent) = s.similar_name"),
+    ("{fx_images} t on t.image_link <> ''", "{fx_images} t on t.deployment_id = e.deployment_id and t.image_link <> ''"),
+):
+    assert _one in _FLEET_REVIEW
+    _FLEET_REVIEW = _FLEET_REVIEW.replace(_one, _fleet)
+
+
+def _fleet_entries(f: Fleet) -> DataFrame:
+    decisions = f.derived("fx_fleet_decisions")
+    return review.products_to_review(marked_for_review(decisions), review.similar_sub_products(f.tx, decisions))
+
+
+@query("fleet_similar_sub_products", _FLEET_REVIEW.split("marked as")[0].rstrip().rstrip(",") + " select * from subs")
+def _(f: Fleet) -> DataFrame:
+    return review.similar_sub_products(f.tx, f.derived("fx_fleet_decisions"))
+
+
+@query("fleet_products_to_review", _FLEET_REVIEW + """
+    select deployment_id, name, type, result_index, reference_id, reference_name, parent_similar_name, label_id, reference_code, selected_reference_code from entries""")
+def _(f: Fleet) -> DataFrame:
+    return _fleet_entries(f).drop("entry_id")
+
+
+@query("fleet_sample_for_review", _FLEET_REVIEW + """
+    select deployment_id, reference_name, name as product_name, type as product_type, parent_similar_name, label_id, transaction_id from chosen""")
+def _(f: Fleet) -> DataFrame:
+    return review.sample_for_review(_fleet_entries(f), load_review_transactions(f.cached), 3).select(
+        "deployment_id", "reference_name", "product_name", "product_type", "parent_similar_name", "label_id", "transaction_id")
+
+
+@query("fleet_images_per_reference", """
+    select d.reference_id, d.deployment_id, d.reference_code, cast(num_imagenes_dataset as bigint) as requested, coalesce(n, 0) as available,
+           least(cast(num_imagenes_dataset as bigint), coalesce(n, 0)) as num_imagenes
+    from {fx_fleet_decisions} d left join (select deployment_id, selected_reference_code, count(*) as n from {fx_tx} group by 1, 2) t
+         on d.deployment_id = t.deployment_id and d.reference_code = t.selected_reference_code where incluir_dataset = 'si'""")
+def _(f: Fleet) -> DataFrame:
+    return sampling.images_per_reference(marked_for_dataset(f.derived("fx_fleet_decisions")), f.tx).select(
+        "reference_id", "deployment_id", "reference_code", "requested", "available", "num_imagenes")
+
+
+@query("fleet_sample_per_reference", """
+    select * exclude (rn, n) from (
+        select d.deployment_id, d.reference_name, d.reference_code, t.transaction_id, num_imagenes_dataset as n,
+               row_number() over (partition by d.deployment_id, d.reference_name order by md5('42|' || t.transaction_id), t.transaction_id) as rn
+        from {fx_fleet_decisions} d join {fx_images} t on d.deployment_id = t.deployment_id and d.reference_code = t.selected_reference_code
+        where incluir_dataset = 'si' and image_link <> '' and t.transaction_id not in (select transaction_id from {fx_used})) a where rn <= n""")
+def _(f: Fleet) -> DataFrame:
+    decisions = validate_decisions(f.derived("fx_fleet_decisions")).filter("error is null").drop("error")
+    found = sampling.dataset_candidates(decisions, _cached(f), f.derived("fx_used"))
+    return sampling.sample_per_reference(found, decisions).select("deployment_id", "reference_name", "reference_code", "transaction_id")
+
+
+_FLEET_URLS = """urls as (select deployment_id, code as reference_code, url, min(lpad(cast(pos as string), 2, '0') || cast(transaction_start_time as string) || '|' || transaction_id) as seen from (
+        select distinct deployment_id, transaction_id, transaction_start_time, unnest([reference_code, product_code]) as code, unnest([0, 0]) as z, image_url, thumb_image_url from {fx_fleet_urls}) a,
+        lateral (select unnest([image_url, thumb_image_url]) as url, unnest([0, 1]) as pos) b
+    where code is not null and (url like 'http%' or url like '/%') group by 1, 2, 3),
+    ranked as (select *, row_number() over (partition by deployment_id, reference_code order by seen, url) as rn from urls)"""
+
+
+@query("fleet_extract_image_urls", "with " + _FLEET_URLS + " select deployment_id, reference_code, url, cast(rn as int) as image_no from ranked where rn <= 4")
+def _(f: Fleet) -> DataFrame:
+    return images.extract_image_urls(f.derived("fx_fleet_urls"), 4).select("deployment_id", "reference_code", "url", "image_no")
+
+
+@query("fleet_reference_image_plan", "with " + _FLEET_URLS + """
+    select r.deployment_id, r.reference_code, p.reference_name, url, cast(rn as int) as image_no, 'out/' || r.reference_code || '_' || p.reference_name as directory,
+           'image_' || lpad(cast(rn - 1 as string), 4, '0') || case when url like '%.png?%' then '.png' else '.jpg' end as filename
+    from ranked r join {fx_fleet_products} p on r.deployment_id = p.deployment_id and r.reference_code = p.reference_code where rn <= 4""")
+def _(f: Fleet) -> DataFrame:
+    return downloads.reference_image_plan(f.derived("fx_fleet_products"), f.derived("fx_fleet_urls"), "out", 4)
+
+
 @query("write_manifest", _TRAINING + """
     select class, label, reference_name, transaction_id, 'dataset_1' as dataset_folder
     from (select class, label, reference_name, transaction_id from picked union all select class, label, reference_name, transaction_id from extra) x""")

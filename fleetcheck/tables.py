@@ -127,6 +127,29 @@ SHARED = {
         select m.model_id, c.class_pos, c.label_pos, c.label_id, c.class_name || '_of_' || cast(m.model_id as string) as class_name
         from (select x.*, class_pos % 25 as d from {fx_classes} x union all select x.*, (class_pos + 1) % 25 from {fx_classes} x
               union all select x.*, (class_pos + 7) % 25 from {fx_classes} x) c join {fx_fleet_models} m on c.d = m.deployment_id""",
+    "fx_fleet_decisions": """
+        select reference_id, reference_code, reference_name, deployment_id, case when reference_id % 4 < 3 then 'si' else 'no' end as incluir_dataset,
+               case when reference_id % 50 < 4 then 'SI' when reference_id % 50 = 7 then 'yes' else 'no' end as revisar_imagenes,
+               cast(reference_id % 3 as int) + 1 as num_imagenes_dataset, 'class_' || label_id as producto_a_entrenar, label_id as label_considerar,
+               'LABEL ' || label_id as label_name, cast(label_id as bigint) as label_id, cast(cast(label_id as bigint) % 40 as int) as top1_result_index,
+               'LABEL ' || cast(cast(floor((reference_id % 100000000) / 18.0) as bigint) as string) as top1_result_label_name,
+               cast(3 as int) as top2_result_index,
+               case when reference_id % 2 = 0 then 'label ' || cast(cast(floor((reference_id % 100000000) / 18.0) as bigint) + 3 as string) end as top2_result_label_name,
+               cast(null as int) as top3_result_index, cast(null as string) as top3_result_label_name
+        from {fx_fleet_products}""",
+    "fx_fleet_downloads": """
+        select deployment_id, reference_code, reference_id % 9 as downloaded, reference_id % 9 + 3 as total_urls,
+               1e2 * (reference_id % 9) / (reference_id % 9 + 3) as success_rate, 'out/' || cast(reference_id as string) as output_directory
+        from {fx_fleet_products} where reference_id % 3 = 0""",
+    "fx_fleet_suggestions": """
+        select deployment_id, reference_code, reference_id % 2 = 0 as confident_suggestion, reference_id % 11 as main_suggestion_label_id,
+               (reference_id % 70) * 15e-1 as main_suggestion_percentage, 'level ' || cast(reference_id % 5 as string) as suggestion_confidence
+        from {fx_fleet_products} where reference_id % 5 > 0""",
+    "fx_fleet_urls": """
+        select deployment_id, transaction_id, transaction_start_time, selected_reference_code as reference_code, first_code as product_code,
+               'http://img.example/' || first_code || '.png?x=1' as image_url,
+               case when confidence = 'LOW' then 'thumb/none' else '/thumb/' || transaction_id || '.bmp' end as thumb_image_url
+        from {fx_flat}""",
     # from the transactions
     "fx_folders": """
         select transaction_id,
@@ -362,6 +385,27 @@ DUCK_ONLY = {
 }
 
 
+# the same figures for a fleet's products: matches, labels and classes are those of each product's deployment
+_FLEET_NAMES = {
+    "{fx_matches}": "{fx_fleet_matches}", "{fx_references}": "{fx_fleet_products}", "{fx_label_of_reference}": "{fx_fleet_label_of_reference}",
+    "{fx_metrics}": "{fx_fleet_metrics}", "{fx_top3}": "{fx_fleet_top3}",
+    "{fx_class_of_label} c on l.label_id = c.label_id": "{fx_fleet_class_of_label} c on l.label_id = c.label_id and r.deployment_id = c.deployment_id",
+}
+
+
+def _of_fleet(text: str) -> str:
+    for one, fleet in _FLEET_NAMES.items():
+        text = text.replace(one, fleet)
+    return text
+
+
+for _name in ("fx_metrics", "fx_top3", "fx_label_of_reference", "fx_analysed"):
+    DUCK_ONLY[_name.replace("fx_", "fx_fleet_")] = _of_fleet(DUCK_ONLY[_name])
+DUCK_ONLY["fx_fleet_class_of_label"] = """
+        select model_id // 10 as deployment_id, label_id, arg_max(class_name, class_pos * 10 + label_pos) as last_class
+        from {fx_fleet_classes} where label_id is not null group by 1, 2"""
+
+
 def _names_in(text: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"(?<!\{)\{(\w+)\}(?!\})", text)))
 

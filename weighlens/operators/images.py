@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from weighlens.functions.paths import clean_image_link, folder_at, folder_depth, has_extension
-from weighlens.schemas import FOLDER_EXTENSIONS, IMAGE_EXTENSIONS
+from weighlens.schemas import FOLDER_EXTENSIONS, IMAGE_EXTENSIONS, shared_scope
 from weighlens.functions.ranking import first_per_group, number_all
 from weighlens.sources.lookups import lookup_folders
 from weighlens.storage import shared_dir
@@ -126,30 +126,32 @@ def extract_image_urls(tx: DataFrame, max_images: int | None = None, codes: Data
     """Distinct image URLs per product code in order of first appearance.
 
     Appearance goes column by column (all columns named *image*url*, then ``image_path``)
-    and by time within a column.  A row counts once for each of its two product codes.
+    and by time within a column.  A row counts once for each of its two product codes.  Codes belong to their
+    deployment where the rows (and ``codes``) have ``deployment_id``; it is then a column of the result.
     """
+    scope = shared_scope(tx, *([codes] if codes is not None else []))
     names = [c for c in tx.columns if "image" in c.lower() and "url" in c.lower()]
     names += ["image_path"] if "image_path" in tx.columns else []
     code_columns = [F.col(c) for c in ("reference_code", "product_code") if c in tx.columns]
     values = F.array(*[F.struct(F.lit(i).alias("pos"), F.col(c).cast("string").alias("url")) for i, c in enumerate(names)])
     urls = (
         tx.select(
-            F.explode(F.array_distinct(F.array_compact(F.array(*code_columns)))).alias("reference_code"),
+            *scope, F.explode(F.array_distinct(F.array_compact(F.array(*code_columns)))).alias("reference_code"),
             "transaction_start_time", "transaction_id", values.alias("_values"),
         )
-        .select("reference_code", "transaction_start_time", "transaction_id", F.inline("_values"))
+        .select(*scope, "reference_code", "transaction_start_time", "transaction_id", F.inline("_values"))
         .filter(F.col("url").startswith("http") | F.col("url").startswith("/"))
     )
     if codes is not None:
-        urls = urls.join(codes.select("reference_code"), "reference_code", "left_semi")
+        urls = urls.join(codes.select(*scope, "reference_code"), [*scope, "reference_code"], "left_semi")
     # one struct key: a semi join by code before must not decide where a hot code is summed up
     first = (
-        urls.groupBy(F.struct("reference_code", "url").alias("_key"))
+        urls.groupBy(F.struct(*scope, "reference_code", "url").alias("_key"))
         .agg(F.min(F.struct("pos", "transaction_start_time", "transaction_id")).alias("first_seen"))
         .select("_key.*", "first_seen")
     )
     if max_images is None:
         return first
     return first_per_group(
-        first, ["reference_code"], [F.col("first_seen"), F.col("url")], max_images, "image_no", "url"
+        first, [*scope, "reference_code"], [F.col("first_seen"), F.col("url")], max_images, "image_no", "url"
     )

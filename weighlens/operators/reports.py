@@ -143,18 +143,18 @@ def decision_columns(
 
 
 def consolidated_references(
-    references: DataFrame, analysed: DataFrame, min_client: int = MIN_CLIENT_ROWS
+    references: DataFrame, analysed: DataFrame, min_client: int = MIN_CLIENT_ROWS, fleet: bool = False
 ) -> DataFrame:
     """Catalogue rows with their metrics and decision columns, without audit columns.
 
-    Rows meet by reference_id, else by code (and deployment): one row per catalogue row.
+    A ``fleet`` report keeps ``deployment_id``: decisions made from it name their deployment.  Rows meet by reference_id, else by code (and deployment): one row per catalogue row.
     """
     added = [c for c in analysed.columns if c not in references.columns]
     keys = ["reference_id"] if {"reference_id"} <= {*references.columns} & {*analysed.columns} else [
         c for c in ("deployment_id", "reference_code") if c in references.columns and c in analysed.columns]
     merged = references.join(analysed.select(*keys, *added), keys, "left")
     return decision_columns(merged, min_client).drop(
-        "created_at", "updated_at", "num_apariciones", "deployment_id"
+        "created_at", "updated_at", "num_apariciones", *([] if fleet else ["deployment_id"])
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from weighlens.functions.codes import normalize_device_id
 from weighlens.functions.ranking import sample_per_group
 from weighlens.operators.labelling import filter_by_transaction_type
-from weighlens.schemas import IMAGES_PER_REVIEW, SEED, require
+from weighlens.schemas import IMAGES_PER_REVIEW, SEED, require, shared_scope
 from weighlens.sources.decisions import marked_for_review
 
 
@@ -16,14 +16,22 @@ def _correct(tx: DataFrame) -> DataFrame:
 
 
 def similar_sub_products(tx: DataFrame, references: DataFrame) -> DataFrame:
-    """Per predicted label (lower case): products chosen in rows that were right on all counts."""
+    """Per predicted label (lower case): products chosen in rows that were right on all counts.
+
+    Where both sides have ``deployment_id``, labels and products of one deployment only meet each other.
+    """
+    scope = shared_scope(tx, references)
     seen = (
         _correct(tx)
-        .select(F.lower("result_label_name").alias("similar_name"), "selected_reference_code")
+        .select(*scope, F.lower("result_label_name").alias("similar_name"), "selected_reference_code")
         .dropna().distinct()
     )
-    products = references.select("reference_code", "reference_name", "label_id", "label_name")
-    return seen.join(products, F.col("selected_reference_code") == F.col("reference_code"))
+    products = references.select(
+        *scope, F.col("reference_code").alias("selected_reference_code"), "reference_code", "reference_name", "label_id", "label_name"
+    )
+    return seen.join(products, [*scope, "selected_reference_code"]).select(
+        *scope, "similar_name", "selected_reference_code", "reference_code", "reference_name", "label_id", "label_name"
+    )
 
 
 def products_to_review(
@@ -31,9 +39,11 @@ def products_to_review(
 ) -> DataFrame:
     """One row per thing to look at: each product's own class, then its top-3 look-alikes.
 
-    A look-alike without sub-products stays as the class itself.  ``entry_id`` names the row.
+    A look-alike without sub-products stays as the class itself.  ``entry_id`` names the row.  The rows keep the decisions'
+    ``deployment_id``, if there is one, and look-alikes are then of the same deployment.
     """
     require(decisions, "reference_id", "reference_code", "reference_name", "label_name", "label_id")
+    scope = shared_scope(decisions)
     no_text = F.lit(None).cast("string")
     label = F.col("label_id").cast("string")
     main = decisions.select(
@@ -42,7 +52,7 @@ def products_to_review(
         F.lit(None).cast("int").alias("result_index"),
         "reference_id", "reference_name",
         no_text.alias("parent_similar_name"), label.alias("label_id"), "reference_code",
-        no_text.alias("selected_reference_code"),
+        no_text.alias("selected_reference_code"), *scope,
     )
     if not classes_too or sub_products is None:
         return _with_entry_id(main)
@@ -54,26 +64,27 @@ def products_to_review(
         ) for i in (1, 2, 3)
     ])
     similar = (
-        decisions.select("reference_id", "reference_name", F.inline(tops))
+        decisions.select(*scope, "reference_id", "reference_name", F.inline(tops))
         .filter(F.col("result_index").isNotNull() & F.col("parent_similar_name").isNotNull())
         .withColumn("_similar", F.lower("parent_similar_name"))
     )
+    shared = shared_scope(decisions, sub_products)
     subs = sub_products.select(
-        F.col("similar_name").alias("_similar"), "label_name", F.col("label_id").cast("string").alias("label_id"),
+        *shared, F.col("similar_name").alias("_similar"), "label_name", F.col("label_id").cast("string").alias("label_id"),
         "reference_code", "selected_reference_code",
     )
     found = F.col("selected_reference_code").isNotNull()
-    similar = similar.join(subs, "_similar", "left").select(
+    similar = similar.join(subs, [*shared, "_similar"], "left").select(
         F.when(found, F.col("label_name")).otherwise(F.col("parent_similar_name")).alias("name"),
         "type", "result_index", "reference_id", "reference_name", "parent_similar_name",
-        "label_id", "reference_code", "selected_reference_code",
+        "label_id", "reference_code", "selected_reference_code", *scope,
     )
     return _with_entry_id(main.unionByName(similar))
 
 
 def _with_entry_id(entries: DataFrame) -> DataFrame:
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (
-        "reference_id", "type", "parent_similar_name", "selected_reference_code")]
+        *shared_scope(entries), "reference_id", "type", "parent_similar_name", "selected_reference_code")]
     return entries.withColumn("entry_id", F.concat_ws("|", *parts))
 
 
@@ -94,8 +105,10 @@ def sample_for_review(
     The product's own class goes by selected name, sub-products by code among correct rows,
     plain look-alikes by predicted label among correct rows.  Many entries share one search
     (a look-alike of several products), so each distinct search is sampled once and its rows
-    are then given to the entries: the fact rows are never multiplied by the entries.
+    are then given to the entries: the fact rows are never multiplied by the entries.  A search
+    stays in the entry's deployment, where entries and rows both name one.
     """
+    keys = [*shared_scope(entries, tx), "_how", "_what"]
     main = F.col("type") == "clase_principal"
     by_code = F.coalesce(F.col("selected_reference_code") != "", F.lit(False))
     search = entries.withColumns({
@@ -103,7 +116,7 @@ def sample_for_review(
         "_what": F.when(main, F.upper("reference_name"))
         .when(by_code, F.col("selected_reference_code")).otherwise(F.lower("name")),
     })
-    wanted = search.select("_how", "_what").dropna().distinct()
+    wanted = search.select(*keys).dropna().distinct()
 
     right = (F.col("Ok") == 1) & (F.col("Ok_modelo") == 1)
     ways = _ways({
@@ -116,15 +129,15 @@ def sample_for_review(
     rows = (
         filter_by_transaction_type(tx, mode)
         .filter(F.col("has_image") == 1)
-        .select(*columns, F.inline(ways))
+        .select(*columns, *keys[:-2], F.inline(ways))
         .filter(F.col("_what").isNotNull())
-        .join(wanted, ["_how", "_what"])
+        .join(wanted, keys)
     )
-    picked = sample_per_group(rows, ["_how", "_what"], "transaction_id", F.lit(images), seed)
+    picked = sample_per_group(rows, keys, "transaction_id", F.lit(images), seed)
     return picked.join(search.select(
         "entry_id", F.col("reference_name"), F.col("name").alias("product_name"),
-        F.col("type").alias("product_type"), "parent_similar_name", "label_id", "_how", "_what",
-    ), ["_how", "_what"]).drop("_how", "_what")
+        F.col("type").alias("product_type"), "parent_similar_name", "label_id", *keys,
+    ), keys).drop("_how", "_what")
 
 
 def sample_devices_for_review(

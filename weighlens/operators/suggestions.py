@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from weighlens.functions.paths import image_extension, safe_name
 from weighlens.functions.ranking import first_per_group
-from weighlens.schemas import IMAGES_FALLBACK, require
+from weighlens.schemas import IMAGES_FALLBACK, require, shared_scope
 
 
 def percent_text(value: Column) -> Column:
@@ -27,13 +27,14 @@ def suggestions_wide(suggestions: DataFrame) -> DataFrame:
 
 
 def suggestions_long(suggestions: DataFrame) -> DataFrame:
-    """One row per suggestion."""
+    """One row per suggestion, with the deployment if the suggestions have one."""
     require(suggestions, "reference_code", "reference_name", "total_detections", "suggestion_confidence")
+    scope = shared_scope(suggestions)
     return suggestions.select(
-        "reference_code", "reference_name", "total_detections",
+        *scope, "reference_code", "reference_name", "total_detections",
         F.col("suggestion_confidence").alias("confidence_level"), F.inline("all_suggestions"),
     ).select(
-        "reference_code", "reference_name", F.col("label_id").alias("suggested_label_id"), "count",
+        *scope, "reference_code", "reference_name", F.col("label_id").alias("suggested_label_id"), "count",
         percent_text(F.col("percentage")).alias("percentage"), "total_detections", "confidence_level",
     )
 
@@ -44,26 +45,30 @@ def similar_class_urls(
     """First image URLs of every suggested label and the folder they go to.
 
     Rows count for their predicted and for their own label.  URLs are ranked per label and
-    only then met with the suggestions' distinct labels, so nothing is ranked twice.
+    only then met with the suggestions' distinct labels, so nothing is ranked twice.  A label is one of a deployment
+    where suggestions and rows both have ``deployment_id``.
     """
-    wanted = suggestions_long(suggestions).select(F.col("suggested_label_id").cast("bigint").alias("label_id")).dropna().distinct()
+    scope = shared_scope(suggestions, tx)
+    keys = [*scope, "label_id"]
+    wanted = suggestions_long(suggestions).select(*scope, F.col("suggested_label_id").cast("bigint").alias("label_id")).dropna().distinct()
     names = [c for c in tx.columns if "image" in c.lower() and "url" in c.lower()]
     values = F.array(*[F.struct(F.lit(i).alias("pos"), F.col(c).alias("url")) for i, c in enumerate(names)])
     ids = F.array_distinct(F.array_compact(F.array(F.col("predicted_label_id").cast("bigint"), F.col("label_id").cast("bigint"))))
     urls = (
-        tx.select(F.explode(ids).alias("label_id"), "transaction_start_time", "transaction_id", values.alias("_v"))
-        .join(wanted, "label_id", "left_semi")
-        .select("label_id", "transaction_start_time", "transaction_id", F.inline("_v"))
+        tx.select(*scope, F.explode(ids).alias("label_id"), "transaction_start_time", "transaction_id", values.alias("_v"))
+        .join(wanted, keys, "left_semi")
+        .select(*keys, "transaction_start_time", "transaction_id", F.inline("_v"))
         .filter(F.col("url").isNotNull())
     )
     first = first_per_group(
-        urls, ["label_id"], [F.col("pos"), F.col("transaction_start_time"), F.col("transaction_id")],
+        urls, keys, [F.col("pos"), F.col("transaction_start_time"), F.col("transaction_id")],
         images, "image_no", "transaction_id",
     )
-    named = labels.select(F.col("label_id").cast("bigint").alias("label_id"), "label_name")
+    of_label = ["label_id", *(shared_scope(labels) if scope else [])]
+    named = labels.select(*of_label[1:], F.col("label_id").cast("bigint").alias("label_id"), "label_name")
     name = F.coalesce("label_name", F.concat(F.lit("label_"), F.col("label_id")))
-    return first.join(named, "label_id", "left").select(
-        "label_id", name.alias("label_name"), "url", "image_no",
+    return first.join(named, of_label, "left").select(
+        *scope, "label_id", name.alias("label_name"), "url", "image_no",
         F.concat(F.lit("label_"), F.col("label_id"), F.lit("_"), safe_name(name)).alias("directory"),
         F.concat(
             F.lit("image_"), F.lpad((F.col("image_no") - 1).cast("string"), 4, "0"), image_extension(F.col("url"), None)
@@ -72,19 +77,23 @@ def similar_class_urls(
 
 
 def download_stats_join(untrained: DataFrame, downloads: DataFrame, suggestions: DataFrame) -> DataFrame:
-    """New products with their download result and main suggestion, defaults where there is none."""
+    """New products with their download result and main suggestion, defaults where there is none.
+
+    Codes belong to their deployment where both sides of a join have one.
+    """
+    of_download, of_suggestion = ([*shared_scope(untrained, other), "reference_code"] for other in (downloads, suggestions))
     downloaded = downloads.select(
-        "reference_code", F.col("downloaded").alias("imagenes_descargadas"),
+        *of_download, F.col("downloaded").alias("imagenes_descargadas"),
         F.col("total_urls").alias("total_urls_encontradas"), "success_rate",
         F.col("output_directory").alias("directorio_imagenes"),
     )
     suggested = suggestions.select(
-        "reference_code", F.col("confident_suggestion").cast("string").alias("sugerencia_confiable"),
+        *of_suggestion, F.col("confident_suggestion").cast("string").alias("sugerencia_confiable"),
         F.col("main_suggestion_label_id").cast("string").alias("sugerencia_principal"),
         "main_suggestion_percentage", F.col("suggestion_confidence").alias("nivel_confianza"),
     )
     return (
-        untrained.join(downloaded, "reference_code", "left").join(suggested, "reference_code", "left")
+        untrained.join(downloaded, of_download, "left").join(suggested, of_suggestion, "left")
         .withColumns({
             "tasa_exito_descarga": percent_text(F.col("success_rate")),
             "porcentaje_sugerencia": percent_text(F.col("main_suggestion_percentage")),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from weighlens.functions.paths import image_extension, safe_name, target_folder
 from weighlens.operators.images import extract_image_urls, first_n_per_folder
-from weighlens.schemas import IMAGES_FALLBACK
+from weighlens.schemas import IMAGES_FALLBACK, shared_scope
 from weighlens.sources.lookups import lookup_folder_urls
 
 
@@ -36,14 +36,17 @@ def folder_download_plan(
 def reference_image_plan(
     untrained: DataFrame, tx: DataFrame, output: str, images: int = IMAGES_FALLBACK
 ) -> DataFrame:
-    """First image URLs of every untrained product with their target files."""
+    """First image URLs of every untrained product (of its deployment, where both sides name one) with their target files."""
+    scope = shared_scope(untrained, tx)
+    untrained = untrained.select(*scope, "reference_code", "reference_name")
+    tx = tx if scope else tx.drop("deployment_id")
     urls = extract_image_urls(tx, images, untrained)
-    products = untrained.select("reference_code", "reference_name")
+    products = untrained
     folder = F.concat_ws(
         "/", F.lit(output), F.concat(F.col("reference_code"), F.lit("_"), safe_name(F.col("reference_name")))
     )
-    return urls.join(products, "reference_code").select(
-        "reference_code", "reference_name", "url", "image_no", folder.alias("directory"),
+    return urls.join(products, [*scope, "reference_code"]).select(
+        *scope, "reference_code", "reference_name", "url", "image_no", folder.alias("directory"),
         F.concat(
             F.lit("image_"), F.lpad((F.col("image_no") - 1).cast("string"), 4, "0"), image_extension(F.col("url"))
         ).alias("filename"),

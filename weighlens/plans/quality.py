@@ -17,11 +17,15 @@ from weighlens.sinks.tables import write_report
 
 def complete_analysis(
     tx: DataFrame, references: DataFrame, labels: DataFrame, classes: DataFrame,
-    active: DataFrame | int | None = None, min_client: int = MIN_APPEARANCES,
+    active: DataFrame | int | None = None, min_client: int = MIN_APPEARANCES, deployments: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """All analysis tables as lazy DataFrames over one labelled transaction frame."""
+    """All analysis tables as lazy DataFrames over one labelled transaction frame.
+
+    For several deployments at once give ``deployments`` (deployment_id, model_id): products then meet the classes of their
+    own deployment's model.  Without it ``classes`` must be those of one model.
+    """
     active = active_model(tx) if active is None else active
-    known = references_with_model(references_with_labels(references, labels), classes)
+    known = references_with_model(references_with_labels(references, labels), classes, deployments=deployments)
     analysed = reference_metrics(tx, known, active)
     return {
         "complete_analysis": analysed,
@@ -35,9 +39,10 @@ def complete_analysis(
 
 def quality_report(
     tx: DataFrame, references: DataFrame, labels: DataFrame, classes: DataFrame, folder: str,
-    min_client: int = MIN_CLIENT_ROWS, csv_copy: bool = False,
+    min_client: int = MIN_CLIENT_ROWS, csv_copy: bool = False, deployments: DataFrame | None = None,
 ) -> dict[str, str]:
-    """Write the report tables into one run folder.
+    """Write the report tables into one run folder; with ``deployments`` (deployment_id, model_id) those of a whole fleet,
+    whose product table then has ``deployment_id``.
 
     Products, devices and active models are written first and read back for the tables that
     are derived from them, so the transactions are scanned once per base table and a lost
@@ -46,10 +51,10 @@ def quality_report(
     spark = tx.sparkSession
     base = write_report({"active_model": active_model(tx)}, folder)
     active = spark.read.parquet(base["active_model"])
-    analysis = complete_analysis(tx, references, labels, classes, active)
+    analysis = complete_analysis(tx, references, labels, classes, active, deployments=deployments)
     base |= write_report(
         {
-            "products": consolidated_references(references, analysis["complete_analysis"], min_client),
+            "products": consolidated_references(references, analysis["complete_analysis"], min_client, deployments is not None),
             "devices": device_decision_columns(analysis["devices_analysis"]),
         },
         folder,

@@ -73,6 +73,11 @@ def require(df: DataFrame, *names: str) -> DataFrame:
     return df
 
 
+def shared_scope(*frames: DataFrame) -> list[str]:
+    """What a code, name or label is unique in: the deployment, where all frames name one."""
+    return ["deployment_id"] if all("deployment_id" in f.columns for f in frames) else []
+
+
 def with_missing(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Add absent optional columns as typed NULLs."""
     absent = {n: F.lit(None).cast(t) for n, t in columns.items() if n not in df.columns}

@@ -49,6 +49,26 @@ def scan_transactions(
     return rows if model_id is None else rows.filter(nested(tx, "model_id") == model_id)
 
 
+def scan_fleet(
+    tx: DataFrame, models: DataFrame, as_of: datetime, days_back: int = DAYS_BACK, metrics: tuple[str, ...] = ALL_METRICS,
+) -> DataFrame:
+    """The rows of all deployments in ``models`` (deployment_id, model_id) in the time window of ``scan_transactions``.
+
+    A deployment gives the rows of its model, or all its rows if its model has none in the window.
+    """
+    rows = tx.filter(
+        F.col("transaction_metric").isin(*metrics)
+        & (F.col(_START) >= _instant(tx, _START, _midnight(as_of - timedelta(days=days_back))))
+        & (F.col(_START) < _instant(tx, _START, _midnight(as_of + timedelta(days=1))))
+    )
+    own = models.select("deployment_id", F.col("model_id").alias("_own"))
+    model = nested(tx, "model_id")
+    # the few sums of (deployment, model) say which deployments have rows of their model
+    seen = rows.groupBy("deployment_id", model.alias("_own")).agg(F.count(F.lit(1)).alias("_n"))
+    own = own.join(seen, ["deployment_id", "_own"], "left").select("deployment_id", "_own", F.col("_n").isNotNull().alias("_has"))
+    return rows.join(own, "deployment_id").filter((model == F.col("_own")) | ~F.col("_has")).select(*tx.columns)
+
+
 _DATE_MATH = re.compile(r"^now(?:([+-])(\d*)d)?(/d)?$")
 
 
