@@ -14,6 +14,7 @@ from weighlens.plans import candidates, deployment, downloads, extract, image_re
 from weighlens.sinks.logs import read_dataset_log, write_dataset_log
 from weighlens.sources.decisions import marked_for_dataset, marked_for_review
 from weighlens.sources.lookups import load_review_transactions
+from weighlens.sources.used_index import UsedIndex
 from weighlens.storage import shared_dir
 
 # SQL parts
@@ -58,6 +59,16 @@ def _(f: Fleet) -> DataFrame:
     return sampling.exclude_used(f.tx, f.derived("fx_used")).select("transaction_id", "Result")
 
 
+@query("exclude_used_index", "select transaction_id, Result from {fx_tx} where transaction_id not in (select transaction_id from {fx_used})")
+def _(f: Fleet) -> DataFrame:
+    """The same from an index that two runs have written."""
+    index = UsedIndex.create(f.spark, shared_dir(f.spark, "used-index"), expected_ids=1_000_000, buckets=32)
+    used = f.derived("fx_used")
+    for run in range(2):
+        index.append(used.filter(F.pmod(F.xxhash64("transaction_id"), F.lit(2)) == run))
+    return sampling.exclude_used(f.tx, index).select("transaction_id", "Result")
+
+
 @query("images_per_reference", """
     select d.reference_code, cast(coalesce(num_imagenes_dataset, 50) as bigint) as requested, coalesce(n, 0) as available,
            least(cast(coalesce(num_imagenes_dataset, 50) as bigint), coalesce(n, 0)) as num_imagenes

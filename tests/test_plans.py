@@ -47,8 +47,24 @@ def test_fact_rows_are_summed_before_the_product_join(fleet):
 
 
 def test_constant_limit_is_applied_before_the_shuffle(fleet):
-    df = first_per_group(fleet.tx, ["deployment_id"], [F.col("transaction_id")], 5, "n", "transaction_id")
-    assert plan_of(df).count("WindowGroupLimit") == 4  # per slice and per group, each before and after its shuffle
+    for n, limits in ((5, 2), (1000, 2)):  # before and after the one shuffle
+        df = first_per_group(fleet.tx, ["deployment_id"], [F.col("transaction_id")], n, "n", "transaction_id")
+        assert plan_of(df).count("WindowGroupLimit") == limits and plan_of(df).count("Exchange hashpartitioning") == 1
+
+
+def test_limits_of_wide_shuffles_go_by_slice_first(spark, fleet):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1000000")
+    try:
+        df = first_per_group(fleet.tx, ["deployment_id"], [F.col("transaction_id")], 5, "n", "transaction_id")
+        assert plan_of(df).count("WindowGroupLimit") == 4  # per slice and per group, each before and after its shuffle
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_a_bounded_sample_reads_its_rows_once(fleet):
+    plan = plan_of(sample_per_group(fleet.tx, ["device_id"], "transaction_id", 50))
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
 
 
 def test_latest_rows_need_no_full_sort(fleet):

@@ -34,6 +34,13 @@ def test_equals_brute_force(spark, skewed, n, broadcast):
     assert got == expected(skewed, lambda k: n)
 
 
+@pytest.mark.parametrize("n", [0, 1, 7, 1000, 1001])
+def test_bounded_samples_are_the_same_rows(spark, skewed, n):
+    assert {tuple(r) for r in sample_per_group(skewed, ["key"], "tx", n).collect()} == expected(skewed, lambda k: n)
+    wanted = F.when(F.col("key") == "hot", n).otherwise(2)
+    assert {tuple(r) for r in sample_per_group(skewed, ["key"], "tx", wanted, most=max(n, 2)).collect()} == expected(skewed, lambda k: n if k == "hot" else 2)
+
+
 def test_wanted_per_group(skewed):
     wanted = F.when(F.col("key") == "hot", 4321).otherwise(2)
     got = {tuple(r) for r in sample_per_group(skewed, ["key"], "tx", wanted).collect()}

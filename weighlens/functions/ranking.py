@@ -20,6 +20,8 @@ from weighlens.schemas import SEED
 
 _BUCKET_DIGITS = 3  # hex digits: 16**3 buckets per group
 _SLICES = 256
+_MOST_PER_TASK = 1000  # Spark cuts a ranked group in each task before the shuffle up to this rank
+_MOST_IN_ALL = 1 << 20
 
 
 def sample_key(row_id: Column, seed: int = SEED) -> Column:
@@ -27,9 +29,19 @@ def sample_key(row_id: Column, seed: int = SEED) -> Column:
 
 
 def sample_per_group(
-    rows: DataFrame, keys: list[str], row_id: str, wanted: Column, seed: int = SEED
+    rows: DataFrame, keys: list[str], row_id: str, wanted: Column | int, seed: int = SEED, most: int | None = None,
 ) -> DataFrame:
-    """The ``wanted`` rows (constant within a group) with the lowest sample keys of each group."""
+    """The ``wanted`` rows (constant within a group) with the lowest sample keys of each group.
+
+    ``most`` is a bound on ``wanted``, if one is known.  Up to 1,000 the rows are then evaluated once: every task keeps the
+    lowest ``most`` of each group, and one exchange merges them.  Without it, or beyond, the cut is found from counts.
+    """
+    if isinstance(wanted, int):
+        most, wanted = wanted, F.lit(wanted)
+    if most is not None and most <= _MOST_PER_TASK:
+        keyed = rows.withColumns({"_order": sample_key(F.col(row_id), seed), "_wanted": wanted.cast("bigint")}).filter(F.col("_wanted") > 0)
+        lowest = first_per_group(keyed, keys, [F.col("_order"), F.col(row_id)], max(most, 1), "_rank", row_id)
+        return lowest.filter(F.col("_rank") <= F.col("_wanted")).drop("_order", "_wanted", "_rank")
     keyed = rows.withColumns({
         "_order": sample_key(F.col(row_id), seed),
         "_bucket": F.substring(sample_key(F.col(row_id), seed), 1, _BUCKET_DIGITS),
@@ -65,13 +77,16 @@ def first_per_group(
 ) -> DataFrame:
     """First n rows of each group with their 1-based position.
 
-    Each group is first cut to n rows per slice of its hash space, so that the last task of a hot
-    group gets a number of rows that depends on n only, not on the data or on the number of tasks.
+    Every task keeps n rows of a group, so the task that ranks a hot group gets n rows from each.  Where that may be many (n
+    times the shuffle partitions), each group is first cut to n rows per slice of its hash space: its last task then gets a
+    number of rows that depends on n only, not on the data or on the number of tasks.
     """
     group = F.struct(*keys)  # one struct column, for the reason given above
+    window = W.partitionBy(group).orderBy(*order)
+    if n <= _MOST_PER_TASK and n * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) <= _MOST_IN_ALL:
+        return rows.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
     within = W.partitionBy(F.struct(group, F.pmod(F.xxhash64(row_id), F.lit(_SLICES)))).orderBy(*order)
     rows = rows.withColumn("_rank", F.row_number().over(within)).filter(F.col("_rank") <= n).drop("_rank")
-    window = W.partitionBy(group).orderBy(*order)
     return rows.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
 
 

@@ -133,7 +133,7 @@ def sample_for_review(
         .filter(F.col("_what").isNotNull())
         .join(wanted, keys)
     )
-    picked = sample_per_group(rows, keys, "transaction_id", F.lit(images), seed)
+    picked = sample_per_group(rows, keys, "transaction_id", images, seed)
     return picked.join(search.select(
         "entry_id", F.col("reference_name"), F.col("name").alias("product_name"),
         F.col("type").alias("product_type"), "parent_similar_name", "label_id", *keys,
@@ -169,6 +169,6 @@ def sample_devices_for_review(
         .join(marked, ["_how", "_what"])
     )
     return (
-        sample_per_group(rows, ["_how", "_what"], "transaction_id", F.lit(images), seed)
+        sample_per_group(rows, ["_how", "_what"], "transaction_id", images, seed)
         .withColumn("product_type", F.lit("device")).drop("_how", "_what")
     )
