@@ -74,7 +74,8 @@ def first_image_per_folder(folders: DataFrame, files: DataFrame, extensions: tup
 def resolve_image_keys(rows: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """``s3_key`` of each row: the link itself, or the first image of the folder it names.
 
-    NULL where the link is empty or its folder holds no image.
+    NULL where the link is empty or its folder holds no image.  With a listing the rows are written once into the shared
+    folder, as the folders they name and the rows themselves are read apart.
     """
     rows = rows.withColumn("_link", clean_image_link(F.col("image_link")))
     direct = F.when(has_extension(F.col("_link")), F.col("_link"))
@@ -83,15 +84,18 @@ def resolve_image_keys(rows: DataFrame, files: DataFrame | None = None) -> DataF
     folder = F.when(
         ~has_extension(F.col("_link")), F.concat(F.regexp_replace("_link", "/+$", ""), F.lit("/"))
     )
-    rows = rows.withColumn("_folder", folder)
+    work_dir = shared_dir(rows.sparkSession, "linked-rows")
+    rows = rows.withColumns({"_folder": folder, "_direct": direct}).drop("_link")
+    rows.write.parquet(work_dir)
+    rows = rows.sparkSession.read.schema(rows.schema).parquet(work_dir)
     firsts = first_image_per_folder(rows.select(F.col("_folder").alias("folder")).filter("folder is not null"), files)
     # rows without a folder get a key of their own that matches nothing, so they stay spread out
     none = F.concat(F.lit("\x00"), F.col("transaction_id").cast("string"))
     return (
         rows.withColumn("_folder", F.coalesce("_folder", none))
         .join(firsts.withColumnRenamed("folder", "_folder"), "_folder", "left")
-        .withColumn("s3_key", F.coalesce(direct, "first_key"))
-        .drop("_link", "_folder", "first_key")
+        .withColumn("s3_key", F.coalesce("_direct", "first_key"))
+        .drop("_direct", "_folder", "first_key")
     )
 
 

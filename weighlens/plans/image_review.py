@@ -12,7 +12,6 @@ from weighlens.functions.paths import image_extension
 from weighlens.schemas import IMAGES_PER_REVIEW, SEED
 from weighlens.sources.decisions import marked_for_review
 from weighlens.sources.lookups import load_review_transactions
-from weighlens.storage import shared_dir
 
 
 _SAMPLED = (
@@ -64,10 +63,5 @@ def review_images(
     )
     by_device = sample_devices_for_review(devices, tx, images, mode, seed).withColumn("reference_name", F.lit("unknown"))
     device_folder = F.concat_ws("/", F.lit(target), F.lit("devices"), F.col("device_id").cast("string"))
-    # one look at the listing for both kinds; the sample is written once, as its links and its rows are read apart
-    sample = _sampled(by_product, folder).unionByName(_sampled(by_device, device_folder))
-    if files is not None:
-        work_dir = shared_dir(sample.sparkSession, "review-sample")
-        sample.write.parquet(work_dir)
-        sample = sample.sparkSession.read.schema(sample.schema).parquet(work_dir)
-    return _log_rows(sample, bucket, files)
+    # one look at the listing for both kinds
+    return _log_rows(_sampled(by_product, folder).unionByName(_sampled(by_device, device_folder)), bucket, files)
