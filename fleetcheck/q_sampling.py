@@ -131,7 +131,8 @@ def _(f: Fleet) -> DataFrame:
 
 
 _REVIEW_ROWS = """,
-    found as (select e.*, t.transaction_id, t.device_id, t.device_name, t.image_link, t.result_label_name from entries e join {fx_images} t on t.image_link <> '' and (
+    found as (select e.*, t.transaction_id, t.device_id, t.device_name, t.image_link, t.result_label_name, t.transaction_start_time, t.selected_reference_name, t.confidence,
+           t.Ok, t.Ok_modelo from entries e join {fx_images} t on t.image_link <> '' and (
                   (e.type = 'clase_principal' and upper(t.selected_reference_name) = upper(e.reference_name))
                or (e.type <> 'clase_principal' and e.selected_reference_code is not null and t.selected_reference_code = e.selected_reference_code and Ok = 1 and Ok_modelo = 1)
                or (e.type <> 'clase_principal' and e.selected_reference_code is null and lower(t.result_label_name) = lower(e.name) and Ok = 1 and Ok_modelo = 1))),
@@ -541,17 +542,19 @@ def _(f: Fleet) -> DataFrame:
     select case when type = 'device' then 'unknown' else reference_name end as reference_name, name as product_name, type as product_type, transaction_id, coalesce(key, '') as s3_key,
            case when key is null then '' else 's3://images/' || key end as s3_url,
            case when key is null then '' else folder_to || '/' || transaction_id || regexp_extract(key, '(\\.[^.]*)$', 1) end as local_path,
-           case when key is null then 'failed' else 'planned' end as download_status
-    from (select reference_name, name, type, transaction_id, image_link,
+           case when key is null then 'failed' else 'planned' end as download_status, case when key is null then 'Imagen no encontrada en S3' else '' end as error_reason,
+           transaction_start_time, cast(device_id as string) as device_id, device_name, selected_reference_name, result_label_name, confidence, Ok, Ok_modelo
+    from (select reference_name, name, type, transaction_id, image_link, transaction_start_time, device_id, device_name, selected_reference_name, result_label_name,
+                 confidence, Ok, Ok_modelo,
                  case when type = 'clase_principal' then 'revisar_imagenes/productos/' || reference_name || '/' || name
                       else 'revisar_imagenes/productos/' || reference_name || '/Reference_similar_' || parent_similar_name || '/' || coalesce(label_id, 'unknown') || '_' || coalesce(name, '') end as folder_to
           from chosen
-          union all select '', product_name, 'device', transaction_id, image_link, 'revisar_imagenes/devices/' || cast(device_id as string) from """ + _DEVICE_ROWS + """ y) x
+          union all select '', product_name, 'device', transaction_id, image_link, transaction_start_time, device_id, device_name, selected_reference_name,
+                 result_label_name, confidence, Ok, Ok_modelo, 'revisar_imagenes/devices/' || cast(device_id as string) from """ + _DEVICE_ROWS + """ y) x
          left join firsts on x.image_link = firsts.folder""")
 def _(f: Fleet) -> DataFrame:
     return image_review.review_images(
-        f.derived("fx_decisions"), f.derived("fx_device_decisions"), f.cached, f.derived("fx_listing"), 3
-    ).select("reference_name", "product_name", "product_type", "transaction_id", "s3_key", "s3_url", "local_path", "download_status")
+        f.derived("fx_decisions"), f.derived("fx_device_decisions"), f.cached, f.derived("fx_listing"), 3)
 
 
 @query("folder_download_plan", """
