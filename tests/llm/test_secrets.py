@@ -49,3 +49,26 @@ def test_only_new_blobs_are_scanned(spark, rows):
     again = ledger.scan(rows(first, "path string, text string"), row_id="path", rules=new_rules, rule_version="2")
     assert {(r["path"], len(r["findings"])) for r in again.collect()} == {("a", 0), ("b", 0), ("b", 1), (None, 1)}
     assert ledger.scan(rows([], "path string, text string"), row_id="path").count() == 0
+
+
+def test_other_rules_never_meet_old_findings(spark, rows):
+    ledger, docs = secret_ledger.BlobLedger(spark), rows([(1, "secret=abcdef number")], "doc_id bigint, text string")
+    assert [len(r["findings"]) for r in ledger.scan(docs).collect()] == [1]
+    rules = (secret_ledger.Rule("word", "[a-z]{6}", 0, 3),)
+    assert [len(r["findings"]) for r in ledger.scan(docs, rules=rules).collect()] == [3]
+    assert [len(r["findings"]) for r in ledger.scan(docs).collect()] == [1] and ledger.rows().count() == 2
+
+
+def test_many_findings_in_one_text(spark, rows):
+    """Findings of long texts are right, and take time in proportion."""
+    import time
+
+    took = {}
+    for n in (127, 128, 129, 8_000, 32_000):
+        text = "".join(f"token=abcdef{k % 7} " if k % 5 else "é secret: ab " for k in range(n))
+        docs = rows([(1, text)], "doc_id bigint, text string").select(F.explode(secret_ledger.find_secrets(F.col("text"))).alias("x"))
+        start = time.perf_counter()
+        got = [(r["x"]["start"], r["x"]["end"]) for r in docs.collect()]
+        took[n] = time.perf_counter() - start
+        assert got == [tuple(map(int, s.split(":")[1:])) for s in _spans(text).split(",")]
+    assert took[32_000] < 1 + 3 * 4 * took[8_000]

@@ -10,6 +10,7 @@ them.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -33,6 +34,7 @@ BASE_RULES = (
     Rule("hex", r"[0-9a-f]{24,}", 0, 24),  # runs are maximal, so shorter ones need not be matched to be dropped
 )
 RULE_VERSION = "1"
+_BLOCK = 128
 
 FINDINGS = T.ArrayType(T.StructType([
     T.StructField("start", T.IntegerType()), T.StructField("kind_no", T.IntegerType()),
@@ -51,20 +53,40 @@ def _spans(text: Column, rule: Rule, number: int) -> Column:
         lambda x: F.struct(x["size"].alias("size"), x["counted"].alias("counted"), x["gap"].alias("gap")),
     )
     nothing = F.array().cast(FINDINGS)
-    walked = F.aggregate(
-        step, F.struct(F.lit(0).alias("at"), nothing.alias("found")),
-        lambda s, x: F.struct(
-            (s["at"] + x["gap"] + x["size"]).alias("at"),
-            F.when(
-                x["counted"] >= rule.least,
-                F.concat(s["found"], F.array(F.struct(
-                    (s["at"] + x["gap"]).alias("start"), F.lit(number).alias("kind_no"), F.lit(rule.kind).alias("kind"),
-                    (s["at"] + x["gap"] + x["size"]).alias("end"),
-                )).cast(FINDINGS)),
-            ).otherwise(s["found"]).alias("found"),
-        ),
-    )
-    return F.when(text.rlike(rule.pattern), walked["found"]).otherwise(nothing)
+
+    def walk(block: Column) -> Column:
+        """Findings of some matches that follow each other, counted from where the first one's gap begins."""
+        return F.aggregate(
+            block, F.struct(F.lit(0).alias("at"), nothing.alias("found")),
+            lambda s, x: F.struct(
+                (s["at"] + x["gap"] + x["size"]).alias("at"),
+                F.when(
+                    x["counted"] >= rule.least,
+                    F.concat(s["found"], F.array(F.struct(
+                        (s["at"] + x["gap"]).alias("start"), F.lit(number).alias("kind_no"), F.lit(rule.kind).alias("kind"),
+                        (s["at"] + x["gap"] + x["size"]).alias("end"),
+                    )).cast(FINDINGS)),
+                ).otherwise(s["found"]).alias("found"),
+            ),
+        )
+
+    def moved(block: Column, by: Column) -> Column:
+        return F.transform(block["found"], lambda x: F.struct(
+            (x["start"] + by).alias("start"), x["kind_no"].alias("kind_no"), x["kind"].alias("kind"), (x["end"] + by).alias("end")))
+
+    # arrays are copied when they grow: matches are walked in blocks, then the blocks are moved to their places at once
+    in_blocks = _let(step, lambda s: F.transform(
+        F.sequence(F.lit(0), F.ceil(F.size(s) / _BLOCK).cast("int") - 1), lambda k: walk(F.slice(s, k * _BLOCK + 1, _BLOCK))))
+    found = _let(in_blocks, lambda blocks: _let(
+        F.aggregate(blocks, F.array(F.lit(0)), lambda ends, x: F.concat(ends, F.array(F.element_at(ends, -1) + x["at"]))),
+        lambda starts: F.flatten(F.transform(blocks, lambda x, i: moved(x, F.get(starts, i)))).cast(FINDINGS),
+    ))
+    return F.when(text.rlike(rule.pattern), found).otherwise(nothing)
+
+
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
 
 
 def find_secrets(text: Column, rules: tuple[Rule, ...] = BASE_RULES) -> Column:
@@ -73,6 +95,11 @@ def find_secrets(text: Column, rules: tuple[Rule, ...] = BASE_RULES) -> Column:
     return F.array_sort(F.concat(*(_spans(text, r, n) for n, r in enumerate(rules))))
 
 
+def version_of(rules: tuple[Rule, ...], name: str = RULE_VERSION) -> str:
+    """What findings are kept under: a name and a hash of the rules, so that other rules never meet old findings."""
+    return f"{name}-{hashlib.sha256(repr(rules).encode()).hexdigest()[:16]}"
+
+
 def blob_id(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 
@@ -100,8 +127,10 @@ class BlobLedger:
         """Scan the blobs that are new under this rule version; returns (row_id, blob, findings) of all rows.
 
         ``row_id`` names the row (path and version).  NULL texts are the empty blob.  Repeated rows come back as often
-        as they were given, rows with a NULL id too.  An empty table scans nothing and gives no rows.
+        as they were given, rows with a NULL id too.  An empty table scans nothing and gives no rows.  Findings belong to
+        ``rule_version`` and the rules themselves.  Texts with very many findings take time in proportion to them.
         """
+        rule_version = version_of(rules, rule_version)
         blobs = versions.select(F.col(row_id), F.col(text).alias("__text"), blob_id(F.col(text)).alias("blob"))
         paths = staged(blobs.select(row_id, "blob"), "blob-paths")
         seen = self.rows().filter(F.col("rule_version") == rule_version).select("blob")
