@@ -9,7 +9,8 @@ from fleetcheck.q_sources import with_links
 from fleetcheck.registry import query
 from fleetcheck.tables import Fleet
 from weighlens.operators import devices, images, labelling, models, pairs, references, reports
-from weighlens.plans import candidates, quality
+from weighlens.plans import candidates, day_states, quality
+from weighlens.storage import shared_dir
 
 
 @query("references_with_labels", """
@@ -284,6 +285,28 @@ def _(f: Fleet) -> DataFrame:
     return models.active_model(f.tx, recent=25)
 
 
+def _states(f: Fleet) -> day_states.DayStates:
+    """All transactions in a state that was extended twice: by the files of the first years, then by the rest."""
+    source, folder = shared_dir(f.spark, "arriving"), shared_dir(f.spark, "day-states")
+    state = day_states.DayStates(f.spark, folder, f.raw.schema, labelling.label_transactions)
+    later = F.col("transaction_start_time") >= F.lit("1996-01-01").cast("timestamp_ntz")
+    for part in (~later, later):
+        f.raw.filter(part).write.mode("append").parquet(source)
+        state.extend(source)
+    return state
+
+
+@query("active_model_states", "select * from {fx_active}")
+def _(f: Fleet) -> DataFrame:
+    return _states(f).active_model()
+
+
+@query("device_metrics_states", "select * from {fx_devices}")
+def _(f: Fleet) -> DataFrame:
+    state = _states(f)
+    return state.device_metrics(state.active_model())
+
+
 @query("active_model_overall", """
     select model_id, count(*) as frequency, cast(1000 as bigint) as total_records, 100.0 * count(*) / 1000 as percentage
     from (select model_id from {fx_tx} order by transaction_start_time, transaction_id limit 1000) a

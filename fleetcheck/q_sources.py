@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from fleetcheck.registry import query
 from fleetcheck.tables import AS_OF, Fleet
-from weighlens.operators.checks import clean_for_export, flatten_json
+from weighlens.operators.checks import clean_for_export, flatten_json, flatten_variant
 from weighlens.operators.labelling import label_transactions
 from weighlens.sinks.logs import append_dataset_log, read_dataset_log, write_dataset_log, write_review_log
 from weighlens.sinks.tables import read_report, write_report, write_semicolon_csv
-from weighlens.sources import catalogue, decisions, files, lookups, transactions
+from weighlens.sources import catalogue, clustered, decisions, files, lookups, transactions
 from weighlens.storage import shared_dir
 
 _SCAN = ["transaction_id", "transaction_metric", "deployment_id", "transaction_start_time"]
@@ -34,6 +34,16 @@ def _(f: Fleet) -> DataFrame:
     return transactions.scan_transactions(f.raw, 3, AS_OF, 400).select(*_SCAN)
 
 
+@query("scan_clustered", """
+    select transaction_id, transaction_metric, deployment_id, transaction_start_time from {fx_tx}
+    where deployment_id = 3 and transaction_start_time >= timestamp '1997-05-11' and transaction_start_time < timestamp '1998-06-16'""")
+def _(f: Fleet) -> DataFrame:
+    """All transactions written in files of few deployments and days, then a scan that opens some of them."""
+    path = shared_dir(f.spark, "clustered")
+    clustered.write_clustered(f.raw, path, rows_per_file=max(1, f.raw.count() // 64))
+    return clustered.scan_clustered(f.spark, path, f.raw.schema, 3, AS_OF, 400).select(*_SCAN)
+
+
 @query("scan_from_spec", """
     select transaction_id, transaction_metric, deployment_id, transaction_start_time from {fx_tx}
     where transaction_metric in ('WSPROCESSCOMPLETED03', 'WSREFERENCEIMAGEAC01') and deployment_id in (3, 11, 17)
@@ -297,6 +307,14 @@ def _(f: Fleet) -> DataFrame:
     return flatten_json(f.given("events").select("event_id", "props"), "props", "struct<k:bigint>")
 
 
+@query("flatten_variant", """
+    select event_id, cast(json_extract(props, '$.k') as bigint) as props_k from events""")
+def _(f: Fleet) -> DataFrame:
+    """The keys and their types found in the data."""
+    flat = flatten_variant(f.given("events").select("event_id", "props"), "props")
+    return flat.withColumn("props_k", F.col("props_k").cast("bigint"))
+
+
 @query("label_transactions", """
     select transaction_id, transaction_start_time, "Date", "time", Result, Ok, No_result, Error, Result_modelo, Ok_modelo from {fx_tx}""")
 def _(f: Fleet) -> DataFrame:

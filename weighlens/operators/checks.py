@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from weighlens.functions.codes import whole_number_in
@@ -129,3 +131,42 @@ def flatten_nested(df: DataFrame, separator: str = "_", lengths: dict[str, int]
 def flatten_json(df: DataFrame, column: str, schema: str | T.StructType, lengths: dict[str, int] | None = None) -> DataFrame:
     """JSON text to flat ``<column>_<key>`` columns beside the others."""
     return flatten_nested(df.withColumn(column, F.from_json(F.col(column), schema)), lengths=lengths)
+
+
+def json_kind(df: DataFrame, column: str) -> T.DataType:
+    """The type that all JSON texts of a column have in common, found in one aggregation over variants.
+
+    Keys of any text are fields, numbers keep their kind, and what differs from text to text in kind is text.  Texts that are
+    no JSON, NULLs and empty lists say nothing.
+    """
+    found = df.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(column)))).first()[0]
+
+    def plain(kind: T.DataType) -> T.DataType:
+        if isinstance(kind, T.StructType):
+            return T.StructType([T.StructField(f.name, plain(f.dataType)) for f in kind.fields])
+        if isinstance(kind, T.ArrayType):
+            return T.ArrayType(plain(kind.elementType))
+        return T.StringType() if isinstance(kind, (T.VariantType, T.NullType)) else kind
+
+    return plain(T.DataType.fromDDL(_OBJECT.sub("STRUCT<", found or "VOID")))
+
+
+def _ddl(kind: T.DataType) -> str:
+    """A type as text, with its field names quoted."""
+    if isinstance(kind, T.StructType):
+        return "struct<" + ", ".join(f"`{f.name.replace('`', '``')}`: {_ddl(f.dataType)}" for f in kind.fields) + ">"
+    return f"array<{_ddl(kind.elementType)}>" if isinstance(kind, T.ArrayType) else kind.simpleString()
+
+
+_OBJECT = re.compile(r"(?<![^<\s])OBJECT<")  # at the beginning, in a list or behind a field's name
+
+
+def flatten_variant(df: DataFrame, column: str, lengths: dict[str, int] | None = None) -> DataFrame:
+    """As ``flatten_json`` for texts whose keys nobody has declared: fields and their types come from the data.
+
+    A text that is no JSON, or none of the kind that the others have, gives NULLs.  Keys that differ only in case cannot
+    both be columns; such data need a declared schema.
+    """
+    kind = json_kind(df, column)
+    value = F.try_variant_get(F.try_parse_json(F.col(column)), "$", _ddl(kind))
+    return flatten_nested(df.withColumn(column, value), lengths=lengths)

@@ -10,30 +10,29 @@ from weighlens.operators.models import mark_active
 from weighlens.schemas import column_or, is_true, percent, require
 
 
-def device_metrics(tx: DataFrame, active: DataFrame | int | None = None) -> DataFrame:
-    """Client and manual counts, both percentages (active model only), first name and first time."""
+def device_sums(tx: DataFrame, *more: str) -> DataFrame:
+    """Sums per device, deployment, model, name and the columns ``more``: sums of them can be added up further."""
     require(tx, "device_id", "transaction_metric", "Ok", "Ok_modelo")
     client = is_client(F.col("transaction_metric"))
     trained = is_true(tx, "selected_reference_is_trained")
     name = column_or(tx, "device_name", F.col("device_id").cast("string"))
     # the name is a key, so that the fact rows meet fixed-width buffers only (hash aggregation)
     keys = ["device_id", *[c for c in ("deployment_id", "model_id") if c in tx.columns], name.alias("_name")]
-    per_model = (
-        tx.filter(F.col("device_id").isNotNull())
-        .groupBy(*keys)
-        .agg(
-            F.count_if(client).alias("_client"),
-            F.count_if(is_manual(F.col("transaction_metric"))).alias("_manual"),
-            F.count_if(client & (F.col("Ok") == 1)).alias("_ok"),
-            F.count_if(client & trained).alias("_trained"),
-            F.count_if(client & trained & (F.col("Ok_modelo") == 1)).alias("_ok_modelo"),
-            F.min("transaction_start_time").alias("_start"),
-        )
+    return tx.groupBy(*keys, *more).agg(
+        F.count_if(client).alias("_client"),
+        F.count_if(is_manual(F.col("transaction_metric"))).alias("_manual"),
+        F.count_if(client & (F.col("Ok") == 1)).alias("_ok"),
+        F.count_if(client & trained).alias("_trained"),
+        F.count_if(client & trained & (F.col("Ok_modelo") == 1)).alias("_ok_modelo"),
+        F.min("transaction_start_time").alias("_start"),
     )
-    per_model = mark_active(per_model, active)
+
+
+def device_report(sums: DataFrame, active: DataFrame | int | None = None) -> DataFrame:
+    """The device metrics from sums of ``device_sums``."""
     on = F.col("_active")
     return (
-        per_model.groupBy("device_id")
+        mark_active(sums, active).groupBy("device_id")
         .agg(
             F.min_by("_name", F.struct(F.col("_start").isNull(), "_start", "_name")).alias("device_name"),
             F.sum("_client").alias("num_cliente"),
@@ -49,6 +48,12 @@ def device_metrics(tx: DataFrame, active: DataFrame | int | None = None) -> Data
     )
 
 
+def device_metrics(tx: DataFrame, active: DataFrame | int | None = None) -> DataFrame:
+    """Client and manual counts, both percentages (active model only), first name and first time."""
+    require(tx, "device_id", "transaction_metric", "Ok", "Ok_modelo")
+    return device_report(device_sums(tx.filter(F.col("device_id").isNotNull())), active)
+
+
 def device_decision_columns(devices: DataFrame, extra_images: int = 0) -> DataFrame:
     """Device report rows with the columns a person edits; sorted when written."""
     review = column_or(devices, "revisar_imagenes", F.lit("no"))

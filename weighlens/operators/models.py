@@ -27,7 +27,11 @@ def active_model(
     else:
         keys = []
         rows = rows.orderBy(*order).limit(recent)
-    counts = rows.groupBy(*keys, "model_id").agg(F.count(F.lit(1)).alias("n"))
+    return most_frequent(rows.groupBy(*keys, "model_id").agg(F.count(F.lit(1)).alias("n")), keys)
+
+
+def most_frequent(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """The model with the highest ``n`` per group of ``keys``, its share of all ``n`` there."""
     best = F.max(F.when(F.col("model_id").isNotNull(), F.struct("n", (-F.col("model_id")).alias("neg"))))
     total = F.sum("n")
     return (
@@ -49,17 +53,24 @@ def _recent_days(rows: DataFrame, recent: int, newest: bool) -> DataFrame:
     day = F.coalesce(F.to_date("transaction_start_time"), F.lit("0001-01-01" if newest else "9999-12-31").cast("date"))
     rows = rows.withColumn("_day", day)
     per_day = rows.groupBy("deployment_id", "_day").agg(F.count(F.lit(1)).alias("_rows"))
+    cut = day_cut(per_day, recent, newest).select("deployment_id", "_edge")
+    inside = F.col("_day") >= F.col("_edge") if newest else F.col("_day") <= F.col("_edge")
+    return rows.join(cut, "deployment_id").filter(inside).drop("_day", "_edge")
+
+
+def day_cut(per_day: DataFrame, recent: int, newest: bool = True) -> DataFrame:
+    """(deployment_id, _edge, _need) from (deployment_id, _day, _rows): the day on which the latest ``recent`` rows are complete
+    (the last one there is, where they are fewer) and how many rows of it belong to them."""
     order = F.col("_day").desc() if newest else F.col("_day").asc()
     before = F.sum("_rows").over(
         W.partitionBy("deployment_id").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
     )
-    edge = F.min("_day") if newest else F.max("_day")
-    cut = (
+    edge = F.min if newest else F.max
+    return (
         per_day.withColumn("_before", F.coalesce(before, F.lit(0)))
-        .filter(F.col("_before") < recent).groupBy("deployment_id").agg(edge.alias("_edge"))
+        .filter(F.col("_before") < recent).groupBy("deployment_id")
+        .agg(edge("_day").alias("_edge"), (F.lit(recent) - F.max("_before")).alias("_need"))
     )
-    inside = F.col("_day") >= F.col("_edge") if newest else F.col("_day") <= F.col("_edge")
-    return rows.join(cut, "deployment_id").filter(inside).drop("_day", "_edge")
 
 
 def mark_active(counts: DataFrame, active: DataFrame | int | None) -> DataFrame:

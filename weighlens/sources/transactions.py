@@ -132,18 +132,21 @@ def scan_with_model_fallback(
     )
 
 
-def _undeclared(text: Column, schema: T.StructType) -> Column:
-    """Keys of a JSON object that the schema does not name, with their values as JSON text."""
+def _undeclared(text: Column, schema: T.StructType, typed: bool) -> Column:
+    """Keys of a JSON object that the schema does not name, with their values as variants or as JSON text."""
     declared = [f.name for f in schema.fields]
-    return F.map_filter(F.from_json(text, "map<string,string>"), lambda k, _: ~k.isin(declared))
+    return F.map_filter(F.from_json(text, f"map<string,{'variant' if typed else 'string'}>"), lambda k, _: ~k.isin(declared))
 
 
-def flatten_transactions(tx: DataFrame, data_schema: T.StructType = TRANSACTION_DATA, other_keys: str | None = None) -> DataFrame:
+def flatten_transactions(
+    tx: DataFrame, data_schema: T.StructType = TRANSACTION_DATA, other_keys: str | None = None, typed: bool = False,
+) -> DataFrame:
     """Spread ``transaction_data`` (else ``metric_data``) into columns, time columns first.
 
     A struct is spread as it is; JSON text is parsed with the declared schema.  On a name
     clash the outer column keeps its name and the inner one is prefixed.  With ``other_keys`` the
-    keys of JSON text that the schema does not declare are kept in a map column of that name.
+    keys of JSON text that the schema does not declare are kept in a map column of that name: as text, or with ``typed`` as
+    variants, which keep numbers, lists and nested objects as they are.
     """
     if "_source" in tx.columns:
         tx = tx.select("_source.*")
@@ -163,7 +166,7 @@ def flatten_transactions(tx: DataFrame, data_schema: T.StructType = TRANSACTION_
             said = F.lower(F.col(inner)[name])
             tx = tx.withColumn(inner, F.col(inner).withField(name, F.when(said.isin("true", "1", "1.0"), True).when(said.isin("false", "0", "0.0"), False)))
         if other_keys:
-            tx = tx.withColumn(inner, F.col(inner).withField(other_keys, _undeclared(F.col("_json"), data_schema)))
+            tx = tx.withColumn(inner, F.col(inner).withField(other_keys, _undeclared(F.col("_json"), data_schema, typed)))
     fields = [f.name for f in tx.schema[inner].dataType.fields]
     return tx.select(
         *outer,
