@@ -71,6 +71,18 @@ def test_leaks_are_found_and_clean_texts_left(rows, room):
     assert {r["doc_id"] for r in kept} == {5, 6, 7, 8, 12}  # a row without an id goes by its text
 
 
+@pytest.mark.parametrize("cells", [1, 200, 1 << 15])
+def test_alignments_side_by_side_are_those_of_each_alone(monkeypatch, cells):
+    monkeypatch.setattr(decontaminate, "CELLS", cells)
+    r = random.Random(3)
+    draw = lambda most, least=0: np.array([r.randrange(6) for _ in range(r.randint(least, most))], np.uint64)
+    items, stretches = [draw(20, 1) for _ in range(300)], [draw(40) for _ in range(300)]
+    got = decontaminate.align_many(items, stretches)
+    assert got == [decontaminate.align(a, b) for a, b in zip(items, stretches)]
+    assert [points for points, _, _ in got] == [_align(list(a), list(b)) for a, b in zip(items, stretches)]
+    assert decontaminate.align_many([], []) == []
+
+
 def test_frequent_seeds_do_not_hide_a_leak(rows):
     docs = rows([(i, f"w{i} " + ITEM) for i in range(60)] + [(100, "item0 item1 item2 item3 item4 other")], "doc_id bigint, text string")
     items = rows([(1, ITEM)], "item_id bigint, text string")

@@ -24,6 +24,8 @@ from weighlens.llm.words import mixed, text_ngrams, word_hashes
 
 BROADCAST_BYTES = 16 << 20  # test items go to every task, up to this size at once; a larger set takes several scans
 HITS = 1 << 21  # seeds met that are held at once
+WAITING = 1 << 20  # words of stretches that wait for their alignment
+CELLS = 1 << 15  # cells of the score tables' rows that are worked out side by side; a longer stretch is worked out alone
 
 _ITEM = "item_id bigint, words binary, n_words int"
 _LEAK = "doc_id bigint, item_id bigint, score double, first_word int, end_word int, seeds int"
@@ -168,19 +170,39 @@ def _leaks(words: list[np.ndarray], n: int, least_score: float):
         heard, counts = word_hashes(texts, plain=True)
         starts = np.cumsum(counts) - counts
         text, met = _met(heard, counts, seeds, marks)
-        out, known = [], {}  # copies of a stretch are aligned once
+        known, out = {}, []  # copies of a stretch are aligned once
+        waiting, fresh, held = [], {}, 0
+
+        def settle():
+            keys = list(fresh)
+            aligned = align_many([words[i] for i, _ in keys], [fresh[k] for k in keys])
+            for (i, body), (points, first, end) in zip(keys, aligned):
+                share = points / (2 * len(words[i]))
+                size = min(n, len(words[i]))
+                whole = len(np.intersect1d(grams(words[i], size), grams(fresh[i, body], size))) if share >= least_score else 0
+                known[i, body] = share, first, end, whole
+            for t, low, pair in waiting:
+                share, first, end, whole = known[pair]
+                if share >= least_score:
+                    out.append((t, pair[0], share, low + first, low + end, whole))
+            waiting.clear()
+            fresh.clear()
+
         for t, i, low, high in _stretches(counts, text, met, seeds):
             stretch = heard[starts[t] + low:starts[t] + high]
             pair = i, stretch.tobytes()
-            if pair not in known:
-                points, first, end = align(words[i], stretch)
-                share = points / (2 * len(words[i]))
-                size = min(n, len(words[i]))
-                whole = len(np.intersect1d(grams(words[i], size), grams(stretch, size))) if share >= least_score else 0
-                known[pair] = share, first, end, whole
-            share, first, end, whole = known[pair]
-            if share >= least_score:
-                out.append((t, i, share, low + first, low + end, whole))
+            waiting.append((t, low, pair))
+            if pair in known or pair in fresh:
+                continue
+            if np.isin(words[i], stretch).sum() < least_score * len(words[i]) - 1e-6:  # each word matched counts 2 at most
+                known[pair] = 0.0, 0, 0, 0
+                continue
+            fresh[pair] = stretch
+            held += len(stretch)
+            if held > WAITING:
+                settle()
+                held = 0
+        settle()
         return out
 
     return run
@@ -203,29 +225,69 @@ def _slices(benchmark: DataFrame, most_bytes: int) -> Iterator[tuple[list, list[
 
 
 def align(item: np.ndarray, stretch: np.ndarray) -> tuple[int, int, int]:
-    """Best local alignment of an item's words in a stretch: (score, first word, word behind the last).
+    """Best local alignment of an item's words in a stretch: (score, first word, word behind the last)."""
+    return align_many([item], [stretch])[0]
+
 
-    A row of the score table is worked out at once: gaps within a row are a running maximum of score plus position.
+def align_many(items: list[np.ndarray], stretches: list[np.ndarray]) -> list[tuple[int, int, int]]:
+    """``align`` of each item with its stretch; pairs of like lengths are worked out side by side.
+
+    What a pair gets does not depend on the others: places behind the end of a shorter item or stretch match nothing, so
+    that scores only fall there, and the best is the first one met.
     """
-    width = len(stretch)
-    score, begin = np.zeros(width + 1, np.int64), np.arange(width + 1)
-    best = (0, 0, 0)
-    steps = np.arange(width + 1)
-    for word in item:
-        diagonal = score[:-1] + np.where(stretch == word, 2, -1)
-        above = score[1:] - 1
-        value = np.concatenate([[0], np.maximum(np.maximum(diagonal, above), 0)])
-        origin = np.concatenate([[0], np.where(diagonal >= above, begin[:-1], begin[1:])])
-        origin = np.where(value > 0, origin, steps)
+    out = [(0, 0, 0)] * len(items)
+    order = sorted(range(len(items)), key=lambda k: (len(items[k]) // 8, len(stretches[k])))
+    begin = 0
+    while begin < len(order):
+        end, width = begin + 1, len(stretches[order[begin]])
+        while end < len(order) and len(items[order[end]]) // 8 == len(items[order[begin]]) // 8:
+            width = len(stretches[order[end]])
+            if (end + 1 - begin) * (width + 1) > CELLS:
+                break
+            end += 1
+        some = order[begin:end]
+        for k, best in zip(some, _align_block([items[k] for k in some], [stretches[k] for k in some])):
+            out[k] = best
+        begin = end
+    return out
+
+
+def _align_block(items: list[np.ndarray], stretches: list[np.ndarray]) -> list[tuple[int, int, int]]:
+    """A row of all score tables at once: gaps within a row are a running maximum of score plus position."""
+    def padded(parts):
+        table = np.zeros((len(parts), max(map(len, parts))), np.uint64)
+        there = np.zeros(table.shape, bool)
+        for row, part in enumerate(parts):
+            table[row, :len(part)] = part
+            there[row, :len(part)] = True
+        return table, there
+
+    (words, live), (text, inside) = padded(items), padded(stretches)
+    rows, width = text.shape
+    score = np.zeros((rows, width + 1), np.int32)
+    steps = np.arange(width + 1, dtype=np.int32)
+    begin = np.broadcast_to(steps, score.shape)
+    value, origin = np.zeros_like(score), np.zeros_like(score)
+    best = np.zeros((rows, 3), np.int64)
+    each = np.arange(rows)
+    for i in range(words.shape[1]):
+        same = (text == words[:, i:i + 1]) & inside & live[:, i:i + 1]
+        diagonal = score[:, :-1] + np.where(same, np.int32(2), np.int32(-1))
+        above = score[:, 1:] - 1
+        value[:, 1:] = np.maximum(np.maximum(diagonal, above), 0)
+        origin[:, 1:] = np.where(diagonal >= above, begin[:, :-1], begin[:, 1:])
+        start = np.where(value > 0, origin, steps)
         along = value + steps  # a gap of k words costs k
-        peak = np.maximum.accumulate(along)
-        source = np.maximum.accumulate(np.where(along == peak, steps, 0))
-        value, origin = np.maximum(peak - steps, 0), origin[source]
-        score, begin = value, np.where(value > 0, origin, steps)
-        top = int(score.argmax())
-        if score[top] > best[0]:
-            best = int(score[top]), int(begin[top]), top
-    return best
+        peak = np.maximum.accumulate(along, axis=1)
+        source = np.maximum.accumulate(np.where(along == peak, steps, 0), axis=1)
+        score = peak - steps
+        begin = np.where(score > 0, np.take_along_axis(start, source, axis=1), steps)
+        top = score.argmax(axis=1)
+        points = score[each, top]
+        better = points > best[:, 0]
+        if better.any():
+            best[better] = np.stack([points, begin[each, top], top], axis=1)[better]
+    return [(int(p), int(first), int(last)) for p, first, last in best]
 
 
 def find_leaks(
