@@ -10,6 +10,7 @@ from fleetcheck.tables import Fleet
 from weighlens.functions import codes, paths
 from weighlens.operators import checks, devices, images, labelling, models, pairs, references, reports
 from weighlens.sources.transactions import flatten_transactions, normalize_times
+from weighlens.storage import shared_dir
 
 
 @query("normalize_times", """
@@ -284,3 +285,13 @@ def _(f: Fleet) -> DataFrame:
     repeated = f.tx.unionByName(f.tx.filter(F.col("confidence") == "HIGH"))
     return labelling.dedupe_transactions(repeated).select(
         "transaction_id", "Result", F.coalesce(F.size("predicted_codes"), F.lit(-1)).alias("n"))
+
+
+@query("dedupe_stored", """
+    select transaction_id, Result, cast(coalesce(len(predicted_codes), -1) as int) as n from {fx_tx}""")
+def _(f: Fleet) -> DataFrame:
+    """Stored rows, a part of them twice: only those are compared whole."""
+    path = shared_dir(f.spark, "repeated")
+    f.tx.unionByName(f.tx.filter(F.col("confidence") == "HIGH")).write.parquet(path)
+    return labelling.dedupe_stored(f.spark.read.parquet(path)).select(
+        "transaction_id", "Result", F.coalesce(F.size("predicted_codes"), F.lit(-1)).alias("n"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from weighlens.functions.bitmaps import BITS, bit_is_set
 from weighlens.functions.quality import flag, is_client, metric_class, model_result, result_class, topk_class
 from weighlens.schemas import LONG_LIST, USER_METRIC, column_or, is_false, is_true, require, with_missing
 from weighlens.sources.transactions import flatten_transactions, normalize_times
@@ -103,3 +104,22 @@ def dedupe_transactions(tx: DataFrame) -> DataFrame:
     keyed = tx.withColumns({f"_json_{c}": F.to_json(c) for c in opaque})
     keys = [c for c in keyed.columns if c not in opaque]
     return keyed.dropDuplicates(keys).drop(*[f"_json_{c}" for c in opaque])
+
+
+def dedupe_stored(tx: DataFrame, buckets: int = 1024) -> DataFrame:
+    """``dedupe_transactions`` for wide rows that are read from files, without shuffling those that have no copy.
+
+    Fingerprints of 64 bits are counted; bitmaps (``buckets`` times 4 KB, whatever the data) mark the bits of those met more than
+    once.  Copies of a row share its bit, so rows at an unmarked bit are unique and stay where they are; rows at a marked one are
+    compared whole.  Rows that share a bit by chance are compared too, and kept.  The input is scanned three times.
+    """
+    opaque = {f.name for f in tx.schema.fields if f.dataType.typeName() in ("map", "variant")}
+    values = [F.to_json(c) if c in opaque else F.col(c) for c in tx.columns]
+    # a hash passes over NULLs, so it also takes in where they are
+    mark = F.xxhash64(*values, *[v.isNull() for v in values])
+    places = {"_bucket": F.pmod(F.floor(F.col("_mark") / BITS), F.lit(buckets)).cast("int"), "_bit": F.pmod("_mark", F.lit(BITS)).cast("int")}
+    repeated = tx.select(mark.alias("_mark")).groupBy("_mark").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    marks = repeated.withColumns(places).groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bitmap"))
+    met = tx.withColumn("_mark", mark).withColumns(places).join(F.broadcast(marks), "_bucket", "left")
+    copied = F.coalesce(bit_is_set(F.col("_bitmap"), F.col("_bit")), F.lit(False))
+    return met.filter(~copied).select(*tx.columns).unionByName(dedupe_transactions(met.filter(copied).select(*tx.columns)))
