@@ -12,6 +12,7 @@ from weighlens.operators import datasets, images, review, sampling, suggestions
 from weighlens.operators.checks import validate_decisions
 from weighlens.plans import candidates, deployment, downloads, extract, image_review, merging, quality, registry, training_set
 from weighlens.sinks.logs import read_dataset_log, write_dataset_log
+from weighlens.sources.log_buckets import BucketedLog
 from weighlens.sources.decisions import marked_for_dataset, marked_for_review
 from weighlens.sources.lookups import load_review_transactions
 from weighlens.sources.used_index import UsedIndex
@@ -175,6 +176,15 @@ def _(f: Fleet) -> DataFrame:
         f.derived("fx_folders"), f.derived("fx_listing"), None, work_dir=shared_dir(f.spark, "numbered"))
 
 
+def _bucketed_log(f: Fleet) -> BucketedLog:
+    """The log in buckets, added in two runs."""
+    log, buckets = f.derived("fx_log"), BucketedLog.create(f.spark, shared_dir(f.spark, "log-buckets"), 16)
+    late = F.pmod(F.xxhash64("transaction_id"), F.lit(2)) == 0
+    buckets.append(log.filter(late))
+    buckets.append(log.filter(~late))
+    return buckets
+
+
 @query("latest_per_transaction", """
     select t.transaction_id, case when l.newer then 'log' else cast(device_id as string) end as device_id,
            case when l.newer then timestamp '2005-01-01' else transaction_start_time end as transaction_start_time
@@ -223,6 +233,16 @@ def _(f: Fleet) -> DataFrame:
         "class", "label_id", "filename", "dataset_original", "reference_name", "transaction_id", "device_id", "s3_key")
 
 
+@query("merge_log_bucketed", """
+    select m.class, cast(m.label_id as varchar) as label_id, m.filename, m.dataset_original, m.copies, l.reference_name, l.transaction_id,
+           cast(l.transaction_start_time as varchar) as transaction_start_time, cast(l.device_id as varchar) as device_id, l.s3_key, l.motivo_descarga
+    from """ + _MERGED + """ m left join (select *, regexp_extract(local_path, '([^/]*)$', 1) as filename from {fx_log}) l on m.filename = l.filename""")
+def _(f: Fleet) -> DataFrame:
+    return datasets.merge_log_enrichment(datasets.merge_datasets(f.derived("fx_files")), _bucketed_log(f)).select(
+        "class", "label_id", "filename", "dataset_original", "copies", "reference_name", "transaction_id", "transaction_start_time",
+        "device_id", "s3_key", "motivo_descarga")
+
+
 @query("merge_sets", """
     select m.class as clase_name, m.label_id, 'merged/' || m.class || '/' || m.label_id || '/' || m.filename as local_path, m.dataset_original,
            'merged' as dataset_folder, l.reference_name, l.transaction_id, l.s3_key
@@ -248,6 +268,11 @@ def _(f: Fleet) -> DataFrame:
     return datasets.dataset_summary(f.derived("fx_files"), [f.derived("fx_log")])
 
 
+@query("dataset_summary_bucketed", _SUMMARY)
+def _(f: Fleet) -> DataFrame:
+    return datasets.dataset_summary(f.derived("fx_files"), [_bucketed_log(f)])
+
+
 @query("registry_upsert", """
     select dataset_name, created_at, deployment_id, coalesce(trained_model, '') as trained_model, description, s3_path from {fx_registry}
     where dataset_name not in (select dataset_name from {fx_registry_new})

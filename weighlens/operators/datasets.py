@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from weighlens.functions.paths import base_name, filename_transaction_id, has_extension, parent_folder
 from weighlens.functions.times import time_text
 from weighlens.schemas import IMAGE_EXTENSIONS, REGISTRY, column_or, require
+from weighlens.sources.log_buckets import CARRIED, BucketedLog, newest_row
 
 
 def folder_structure(files: DataFrame, extensions: tuple[str, ...] = IMAGE_EXTENSIONS) -> DataFrame:
@@ -62,15 +63,23 @@ def latest_per_transaction(sources: list[DataFrame]) -> DataFrame:
     )
 
 
-def dataset_summary(files: DataFrame, sources: list[DataFrame]) -> DataFrame:
-    """The set's images with device and time of the transaction in their file name."""
+def dataset_summary(files: DataFrame, sources: list[DataFrame | BucketedLog]) -> DataFrame:
+    """The set's images with device and time of the transaction in their file name.
+
+    Bucketed logs among the sources are joined where they lie, without a shuffle of theirs.
+    """
     images = files.filter(has_extension(F.col("filename"))).select(
         filename_transaction_id(F.col("filename")).alias("transaction_id"),
         F.col("class").alias("clase"), "label_id", "filename",
         F.concat_ws("/", "class", "label_id").alias("file_name_path"),
     )
-    known = latest_per_transaction(sources)
-    return images.join(known, "transaction_id", "left").select(
+    logs = [s for s in sources if isinstance(s, BucketedLog)]
+    tables = [s for s in sources if not isinstance(s, BucketedLog)]
+    if logs:
+        known = _from_logs(images, logs, tables)
+    else:
+        known = images.join(latest_per_transaction(tables), "transaction_id", "left")
+    return known.select(
         "transaction_id", "device_id",
         time_text(F.col("transaction_start_time")).alias("transaction_start_time"),
         F.to_date("transaction_start_time").alias("Date"),
@@ -78,6 +87,21 @@ def dataset_summary(files: DataFrame, sources: list[DataFrame]) -> DataFrame:
     )
 
 
+def _from_logs(images: DataFrame, logs: list[BucketedLog], tables: list[DataFrame]) -> DataFrame:
+    """Images with the newest device and time over all sources."""
+    found = []
+    for n, log in enumerate(logs):
+        images = log.newest_of(images).withColumnRenamed("_logged", f"_log{n}")
+        found.append(F.col(f"_log{n}"))
+    if tables:
+        rows = latest_per_transaction(tables)
+        rows = rows.select("transaction_id", newest_row(F.col("device_id"), F.col("transaction_start_time")).alias("_other"))
+        images = images.join(rows, "transaction_id", "left")
+        found.append(F.col("_other"))
+    images = images.withColumn("_newest", F.greatest(*found) if len(found) > 1 else found[0])
+    return images.withColumns({"device_id": F.col("_newest.device_id"), "transaction_start_time": F.col("_newest.at")})
+
+
 def merge_datasets(files: DataFrame) -> DataFrame:
     """Union of several sets; of the same class, label and file name the later set wins.
 
@@ -117,11 +141,16 @@ def merge_counts(merged: DataFrame) -> DataFrame:
     )
 
 
-def merge_log_enrichment(merged: DataFrame, log: DataFrame) -> DataFrame:
+def merge_log_enrichment(merged: DataFrame, log: DataFrame | BucketedLog) -> DataFrame:
     """Merged files with the transaction data of their earlier log rows.
 
-    First by class, label, file name and set, then by file name alone.
+    First by class, label, file name and set, then by file name alone.  A bucketed log is joined where it lies: only the
+    merged files are shuffled.
     """
+    found = F.coalesce("_exact", "_by_name")
+    if isinstance(log, BucketedLog):
+        rows = log.rows_of_files(merged.withColumn("label_id", F.col("label_id").cast("string")))
+        return rows.withColumns({c: found[c] for c in CARRIED}).drop("_exact", "_by_name")
     carried = ["reference_name", "transaction_id", "transaction_start_time", "device_id", "s3_key", "motivo_descarga"]
     carried = [c for c in carried if c in log.columns]
     log = log.withColumn("filename", column_or(log, "filename", base_name(F.col("local_path"))))
@@ -133,7 +162,6 @@ def merge_log_enrichment(merged: DataFrame, log: DataFrame) -> DataFrame:
     }
     exact = log.groupBy(*[c.alias(n) for n, c in full_key.items()]).agg(F.min_by(payload, order).alias("_exact"))
     by_name = log.groupBy("filename").agg(F.min_by(payload, order).alias("_by_name"))
-    found = F.coalesce("_exact", "_by_name")
     return (
         merged.withColumn("label_id", F.col("label_id").cast("string"))
         .join(exact, list(full_key), "left").join(by_name, "filename", "left")
