@@ -149,3 +149,26 @@ def test_no_vectors_and_null_ids(rows):
     data = [(None, [1.0, 0.0]), (3, [1.0, 0.01]), (None, [0.0, 1.0]), (3, [1.0, 0.01])]
     found = binary_codes.link_vectors(rows(data, "vec_id bigint, embedding array<double>")).collect()
     assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, [(None, 2, 3, False), (3, 2, 3, True), (3, 2, 3, True), (None, 0, None, False)]))
+
+
+def test_trees_side_by_side_find_what_all_pairs_find():
+    r = np.random.default_rng(4)
+    sizes = [1, 2, 2, 3, 4, 5, 8, 9, 64, 65, 70, 1, 600, 2]
+    begins = np.cumsum(sizes) - sizes
+    base = r.random((40, signature_join.BITS)) < 0.05
+    bits = base[r.integers(0, 40, sum(sizes))] ^ (r.random((sum(sizes), signature_join.BITS)) < 0.002)
+    ones = bits.sum(1)
+    c = signature_join._Classes(ones + r.integers(0, 4, len(ones)), r.integers(0, 400, len(ones)), np.packbits(bits, axis=1).view(np.uint64))
+    found = set(map(tuple, np.sort(np.stack(signature_join.tree_pairs(c, begins)), axis=0).T.tolist()))
+    expected = set()
+    for b, size in zip(begins, sizes):
+        i, j = (b + x for x in np.triu_indices(size, 1))
+        good = c.possible(i, j)
+        expected |= set(zip(i[good].tolist(), j[good].tolist()))
+    assert found == expected and len(found) > 1000
+
+
+def test_small_buckets_have_trees_too(rows, monkeypatch):
+    monkeypatch.setattr(signature_join, "PAIRS", 50)
+    texts = _family(21, 2, 100, 2) + _family(22, 3, 100, 2) + _family(23, 4, 100, 2) + _family(24, 20, 60, 8)
+    assert _found(rows(list(enumerate(texts)), "doc_id bigint, text string")) == _expected(texts)

@@ -6,8 +6,7 @@ BANDS pairs of minimum hashes, so that a pair at 0.75 is missed with probability
 chance that two of the 64-bit hashes collide.  Inside a bucket a signature tree finds the pairs: a leaf has a class's
 bitmap of hashed shingles, a node the OR of its children's bitmaps and the range of their set sizes.  Two nodes are
 descended into only if the largest overlap that their bitmaps and sizes allow can still reach the similarity, and only
-while they are not known to be one component already.  Buckets of two to four classes have no tree: all
-their pairs take the same bitmap test at once.
+while they are not known to be one component already.  The trees of many buckets are walked side by side.
 
 Pairs are decided on the exact sets.  First each bucket gives a forest, its best pairs that join what is not joined yet,
 so a bucket of thousands of near copies gives thousands of pairs, not millions; then, for classes that are still apart,
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from weighlens.llm.common import staged
 from weighlens.llm.components import components
-from weighlens.llm.groups import binary_rows, forest, pairs_within, whole_groups
+from weighlens.llm.groups import binary_rows, forest, whole_groups
 from weighlens.llm.words import mixed, ngram_hashes, text_ngrams, word_hashes
 
 SHINGLE = 5
@@ -31,6 +30,8 @@ BANDS = 48
 BITS = 2048
 BLOCK = 1024  # classes of a bucket that meet in one tree
 LEAF, FAN = 8, 8
+PAIRS = 1 << 22  # of classes whose trees are walked side by side
+SMALL = 4  # buckets of so many classes give all their possible pairs, larger ones a forest first
 _ID_BITS = 52
 _MASK = np.uint64((1 << _ID_BITS) - 1)
 
@@ -108,33 +109,37 @@ class _Classes:
         return out
 
 
-def tree_pairs(c: _Classes, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of classes that may be similar, by dual traversal of the signature tree over ``c``.
+def tree_pairs(c: _Classes, begins: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of classes of one group that may be similar, by dual traversal of the groups' signature trees, side by side.
 
-    With ``side`` (0 or 1 per class) only pairs across the sides are wanted.
+    ``begins`` says where each group begins in ``c`` (default: one group); every group has a tree of its own, a small one a
+    single leaf.
     """
-    order = np.lexsort((c.comp, c.n))
-    slack = c.n - c.ones
-    whole = np.ones(len(order), bool)
-    # levels[0] are the classes in order; a node of the next level joins LEAF, then FAN neighbours
-    levels = [(c.bits[order], c.n[order], c.n[order], slack[order], c.comp[order], whole)]
-    while len(levels[-1][1]) > 1:
+    begins = np.zeros(1, np.int64) if begins is None else begins
+    group = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(c.n))))
+    order = np.lexsort((c.comp, c.n, group))
+    # levels[0] are the classes in order; a node of the next level joins LEAF, then FAN neighbours of its group
+    levels = [(c.bits[order], c.n[order], c.n[order], (c.n - c.ones)[order], c.comp[order], np.ones(len(order), bool))]
+    kids: list[tuple[np.ndarray, np.ndarray]] = []  # per level but the first: where a node's children begin, and how many
+    while not kids or len(group) > len(begins):
         bits, low, high, spare, comp, one = levels[-1]
-        begins = np.arange(0, len(low), LEAF if len(levels) == 1 else FAN)
-        same = np.minimum.reduceat(comp, begins) == np.maximum.reduceat(comp, begins)
+        place = np.arange(len(group)) - np.searchsorted(group, group)
+        first = np.flatnonzero(place % (FAN if kids else LEAF) == 0)
+        kids.append((first, np.diff(np.append(first, len(group)))))
+        same = np.minimum.reduceat(comp, first) == np.maximum.reduceat(comp, first)
         levels.append((
-            np.bitwise_or.reduceat(bits, begins, axis=0), np.minimum.reduceat(low, begins), np.maximum.reduceat(high, begins),
-            np.maximum.reduceat(spare, begins), comp[begins], same & np.logical_and.reduceat(one, begins),
+            np.bitwise_or.reduceat(bits, first, axis=0), np.minimum.reduceat(low, first), np.maximum.reduceat(high, first),
+            np.maximum.reduceat(spare, first), comp[first], same & np.logical_and.reduceat(one, first),
         ))
-    i = j = np.zeros(1, np.int64)
+        group = group[first]
+    i = j = np.arange(len(begins))  # the roots
     for depth in range(len(levels) - 2, -1, -1):
-        fan = LEAF if depth == 0 else FAN
-        size = len(levels[depth][1])
-        kids = np.arange(fan)
-        a = (i[:, None] * fan + kids)[:, :, None] + np.zeros((1, 1, fan), np.int64)
-        b = (j[:, None] * fan + kids)[:, None, :] + np.zeros((1, fan, 1), np.int64)
-        a, b = a.reshape(-1), b.reshape(-1)
-        keep = (a <= b) & (b < size) if depth else (a < b) & (b < size)
+        first, many = kids[depth]
+        pairs = many[i] * many[j]
+        nth = np.arange(int(pairs.sum())) - np.repeat(np.cumsum(pairs) - pairs, pairs)
+        fan = np.repeat(many[j], pairs)
+        a, b = np.repeat(first[i], pairs) + nth // fan, np.repeat(first[j], pairs) + nth % fan
+        keep = a <= b if depth else a < b
         a, b = a[keep], b[keep]
         bits, low, high, spare, comp, one = levels[depth]
         keep = ~(one[a] & one[b] & (comp[a] == comp[b]))
@@ -148,40 +153,46 @@ def tree_pairs(c: _Classes, side: np.ndarray | None = None) -> tuple[np.ndarray,
             a, b = a[keep], b[keep]
         i, j = a, b
     i, j = order[i], order[j]
-    if side is not None:
-        across = side[i] != side[j]
-        i, j = i[across], j[across]
     parts = [x + np.flatnonzero(c.possible(i[x:x + 65536], j[x:x + 65536])) for x in range(0, len(i), 65536)]
     keep = np.concatenate(parts) if parts else np.zeros(0, np.int64)
     return i[keep], j[keep]
 
 
+def _shares(begins: np.ndarray, total: int) -> list[slice]:
+    """Neighbouring groups to be taken together: up to PAIRS pairs of rows, or one group."""
+    sizes = np.diff(np.append(begins, total))
+    share = (np.cumsum(sizes * sizes) - 1) // PAIRS
+    cuts = np.append(np.flatnonzero(np.append(True, share[1:] != share[:-1])), len(begins))
+    return [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:])]
+
+
 def _candidates(all_pairs: bool):
-    """Pairs (a, b) of sorted groups: a forest of each group, or all that are possible."""
+    """Pairs (a, b) of sorted groups: a forest of each larger group, or all that are possible."""
     def run(batches):
         for table, begins in whole_groups(batches, ["key", "block", "other"]):
-            doc = table.column("cls").to_numpy()
-            c = _Classes(table.column("n").to_numpy(), table.column("component").to_numpy(), binary_rows(table.column("bits"), np.uint64))
-            side = table.column("side").to_numpy()
-            i, j = pairs_within(begins, len(doc), 4, c.possible)
-            crossing = side[i] != side[j]
+            doc, n, comp, side = (table.column(x).to_numpy() for x in ("cls", "n", "component", "side"))
+            bits = binary_rows(table.column("bits"), np.uint64)
             one_block = table.column("block").to_numpy() == table.column("other").to_numpy()
-            keep = crossing | one_block[i]
-            found = [(i[keep], j[keep])]
-            sizes = np.diff(np.append(begins, len(doc)))
-            for start, size in zip(begins[sizes > 4], sizes[sizes > 4]):
-                rows = slice(start, start + size)
-                if c.comp[rows].min() == c.comp[rows].max():
-                    continue
-                inner = _Classes(c.n[rows], c.comp[rows], c.bits[rows])
-                i, j = tree_pairs(inner, None if one_block[start] else side[rows])
+            ends = np.append(begins[1:], len(doc))
+            found = []
+            for share in _shares(begins, len(doc)):
+                rows = slice(begins[share][0], ends[share][-1])
+                at, c = begins[share] - rows.start, _Classes(n[rows], comp[rows], bits[rows])
+                i, j = tree_pairs(c, at)
+                keep = one_block[rows][i] | (side[rows][i] != side[rows][j])
+                i, j = i[keep], j[keep]
                 if not all_pairs and len(i):
-                    likely = inner.reach(i, j) / np.maximum(1, inner.n[i] + inner.n[j])
-                    best = np.lexsort((doc[rows][j], doc[rows][i], -likely))
-                    i, j = i[best], j[best]
-                    some = forest(i, j, inner.comp)
-                    i, j = i[some], j[some]
-                found.append((start + i, start + j))
+                    sizes = ends[share] - begins[share]
+                    group = np.repeat(np.arange(len(at)), sizes)
+                    large = sizes[group[i]] > SMALL
+                    x, y = i[large], j[large]
+                    likely = c.reach(x, y) / np.maximum(1, c.n[x] + c.n[y])
+                    best = np.lexsort((doc[rows][y], doc[rows][x], -likely, group[x]))
+                    x, y = x[best], y[best]
+                    label = np.unique(np.stack([group, c.comp]), axis=1, return_inverse=True)[1].reshape(-1)
+                    some = forest(x, y, label)
+                    i, j = np.concatenate([i[~large], x[some]]), np.concatenate([j[~large], y[some]])
+                found.append((rows.start + i, rows.start + j))
             i, j = (np.concatenate(x) for x in zip(*found))
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(doc[i], doc[j])), pa.array(np.maximum(doc[i], doc[j]))], names=["a", "b"])
     return run
