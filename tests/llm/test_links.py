@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SMALL
 
@@ -172,3 +173,28 @@ def test_small_buckets_have_trees_too(rows, monkeypatch):
     monkeypatch.setattr(signature_join, "PAIRS", 50)
     texts = _family(21, 2, 100, 2) + _family(22, 3, 100, 2) + _family(23, 4, 100, 2) + _family(24, 20, 60, 8)
     assert _found(rows(list(enumerate(texts)), "doc_id bigint, text string")) == _expected(texts)
+
+
+def test_bounds_choose_the_pairs_that_are_worked_out(monkeypatch):
+    r = np.random.default_rng(9)
+    base = r.standard_normal((6, 64))
+    unit = np.repeat(base, 20, axis=0) + 0.35 * r.standard_normal((120, 64))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    i, j = np.triu_indices(120, 1)
+    parts = binary_codes.encode(unit)
+    both = np.minimum(binary_codes.upper_bound(*parts, i, j), binary_codes.upper_bound(*parts, j, i)) >= 0.9
+    likely = binary_codes.likely_pairs(unit, 0.9)
+    assert (likely[i, j] == both).all() and both.sum() < len(i) / 2
+    worked, exact = [], binary_codes._reaches
+    monkeypatch.setattr(binary_codes, "_reaches", lambda u, a, b, t: worked.append(len(a)) or exact(u, a, b, t))
+    bands = 3
+    keys = np.repeat(np.arange(bands)[None, :], 120, axis=0)  # all vectors share all buckets
+    batches = [pa.RecordBatch.from_arrays([
+        pa.array(np.repeat(np.arange(bands), 120)), pa.array(np.zeros(360, np.int32)), pa.array(np.zeros(360, np.int32)), pa.array(np.zeros(360, np.int32)),
+        pa.array(np.tile(np.arange(120), bands)), pa.array(np.tile(keys, (bands, 1)).tolist(), pa.list_(pa.int64())),
+        pa.array([u.tobytes() for u in unit] * bands, pa.binary()), pa.array(np.ones(360, np.int64)),
+    ], names=["key", "block", "other", "side", "id", "keys", "unit", "weight"])]
+    out = pa.Table.from_batches(list(binary_codes._exact(0.9)(iter(batches)))).to_pandas()
+    assert sum(worked) == both.sum()  # once for a pair, not once for a band
+    links = np.bincount(np.concatenate([x[(unit[i] * unit[j]).sum(1) >= 0.9] for x in (i, j)]), minlength=120)
+    assert out[out.to < 0].set_index("id").n.to_dict() == {n: int(x) for n, x in enumerate(links) if x}

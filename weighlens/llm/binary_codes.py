@@ -3,8 +3,8 @@
 A unit vector o is rotated at random; its code is the signs of the rotated components, its correction factor
 f = <x, o> with x the code scaled to unit length.  For another rotated vector q, <x, q> / f estimates <o, q> without bias,
 with an error below WIDTH * sqrt((1 - f^2) / f^2 / (d - 1)) but for a tiny share of pairs.  The rotated vector is held in
-8 bits per component, which adds a bound of its own.  A vector is looked at exactly if the bounds of one of its pairs, from
-both sides, reach the threshold; such vectors of a block are then multiplied in double precision, all with all.
+8 bits per component, which adds a bound of its own.  A pair is worked out exactly, in double precision, if its bounds from
+both sides reach the threshold; vectors without such a pair are not fetched.
 
 Which pairs are looked at: the signs of further random projections, cut into bands, are bucket keys.  Vectors at the
 threshold differ in a sign with probability arccos(threshold) / pi, so the number of bands follows from the wanted recall
@@ -58,6 +58,16 @@ def upper_bound(code, factor, small, scale, i, j) -> np.ndarray:
     return estimate + WIDTH * np.sqrt((1 - factor[i] ** 2).clip(0) / factor[i] ** 2 / max(1, d - 1)) + rounding
 
 
+def likely_pairs(unit: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs of unit vectors have bounds, from both sides, that reach the threshold: ``upper_bound`` of all of them."""
+    d = unit.shape[1]
+    code, factor, small, scale = encode(unit)
+    estimate = (code * 2.0 - 1) @ (small * scale[:, None]).T / math.sqrt(d)
+    width = WIDTH * np.sqrt((1 - factor ** 2).clip(0) / max(1, d - 1))
+    bound = (estimate + scale / 2 * math.sqrt(d) + width[:, None]) / factor[:, None]
+    return np.minimum(bound, bound.T) >= threshold - 1e-9  # rounding of the bound itself excludes nothing
+
+
 def band_shape(n: int, threshold: float, recall: float) -> tuple[int, int]:
     """(bits per band, bands): buckets of a few unrelated vectors, and the wanted recall at the threshold."""
     bits = min(24, max(6, math.ceil(math.log2(max(n, 2))) - 2))
@@ -130,7 +140,10 @@ def _reaches(u: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float) -> n
 
 
 def _exact(threshold: float):
-    """Per block of a bucket: links of each class, counted in the first band a pair shares, and a forest of them."""
+    """Per block of a bucket: links of each class and a forest of them.
+
+    The bounds choose the pairs, each is worked out in the first band it shares, and in no other.
+    """
     def run(batches):
         for table, begins in whole_groups(batches, ["key", "block", "other"]):
             ids, key, weight, side = (table.column(c).to_numpy() for c in ("id", "key", "weight", "side"))
@@ -142,19 +155,18 @@ def _exact(threshold: float):
                     continue
                 u = np.stack([np.frombuffer(x, "<f8") for x in units.slice(b, e - b).to_pylist()])
                 k = np.array(keys.slice(b, e - b).to_pylist())
-                cosine = u @ u.T
-                near = np.triu(cosine >= threshold - 1e-12, 1)
+                near = np.triu(likely_pairs(u, threshold), 1)
                 if not one_block[b]:
                     near &= side[b:e][:, None] != side[b:e][None, :]
                 i, j = np.nonzero(near)
-                keep = _reaches(u, i, j, threshold)
-                i, j = i[keep], j[keep]
                 band = int(key[b] % 4096)
                 first = np.ones(len(i), bool)
                 for at in range(0, len(i), 1 << 14):
                     x, y = i[at:at + (1 << 14)], j[at:at + (1 << 14)]
                     first[at:at + (1 << 14)] = ~(k[x, :band] == k[y, :band]).any(1)
                 i, j = i[first], j[first]
+                keep = _reaches(u, i, j, threshold)
+                i, j = i[keep], j[keep]
                 if len(i):
                     w = weight[b:e]
                     links = np.bincount(i, w[j], e - b) + np.bincount(j, w[i], e - b)
