@@ -51,18 +51,25 @@ def binary_rows(column: pa.ChunkedArray, dtype) -> np.ndarray:
 
 def forest(a: np.ndarray, b: np.ndarray, start: np.ndarray) -> np.ndarray:
     """Positions of the pairs (a, b), taken in the given order, that join two trees; ``start`` labels what is joined already."""
-    parent: dict = {}
+    labels, at = np.unique(np.concatenate([start[a], start[b]]), return_inverse=True)
+    x, y = at[:len(a)], at[len(a):]
+    parent = list(range(len(labels)))
 
-    def root(x):
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
+    def root(v):
+        while parent[v] != v:
+            parent[v] = parent[parent[v]]
+            v = parent[v]
+        return v
 
-    keep = []
-    for n, (x, y) in enumerate(zip(start[a].tolist(), start[b].tolist())):
-        x, y = root(x), root(y)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            keep.append(n)
+    keep: list[int] = []
+    rest, step = np.arange(len(a)), 2048
+    while len(rest):
+        some, rest, step = rest[:step], rest[step:], 2 * step
+        for n, v, w in zip(some.tolist(), x[some].tolist(), y[some].tolist()):
+            v, w = root(v), root(w)
+            if v != w:
+                parent[max(v, w)] = min(v, w)
+                keep.append(n)
+        tops = np.fromiter(map(root, range(len(labels))), np.int64, len(labels))
+        rest = rest[tops[x[rest]] != tops[y[rest]]]  # most pairs of a large group: joined by now
     return np.array(keep, np.int64)

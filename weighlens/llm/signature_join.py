@@ -189,8 +189,8 @@ def _candidates(all_pairs: bool):
                     likely = c.reach(x, y) / np.maximum(1, c.n[x] + c.n[y])
                     best = np.lexsort((doc[rows][y], doc[rows][x], -likely, group[x]))
                     x, y = x[best], y[best]
-                    label = np.unique(np.stack([group, c.comp]), axis=1, return_inverse=True)[1].reshape(-1)
-                    some = forest(x, y, label)
+                    known, rank = np.unique(c.comp, return_inverse=True)
+                    some = forest(x, y, group * len(known) + rank)  # components of one group, not of the buckets beside it
                     i, j = np.concatenate([i[~large], x[some]]), np.concatenate([j[~large], y[some]])
                 found.append((rows.start + i, rows.start + j))
             i, j = (np.concatenate(x) for x in zip(*found))
