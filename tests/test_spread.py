@@ -1,5 +1,7 @@
 """What is moved, and to how many tasks: rows that sort as equal, a transaction's lines, rows without copies."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,3 +28,16 @@ def test_rows_that_sort_as_equal_are_spread(spark, all_partitions, tmp_path):
     assert sum(f.rows for f in files) == 8000 and max(f.rows for f in files) < 6000
     assert all(a.low >= b.high for a, b in zip(files, files[1:]))  # still in the order asked for
     assert sorted(r.id for r in back.select("id").collect()) == list(range(8000))
+
+
+def test_lines_are_moved_to_their_order_as_plain_columns(spark, fleet):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        plan = fleet.build_raw()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(name, before)
+    moved = [line for line in plan.splitlines() if re.search(r"Exchange hashpartitioning\(l_orderkey", line)]
+    below = plan[plan.index(moved[0]):]
+    assert len(moved) == 1 and "ObjectHashAggregate" not in below and "upper(" not in below
