@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from weighlens.plans import candidates
 from weighlens.sinks.tables import write_report
 
 
@@ -41,3 +42,13 @@ def test_lines_are_moved_to_their_order_as_plain_columns(spark, fleet):
     moved = [line for line in plan.splitlines() if re.search(r"Exchange hashpartitioning\(l_orderkey", line)]
     below = plan[plan.index(moved[0]):]
     assert len(moved) == 1 and "ObjectHashAggregate" not in below and "upper(" not in below
+
+
+def test_candidate_report_finds_copies_by_fingerprint(spark, fleet, monkeypatch, tmp_path):
+    """Two copies of every tenth row; the wide rows are compared by the operator that moves only those that may have copies."""
+    fleet.tx.unionByName(fleet.tx.filter("device_id % 10 = 0")).write.parquet(f"{tmp_path}/tx")
+    calls, real = [], candidates.dedupe_stored
+    monkeypatch.setattr(candidates, "dedupe_stored", lambda tx: calls.append(1) or real(tx))
+    written = candidates.candidate_report(
+        spark.read.parquet(f"{tmp_path}/tx"), fleet.pairs, fleet.descriptions, fleet.activations, fleet.derived("fx_folders"), f"{tmp_path}/report", 2)
+    assert calls and spark.read.parquet(written["deduplicated"]).count() == fleet.tx.distinct().count()
