@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from fleetcheck import tables
 from weighlens.plans import candidates
 from weighlens.sinks.tables import write_report
 
@@ -52,3 +53,18 @@ def test_candidate_report_finds_copies_by_fingerprint(spark, fleet, monkeypatch,
     written = candidates.candidate_report(
         spark.read.parquet(f"{tmp_path}/tx"), fleet.pairs, fleet.descriptions, fleet.activations, fleet.derived("fx_folders"), f"{tmp_path}/report", 2)
     assert calls and spark.read.parquet(written["deduplicated"]).count() == fleet.tx.distinct().count()
+
+
+def test_lines_are_sorted_by_order_once_in_tasks_of_bounded_size(spark, fleet, monkeypatch):
+    """No aggregation that sorts lines and buffers again; more lines get more tasks, and the same rows."""
+    def plan_of(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    before = fleet.build_raw()
+    lines = [x for x in plan_of(before).splitlines() if "Sort [" in x and "l_orderkey" in x]
+    assert "ObjectHashAggregate" not in plan_of(before) and len(lines) == 1
+    monkeypatch.setattr(tables, "LINES_PER_TASK", 500)
+    after = fleet.build_raw()
+    tasks = -(-fleet.given("lineitem").count() // 500)
+    assert re.search(rf"Exchange hashpartitioning\(l_orderkey#\d+L?, {tasks}\)", plan_of(after))
+    assert before.exceptAll(after).isEmpty() and after.exceptAll(before).isEmpty()
