@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetcheck import tables
+from weighlens.operators.images import extract_image_urls
 from weighlens.plans import candidates
 from weighlens.sinks.tables import write_report
 
@@ -68,3 +69,13 @@ def test_lines_are_sorted_by_order_once_in_tasks_of_bounded_size(spark, fleet, m
     tasks = -(-fleet.given("lineitem").count() // 500)
     assert re.search(rf"Exchange hashpartitioning\(l_orderkey#\d+L?, {tasks}\)", plan_of(after))
     assert before.exceptAll(after).isEmpty() and after.exceptAll(before).isEmpty()
+
+
+def test_urls_are_ranked_without_a_second_copy_of_their_keys(rows):
+    """The sorts and the shuffle of distinct URLs carry deployment, code and URL once."""
+    tx = rows([(1, "t1", "c", "http://a"), (1, "t2", "c", "http://b"), (1, "t3", "c", "http://a"), (2, "t4", "c", "http://a")],
+              "deployment_id int, transaction_id string, reference_code string, image_url string").withColumn("transaction_start_time", F.col("transaction_id"))
+    found = extract_image_urls(tx, 2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Exchange hashpartitioning\(deployment_id#\d+, reference_code#\d+, \d+\)", plan) and "_w0" not in plan and "_key" not in plan
+    assert {(r.deployment_id, r.url, r.image_no) for r in found.collect()} == {(1, "http://a", 1), (1, "http://b", 2), (2, "http://a", 1)}
