@@ -103,3 +103,15 @@ def test_selected_records_and_small_payloads(spark, rows):
 
 def test_no_pages(spark, rows):
     assert warc_index.archive_round_trip(rows([], "page_id bigint, url string, html string")).count() == 0
+
+
+def test_words_of_ascii_letters_are_their_own_signs(monkeypatch):
+    """They are not looked up in the table of signs; the ids are the whole tokenizer's, as are those of other letters."""
+    coder, plain, other = token_files.WordEncoder(tokenizer_file()), ["stone", "Zyxwvq"], ["größe", "日本"]
+
+    def whole(words):
+        return [coder.tokenizer.encode(" " + w, add_special_tokens=False).ids for w in words]
+
+    assert coder._word_ids(other) == whole(other)
+    monkeypatch.setattr(token_files, "_BYTE_SIGNS", None)
+    assert coder._word_ids(plain) == whole(plain)

@@ -61,11 +61,13 @@ class WordEncoder:
         """Ids of pieces: a piece stands for itself behind a space, or for itself if it begins with a line feed.
 
         A run of letters is one word to the tokenizer too, so its model merges it at once; all else takes the whole way.
+        ASCII letters are their own signs.
         """
         merge, found, rest = self.tokenizer.model.tokenize, [None] * len(words), []
         for i, w in enumerate(words):
             if w.isalpha():
-                found[i] = [t.id for t in merge(_SPACE + w.encode().decode("latin-1").translate(_BYTE_SIGNS))]
+                signs = w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_SIGNS)
+                found[i] = [t.id for t in merge(_SPACE + signs)]
             else:
                 rest.append(i)
         for i, ids in zip(rest, self._ids([words[i] if words[i][:1] == "\n" else " " + words[i] for i in rest])):
