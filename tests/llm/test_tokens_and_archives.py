@@ -5,6 +5,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from weighlens.llm import token_files, warc_index
@@ -115,3 +116,23 @@ def test_words_of_ascii_letters_are_their_own_signs(monkeypatch):
     assert coder._word_ids(other) == whole(other)
     monkeypatch.setattr(token_files, "_BYTE_SIGNS", None)
     assert coder._word_ids(plain) == whole(plain)
+
+
+def test_marks_and_line_feeds_do_not_send_a_word_through_the_whole_tokenizer(monkeypatch):
+    """The word is merged once, its marks are encoded once; ids are those of the whole text."""
+    coder = token_files.WordEncoder(tokenizer_file())
+    whole = coder.tokenizer.encode_batch_fast
+    sent, ids_of = [], coder._ids
+    monkeypatch.setattr(coder, "_ids", lambda texts: sent.extend(texts) or ids_of(texts))
+    texts = ["x stone!! birch%%%\nElm größe*** ash.\nOak,\nElm"]
+    odd = [
+        "x don't we'll!! rock'n'roll' 'tis' o'", "a b<|endoftext|>!! c<|endoftext|> <|endoftext|>, d|> e<| f<|endoftext|g", "x 5%% 555-1175.. ½!! 日本。.. é!!",
+        "x\n!!\n\nfoo \n", "x\nfoo\t!! bar ?? baz\x85..", "", " ", "\n", "x \n!", "x !! \"y\" (z) z) A_b_ -- c--d--", "x stone!!? stone stone!! stone.\nstone.",
+    ]
+    for batch in (texts, odd, texts + odd):
+        ids, counts = coder.encode(pa.array(batch, pa.string()))
+        want = [x.ids + [token_files.END_ID] for x in whole(batch, add_special_tokens=False)]
+        assert counts.tolist() == [len(x) for x in want]
+        assert ids.tolist() == [i for x in want for i in x]
+        if batch is texts:
+            assert set(sent) <= {"x", "!!", "%%%", "***", ".", ","}

@@ -15,7 +15,10 @@ from __future__ import annotations
 
 import os
 import zlib
-from itertools import chain
+from copy import copy
+from itertools import chain, repeat
+from operator import attrgetter
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +39,30 @@ _RUN = _WHITE + _WHITE
 # byte-level models write a byte as the sign of that number where it is printable, else as the next sign from 256 on
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_SIGNS = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
-_SPACE = _BYTE_SIGNS[32]
+_SIGNS = np.array([ord(_BYTE_SIGNS.get(b, chr(b))) for b in range(256)], "<u4")
+_LINE_FEED = _BYTE_SIGNS[10]
+
+_token_id = attrgetter("id")
+_MERGED_AT_ONCE = 500  # words whose tokens are held as objects
+
+
+def _appended(kept: np.ndarray, n: int, more: np.ndarray) -> np.ndarray:
+    """``more`` behind the first n values of ``kept``; the room doubles when it ends, so values are seldom moved."""
+    if n + len(more) > len(kept):
+        kept = np.concatenate([kept[:n], np.empty(n + 2 * len(more), kept.dtype)])
+    kept[n:n + len(more)] = more
+    return kept
+
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(sizes, values) of lists of ids."""
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return sizes, np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum()))
+
+
+def _spans(table: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Stretches of a table, one after the other."""
+    return table[np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))]
 
 
 class WordEncoder:
@@ -47,56 +73,77 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.marks = {x: self._ids([x])[0][0] for x in ",."}
+        self.merge = self.tokenizer.model.tokenize
+        self.line_feed = self._ids(["\n"])[0][0]
+        # an apostrophe may belong to the letters behind it, and signs of added tokens to such a token
+        added = "".join(x.content for x in self.tokenizer.get_added_tokens_decoder().values())
+        self.marks = "".join(x for x in punctuation if x != "'" and x not in added)
         self._forget()
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
+        self.n_ids = 0  # the arrays have room behind what is in use
         self.starts, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _word_ids(self, words: list[str]) -> list[list[int]]:
-        """Ids of pieces: a piece stands for itself behind a space, or for itself if it begins with a line feed.
+    def _letter_ids(self, words: list[str], before: str = " ") -> tuple[np.ndarray, np.ndarray]:
+        """(sizes, ids) of runs of letters: each is one word to the tokenizer too, so its model merges it at once."""
+        raw = np.frombuffer((before + f"\n{before}".join(words)).encode(), np.uint8)
+        signs = _SIGNS[raw].tobytes().decode("utf-32-le").split(_LINE_FEED)
+        sizes, ids = np.empty(len(words), np.int64), []
+        for i in range(0, len(signs), _MERGED_AT_ONCE):
+            found = list(map(self.merge, signs[i:i + _MERGED_AT_ONCE]))
+            sizes[i:i + len(found)] = np.fromiter(map(len, found), np.int64, len(found))
+            ids.append(np.fromiter(map(_token_id, chain.from_iterable(found)), np.uint32))
+        return sizes, np.concatenate(ids)
 
-        A run of letters is one word to the tokenizer too, so its model merges it at once; all else takes the whole way.
-        ASCII letters are their own signs.
-        """
-        merge, found, rest = self.tokenizer.model.tokenize, [None] * len(words), []
-        for i, w in enumerate(words):
-            if w.isalpha():
-                signs = w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_SIGNS)
-                found[i] = [t.id for t in merge(_SPACE + signs)]
-            else:
-                rest.append(i)
-        for i, ids in zip(rest, self._ids([words[i] if words[i][:1] == "\n" else " " + words[i] for i in rest])):
-            found[i] = ids
-        return found
+    def _word_ids(self, words: list[str]) -> list[list[int]]:
+        """Ids of pieces: a piece stands for itself behind a space, or for itself if it begins with a line feed."""
+        coder = copy(self)
+        coder._forget()
+        coder._learn(words)
+        at = [coder.place[w] for w in words]
+        return [coder.ids[i:i + n].tolist() for i, n in zip(coder.starts[at], coder.sizes[at])]
 
     def _add(self, words: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
-        starts = len(self.ids) + np.cumsum(sizes) - sizes
-        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words))))
-        self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, ids])
+        n = len(self.place)
+        self.starts = _appended(self.starts, n, self.n_ids + np.cumsum(sizes) - sizes)
+        self.sizes, self.ids = _appended(self.sizes, n, sizes), _appended(self.ids, self.n_ids, ids)
+        self.place.update(zip(words, range(n, n + len(words))))
+        self.n_ids += len(ids)
 
     def _learn(self, words: list[str]) -> None:
-        """A comma or full stop behind a letter or digit is a token of its own, so the word before it is learned."""
-        stems = {w: w[:-1] for w in words if w[-1:] in (",", ".") and w[-2:-1].isalnum()}
-        plain = list(dict.fromkeys(x for x in (stems.get(w, w) for w in words) if x not in self.place))
-        found = self._word_ids(plain)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        self._add(plain, sizes, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())))
+        """Add the ids of new pieces.
+
+        Marks behind a letter or digit are a word of their own to the tokenizer, and so is a line feed before letters: the
+        word without them is learned, and ids of the marks are put behind its own.
+        """
+        stems = {w: x for w in words if (x := w.rstrip(self.marks)) is not w and x[-1:].isalnum()}
+        plain = dict.fromkeys(w for w in words if w not in stems) | dict.fromkeys(x for x in stems.values() if x not in self.place)
+        letters, lines, rest = [], [], []
+        for w in plain:
+            (letters if w.isalpha() else lines if w[0:1] == "\n" and w[1:].isalpha() else rest).append(w)
+        if letters:
+            self._add(letters, *self._letter_ids(letters))
+        if lines:
+            sizes, ids = self._letter_ids([w[1:] for w in lines], "")
+            self._add(lines, sizes + 1, np.insert(ids, np.cumsum(sizes) - sizes, self.line_feed))
+        if rest:
+            self._add(rest, *_flat(self._ids([w if w[:1] == "\n" else " " + w for w in rest])))
         if stems:
+            marks = [w[len(x):] for w, x in stems.items()]
+            kinds = dict.fromkeys(marks)
+            mark_sizes, mark_ids = _flat(self._ids(list(kinds)))
+            kinds = dict(zip(kinds, range(len(kinds))))
+            kind = np.fromiter(map(kinds.__getitem__, marks), np.int64, len(marks))
             at = np.fromiter(map(self.place.__getitem__, stems.values()), np.int64, len(stems))
-            sizes = self.sizes[at]
-            ids = np.empty(int(sizes.sum()) + len(at), np.uint32)
-            mark_at = np.cumsum(sizes + 1) - 1
-            ids[mark_at] = np.fromiter((self.marks[w[-1]] for w in stems), np.uint32, len(stems))
-            to = np.ones(len(ids), bool)
-            to[mark_at] = False
-            ids[to] = self.ids[np.repeat(self.starts[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))]
-            self._add(list(stems), sizes + 1, ids)
+            # word, marks, word, marks ...
+            starts = np.column_stack([self.starts[at], self.n_ids + (np.cumsum(mark_sizes) - mark_sizes)[kind]]).reshape(-1)
+            sizes = np.column_stack([self.sizes[at], mark_sizes[kind]]).reshape(-1)
+            self.ids = _appended(self.ids, self.n_ids, mark_ids)
+            self._add(list(stems), sizes.reshape(-1, 2).sum(axis=1), _spans(self.ids, starts, sizes))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, each with the end id; ids per text)."""
@@ -111,20 +158,23 @@ class WordEncoder:
         distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # much faster than to_pylist()
         if len(self.place) > KNOWN_WORDS:
             self._forget()
-        new = [w for w in distinct if w not in self.place]
-        if new:
+        index = np.fromiter(map(self.place.get, distinct, repeat(-1)), np.int64, len(distinct))
+        unknown = np.flatnonzero(index < 0)
+        if len(unknown):
+            new = [distinct[i] for i in unknown.tolist()]
             self._learn(new)
-        index = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))[np.asarray(coded.indices)]
+            index[unknown] = np.fromiter(map(self.place.__getitem__, new), np.int64, len(new))
+        index = index[np.asarray(coded.indices)]
         # first pieces have no space before them
         first_ids = self._ids(pc.if_else(pa.array(whole), texts, flat.take(pa.array(firsts))).to_pylist())
-        own = np.fromiter(map(len, first_ids), np.int64, len(first_ids))
-        table = np.concatenate([self.ids, np.fromiter(chain.from_iterable(first_ids), np.uint32, int(own.sum())), np.array([END_ID], np.uint32)])
+        own, own_ids = _flat(first_ids)
+        table = np.concatenate([self.ids[:self.n_ids], own_ids, np.array([END_ID], np.uint32)])
         starts, sizes = self.starts[index], self.sizes[index]
-        starts[firsts], sizes[firsts] = len(self.ids) + np.cumsum(own) - own, own
+        starts[firsts], sizes[firsts] = self.n_ids + np.cumsum(own) - own, own
         # the end id follows each text's last piece
         ends = np.append(firsts[1:], len(flat))
         starts, sizes = np.insert(starts, ends, len(table) - 1), np.insert(sizes, ends, 1)
-        ids = table[np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))]
+        ids = _spans(table, starts, sizes)
         counts = np.add.reduceat(sizes, firsts + np.arange(len(firsts))) if len(firsts) else np.zeros(0, np.int64)
         return ids, counts
 
