@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from fleetcheck import tables
 from weighlens.operators.images import extract_image_urls
-from weighlens.plans import candidates
+from weighlens.plans import candidates, training_set
+from weighlens.sinks.logs import dataset_log_rows
 from weighlens.sinks.tables import write_report
 
 
@@ -79,3 +80,41 @@ def test_urls_are_ranked_without_a_second_copy_of_their_keys(rows):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"Exchange hashpartitioning\(deployment_id#\d+, reference_code#\d+, \d+\)", plan) and "_w0" not in plan and "_key" not in plan
     assert {(r.deployment_id, r.url, r.image_no) for r in found.collect()} == {(1, "http://a", 1), (1, "http://b", 2), (2, "http://a", 1)}
+
+
+def _manifest(spark, listed):
+    rows = spark.createDataFrame(listed, "clase_name string, label_id bigint, transaction_id string")
+    return dataset_log_rows(rows.withColumn("dataset_folder", F.lit("set")))
+
+
+def _written(spark, listed, path):
+    """Files and tasks of a manifest's folders, and its rows read back."""
+    manifest = _manifest(spark, listed)
+    training_set.write_manifest(manifest, str(path))
+    files = [(f.parent.parent.name, f.parent.name, f.name.split("-")[1]) for f in path.glob("*/*/*.parquet")]
+    back = spark.read.parquet(str(path)).select("clase_name", "label_id", "transaction_id")
+    assert sorted(map(str, back.collect())) == sorted(str(r) for r in manifest.select(*back.columns).collect())
+    return files
+
+
+def test_manifest_tasks_go_by_folders(spark, tmp_path):
+    """Folders cost, not their bytes: 300 small ones are made by three tasks, a class by one as a rule, with one file each."""
+    listed = [(f"class_{n // 3}", n, f"{n}-{i}") for n in range(300) for i in range(2)]
+    listed += [(None, 1, "a"), ("x", None, "b"), (None, None, None), (None, None, None)]
+    files = _written(spark, listed, tmp_path / "set")
+    assert len(files) == len({f[:2] for f in files}) == 303
+    assert len({task for *_, task in files}) > 2
+    assert len({(c, task) for c, _, task in files}) <= 102 + 3
+
+
+def test_large_folder_of_a_manifest_has_more_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(training_set, "ROWS_PER_FILE", 10)
+    files = _written(spark, [("a", 1, str(i)) for i in range(95)] + [("a", 2, "x"), ("b", None, "y"), (None, 3, None)], tmp_path / "set")
+    assert sum(f[:2] == ("class=a", "label=1") for f in files) > 5
+    assert len(files) - sum(f[:2] == ("class=a", "label=1") for f in files) == 3
+
+
+def test_empty_manifest(spark, tmp_path):
+    manifest = _manifest(spark, [])
+    training_set.write_manifest(manifest, str(tmp_path / "set"))
+    assert not list((tmp_path / "set").glob("class=*"))
