@@ -1,7 +1,9 @@
 """Token files and WARC archives: exact round trips."""
 
 import base64
+import gc
 import hashlib
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -136,3 +138,40 @@ def test_marks_and_line_feeds_do_not_send_a_word_through_the_whole_tokenizer(mon
         assert ids.tolist() == [i for x in want for i in x]
         if batch is texts:
             assert set(sent) <= {"x", "!!", "%%%", "***", ".", ","}
+
+
+def _made_up(n, seed):
+    random = np.random.default_rng(seed)
+    letters = random.choice(np.array(list("etaoinshr")), (n, 10))
+    return ["".join(r) for r in letters]
+
+
+def test_known_words_take_little_memory():
+    coder = token_files.WordEncoder(tokenizer_file())
+    coder.encode(pa.array(["x a b"]))
+    gc.collect()
+    arrow = pa.total_allocated_bytes()
+    tracemalloc.start()
+    try:
+        for seed in range(4):
+            coder.encode(pa.array(["x " + " ".join(_made_up(10_000, seed))]))
+        gc.collect()
+        held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - arrow
+    finally:
+        tracemalloc.stop()
+    assert held < 40_000 * 100
+
+
+def test_frequent_words_are_known_when_rare_ones_are_forgotten(monkeypatch):
+    monkeypatch.setattr(token_files, "KNOWN_WORDS", 60)
+    coder = token_files.WordEncoder(tokenizer_file())
+    merge, merged = coder.merge, []
+    monkeypatch.setattr(coder, "merge", lambda sign: merged.append(sign[1:]) or merge(sign))
+    for i in range(12):
+        texts = ["x stone, birch elm\nash elm. " + " ".join(_made_up(20, 100 + i)), None, "", "oak  elm"]
+        ids, counts = coder.encode(pa.array(texts, pa.string()))
+        want = [x.ids + [token_files.END_ID] for x in coder.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+        assert counts.tolist() == [len(x) for x in want]
+        assert ids.tolist() == [n for x in want for n in x]
+    assert merged.count("birch") == merged.count("stone") == 1
+    assert len(coder.words) <= 60 + 30

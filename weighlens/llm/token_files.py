@@ -7,7 +7,7 @@ of 256 x 4 lengths turns control bytes into lengths, ``ranks`` turns ranks back
 files, so they are committed and retried by Spark as any other table, and each can be decoded by itself.
 
 Words repeat far more often than they are new, so a worker encodes each distinct word once with the tokenizer and keeps
-its ids.  Texts are cut into words only where the tokenizer's own splitting cuts too: before a space or line feed between
+its ids; of too many words it keeps those met most often.  Texts are cut into words only where the tokenizer's own splitting cuts too: before a space or line feed between
 characters that are not white space.  Texts with longer runs of white space are encoded whole.
 """
 
@@ -15,8 +15,7 @@ from __future__ import annotations
 
 import os
 import zlib
-from copy import copy
-from itertools import chain, repeat
+from itertools import chain
 from operator import attrgetter
 from string import punctuation
 
@@ -31,7 +30,7 @@ from weighlens.storage import shared_dir
 
 END_ID = 2
 BLOCK_BYTES = 4 << 20
-KNOWN_WORDS = 1_500_000  # a worker forgets its words beyond this many
+KNOWN_WORDS = 500_000  # beyond this many a worker keeps the half that it met most often
 
 _WHITE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _RUN = _WHITE + _WHITE
@@ -46,14 +45,6 @@ _token_id = attrgetter("id")
 _MERGED_AT_ONCE = 500  # words whose tokens are held as objects
 
 
-def _appended(kept: np.ndarray, n: int, more: np.ndarray) -> np.ndarray:
-    """``more`` behind the first n values of ``kept``; the room doubles when it ends, so values are seldom moved."""
-    if n + len(more) > len(kept):
-        kept = np.concatenate([kept[:n], np.empty(n + 2 * len(more), kept.dtype)])
-    kept[n:n + len(more)] = more
-    return kept
-
-
 def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """(sizes, values) of lists of ids."""
     sizes = np.fromiter(map(len, lists), np.int64, len(lists))
@@ -62,7 +53,9 @@ def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
 
 def _spans(table: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Stretches of a table, one after the other."""
-    return table[np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))]
+    at = np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+    at += np.arange(len(at))
+    return table[at]
 
 
 class WordEncoder:
@@ -81,9 +74,17 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.n_ids = 0  # the arrays have room behind what is in use
-        self.starts, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        # an Arrow array of words takes a tenth of the room of a dictionary of Python strings
+        self.words = pa.array([], pa.large_string())
+        self.starts, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint32)
+        self.met = np.zeros(0, np.uint32)  # blocks that had the word
+
+    def _forget_rare(self) -> None:
+        """Keep the words met most often; what they were met before counts half from now on."""
+        kept = np.sort(np.argsort(self.met, kind="stable")[-(KNOWN_WORDS // 2):])
+        self.ids = _spans(self.ids, self.starts[kept], self.sizes[kept])
+        self.words, self.sizes, self.met = self.words.take(pa.array(kept)), self.sizes[kept], self.met[kept] // 2
+        self.starts = np.cumsum(self.sizes, dtype=np.int64) - self.sizes
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -101,49 +102,54 @@ class WordEncoder:
 
     def _word_ids(self, words: list[str]) -> list[list[int]]:
         """Ids of pieces: a piece stands for itself behind a space, or for itself if it begins with a line feed."""
-        coder = copy(self)
-        coder._forget()
-        coder._learn(words)
-        at = [coder.place[w] for w in words]
-        return [coder.ids[i:i + n].tolist() for i, n in zip(coder.starts[at], coder.sizes[at])]
-
-    def _add(self, words: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
-        n = len(self.place)
-        self.starts = _appended(self.starts, n, self.n_ids + np.cumsum(sizes) - sizes)
-        self.sizes, self.ids = _appended(self.sizes, n, sizes), _appended(self.ids, self.n_ids, ids)
-        self.place.update(zip(words, range(n, n + len(words))))
-        self.n_ids += len(ids)
-
-    def _learn(self, words: list[str]) -> None:
-        """Add the ids of new pieces.
+        starts, sizes, ids = self._coded(words)
+        return [ids[i:i + n].tolist() for i, n in zip(starts, sizes)]
+
+    def _coded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(starts, sizes, ids) of distinct pieces.
 
         Marks behind a letter or digit are a word of their own to the tokenizer, and so is a line feed before letters: the
-        word without them is learned, and ids of the marks are put behind its own.
+        word without them is encoded, and ids of the marks are put behind its own.
         """
         stems = {w: x for w in words if (x := w.rstrip(self.marks)) is not w and x[-1:].isalnum()}
-        plain = dict.fromkeys(w for w in words if w not in stems) | dict.fromkeys(x for x in stems.values() if x not in self.place)
+        plain = dict.fromkeys(w for w in words if w not in stems) | dict.fromkeys(stems.values())
         letters, lines, rest = [], [], []
         for w in plain:
             (letters if w.isalpha() else lines if w[0:1] == "\n" and w[1:].isalpha() else rest).append(w)
+        found = []
         if letters:
-            self._add(letters, *self._letter_ids(letters))
+            found.append(self._letter_ids(letters))
         if lines:
             sizes, ids = self._letter_ids([w[1:] for w in lines], "")
-            self._add(lines, sizes + 1, np.insert(ids, np.cumsum(sizes) - sizes, self.line_feed))
+            found.append((sizes + 1, np.insert(ids, np.cumsum(sizes) - sizes, self.line_feed)))
         if rest:
-            self._add(rest, *_flat(self._ids([w if w[:1] == "\n" else " " + w for w in rest])))
+            found.append(_flat(self._ids([w if w[:1] == "\n" else " " + w for w in rest])))
+        place = dict(zip(chain(letters, lines, rest, stems), range(len(plain) + len(stems))))
+        sizes, ids = (np.concatenate(x) for x in zip(*found))
+        starts = np.cumsum(sizes) - sizes
         if stems:
             marks = [w[len(x):] for w, x in stems.items()]
             kinds = dict.fromkeys(marks)
             mark_sizes, mark_ids = _flat(self._ids(list(kinds)))
             kinds = dict(zip(kinds, range(len(kinds))))
             kind = np.fromiter(map(kinds.__getitem__, marks), np.int64, len(marks))
-            at = np.fromiter(map(self.place.__getitem__, stems.values()), np.int64, len(stems))
+            at = np.fromiter(map(place.__getitem__, stems.values()), np.int64, len(stems))
             # word, marks, word, marks ...
-            starts = np.column_stack([self.starts[at], self.n_ids + (np.cumsum(mark_sizes) - mark_sizes)[kind]]).reshape(-1)
-            sizes = np.column_stack([self.sizes[at], mark_sizes[kind]]).reshape(-1)
-            self.ids = _appended(self.ids, self.n_ids, mark_ids)
-            self._add(list(stems), sizes.reshape(-1, 2).sum(axis=1), _spans(self.ids, starts, sizes))
+            pair_starts = np.column_stack([starts[at], len(ids) + (np.cumsum(mark_sizes) - mark_sizes)[kind]])
+            pair_sizes = np.column_stack([sizes[at], mark_sizes[kind]])
+            ids = np.append(ids, mark_ids)
+            stem_ids, stem_sizes = _spans(ids, pair_starts.reshape(-1), pair_sizes.reshape(-1)), pair_sizes.sum(axis=1)
+            starts = np.append(starts, len(ids) + np.cumsum(stem_sizes) - stem_sizes)
+            sizes, ids = np.append(sizes, stem_sizes), np.append(ids, stem_ids)
+        at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+        return starts[at], sizes[at], ids
+
+    def _learn(self, new: pa.Array) -> None:
+        """Add the ids of new pieces."""
+        starts, sizes, ids = self._coded(new.to_numpy(zero_copy_only=False).tolist())  # much faster than to_pylist()
+        self.words = pa.concat_arrays([self.words, new])
+        self.starts, self.sizes = np.append(self.starts, len(self.ids) + starts), np.append(self.sizes, sizes.astype(np.int32))
+        self.ids, self.met = np.append(self.ids, ids), np.append(self.met, np.ones(len(new), np.uint32))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, each with the end id; ids per text)."""
@@ -154,28 +160,31 @@ class WordEncoder:
         firsts = np.asarray(pieces.offsets)[:-1].astype(np.int64)
         firsts -= firsts[0] if len(firsts) else 0
         flat = pieces.flatten()
+        if len(self.words) > KNOWN_WORDS:
+            self._forget_rare()
         coded = flat.dictionary_encode()
-        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # much faster than to_pylist()
-        if len(self.place) > KNOWN_WORDS:
-            self._forget()
-        index = np.fromiter(map(self.place.get, distinct, repeat(-1)), np.int64, len(distinct))
-        unknown = np.flatnonzero(index < 0)
-        if len(unknown):
-            new = [distinct[i] for i in unknown.tolist()]
-            self._learn(new)
-            index[unknown] = np.fromiter(map(self.place.__getitem__, new), np.int64, len(new))
+        # the known words are looked up in the block's, which are fewer: a table of all known ones would take longer to build
+        found = pc.index_in(self.words, value_set=coded.dictionary)
+        here = np.asarray(pc.is_valid(found))
+        self.met += here
+        index = np.full(len(coded.dictionary), -1)
+        index[np.asarray(found.drop_null())] = np.flatnonzero(here)
+        unknown = index < 0
+        if unknown.any():
+            index[unknown] = len(self.words) + np.arange(unknown.sum())
+            self._learn(coded.dictionary.filter(pa.array(unknown)))
         index = index[np.asarray(coded.indices)]
         # first pieces have no space before them
         first_ids = self._ids(pc.if_else(pa.array(whole), texts, flat.take(pa.array(firsts))).to_pylist())
         own, own_ids = _flat(first_ids)
-        table = np.concatenate([self.ids[:self.n_ids], own_ids, np.array([END_ID], np.uint32)])
+        table = np.concatenate([self.ids, own_ids, np.array([END_ID], np.uint32)])
         starts, sizes = self.starts[index], self.sizes[index]
-        starts[firsts], sizes[firsts] = self.n_ids + np.cumsum(own) - own, own
+        starts[firsts], sizes[firsts] = len(self.ids) + np.cumsum(own) - own, own
         # the end id follows each text's last piece
         ends = np.append(firsts[1:], len(flat))
         starts, sizes = np.insert(starts, ends, len(table) - 1), np.insert(sizes, ends, 1)
         ids = _spans(table, starts, sizes)
-        counts = np.add.reduceat(sizes, firsts + np.arange(len(firsts))) if len(firsts) else np.zeros(0, np.int64)
+        counts = np.add.reduceat(sizes, firsts + np.arange(len(firsts)), dtype=np.int64) if len(firsts) else np.zeros(0, np.int64)
         return ids, counts
 
 
@@ -192,7 +201,9 @@ def encode_block(ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
     extra = (values >= 1 << 8).astype(np.uint8) + (values >= 1 << 16) + (values >= 1 << 24)
     control = np.append(extra, np.zeros(-len(extra) % 4, np.uint8)).reshape(-1, 4)
     control = (control << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    at = np.cumsum(extra + 1, dtype=np.int64) - extra - 1
+    at = np.cumsum(extra, dtype=np.int64)
+    at += np.arange(len(at))
+    at -= extra
     data = np.empty(int(at[-1]) + int(extra[-1]) + 1 if len(ids) else 0, np.uint8)
     data[at] = values & 255
     for more in range(1, 1 + int(extra.max(initial=0))):
@@ -205,7 +216,7 @@ def _unique_small(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """As np.unique, by counting: token ids are below the vocabulary size."""
     counts = np.bincount(ids)
     found = np.flatnonzero(counts)
-    place = np.zeros(len(counts), np.int64)
+    place = np.zeros(len(counts), np.uint32)
     place[found] = np.arange(len(found))
     return found, place[ids], counts[found]
 
@@ -258,6 +269,9 @@ def write_token_files(
                 to = cut + max(1, int(np.searchsorted(held, block_bytes, side="right")))
                 yield block(ids.slice(cut, to - cut), texts.slice(cut, to - cut))
                 number, cut = number + 1, to
+            # a worker outlives its tasks: what the batch took goes back to the system
+            for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+                pool.release_unused()
 
     ordered = docs.select(F.col(row_id).cast("bigint").alias("id"), F.col(text).alias("text"))
     ordered = ordered.repartitionByRange("id").sortWithinPartitions("id", "text")
