@@ -175,3 +175,30 @@ def test_frequent_words_are_known_when_rare_ones_are_forgotten(monkeypatch):
         assert ids.tolist() == [n for x in want for n in x]
     assert merged.count("birch") == merged.count("stone") == 1
     assert len(coder.words) <= 60 + 30
+
+
+def test_tasks_of_a_worker_share_its_encoder(monkeypatch):
+    """What a task gets is unpickled for it; the encoder with its words must not be made anew each time."""
+    from pyspark import cloudpickle
+
+    made = []
+    monkeypatch.setattr(token_files, "_ENCODERS", {})
+    monkeypatch.setattr(token_files, "WordEncoder", lambda file: made.append(file) or object())
+    monkeypatch.setattr(token_files.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+
+    class Rows:
+        def __getattr__(self, name):
+            return lambda *_: self
+
+        def mapInArrow(self, encode, schema):
+            self.__dict__["sent"] = cloudpickle.dumps(encode)
+            return self
+
+        write = property(lambda self: self)
+
+    docs = Rows()
+    monkeypatch.setattr(token_files.F, "col", lambda name: docs)
+    token_files.write_token_files(docs, "some file", "some path")
+    for _ in range(3):
+        assert list(cloudpickle.loads(docs.sent)(iter([]))) == []
+    assert made == ["some file"]

@@ -235,6 +235,14 @@ def decode_block(n: int, ranks: bytes, control: bytes, data: bytes) -> np.ndarra
 
 _ENCODERS: dict[str, WordEncoder] = {}  # of this worker
 
+
+def _encoder(tokenizer_file: str) -> WordEncoder:
+    """The worker's own, kept from task to task: tasks get this function by name, but a copy of any table they name themselves."""
+    if tokenizer_file not in _ENCODERS:
+        _ENCODERS[tokenizer_file] = WordEncoder(tokenizer_file)
+    return _ENCODERS[tokenizer_file]
+
+
 _BLOCK = "part int, block int, doc_ids array<bigint>, n_tokens array<bigint>, n bigint, ranks binary, control binary, data binary"
 
 
@@ -247,8 +255,7 @@ def write_token_files(
     larger than ``block_bytes`` is a block of its own.  An empty table writes no block.  Other columns are not read.
     """
     def encode(batches):
-        coder = _ENCODERS.setdefault(tokenizer_file, None) or WordEncoder(tokenizer_file)
-        _ENCODERS[tokenizer_file] = coder
+        coder = _encoder(tokenizer_file)
         part, number = TaskContext.get().partitionId(), 0
 
         def block(ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
