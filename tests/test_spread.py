@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetcheck import tables
 from weighlens.operators.images import extract_image_urls
+from weighlens.operators.pairs import add_pair_similarity
 from weighlens.plans import candidates, training_set
 from weighlens.sinks.logs import dataset_log_rows
 from weighlens.sinks.tables import write_report
@@ -118,3 +119,42 @@ def test_empty_manifest(spark, tmp_path):
     manifest = _manifest(spark, [])
     training_set.write_manifest(manifest, str(tmp_path / "set"))
     assert not list((tmp_path / "set").glob("class=*"))
+
+
+@pytest.fixture
+def large_tables(spark):
+    """Joins as they are between tables too large to be sent to every task; hot tasks are split from a few hundred bytes on."""
+    names = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "500b",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "500b", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {n: spark.conf.get(n, None) for n in names}
+    for n, v in names.items():
+        spark.conf.set(n, v)
+    yield
+    for n, v in before.items():
+        spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
+def _moved(df):
+    """What each shuffle of a plan moves: its keys and its columns."""
+    text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return re.findall(r"Exchange\s+Input \[\d+\]: \[(.*?)\]\s+Arguments: hashpartitioning\((.*?), \d+\)", text), text
+
+
+def test_similarity_moves_lists_whole_and_pairs_once(spark, large_tables):
+    """A code that all lists hold: its task is split, and no pair is copied for that.  Rows do not carry their lists to the counts."""
+    data = spark.range(50).selectExpr("'1' as deployment_id", "7 as result_index", "cast(id as string) as code", "true as valid")
+    tx = spark.range(2000).selectExpr(
+        "cast(id as string) transaction_id", "1 deployment_id", "7 result_index", "array('3', '3', cast(id + 40 as string)) predicted_codes",
+        "if(id % 2 = 0, '3', 'x') selected_reference_code", "3 num_candidatos")
+    got = add_pair_similarity(tx.unionByName(tx.limit(100)), data).drop("predicted_codes")
+    moved, text = _moved(got)
+    assert len(re.findall(r"^\(\d+\) Generate", text, re.M)) == 1 and len(moved) >= 4
+    assert all("predicted_codes" in keys for columns, keys in moved if "predicted_codes" in columns)
+    found = got.collect()
+    assert len(found) == 2100 and "SortMergeJoin(skew=true)" in got._jdf.queryExecution().executedPlan().toString()
+    for r in found:
+        good = 2 + (int(r.transaction_id) + 40 < 50)
+        assert (r.num_referencias_similares, r.num_referencias_no_similares) == (good, 3 - good)
+        assert r.producto_seleccionado_similar == int(int(r.transaction_id) % 2 == 0)
