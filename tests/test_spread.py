@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetcheck import tables
 from weighlens.operators.images import extract_image_urls
+from weighlens.operators.models import accuracy_stats
 from weighlens.operators.pairs import add_pair_similarity
 from weighlens.plans import candidates, training_set
 from weighlens.sinks.logs import dataset_log_rows
@@ -158,3 +159,21 @@ def test_similarity_moves_lists_whole_and_pairs_once(spark, large_tables):
         good = 2 + (int(r.transaction_id) + 40 < 50)
         assert (r.num_referencias_similares, r.num_referencias_no_similares) == (good, 3 - good)
         assert r.producto_seleccionado_similar == int(int(r.transaction_id) % 2 == 0)
+
+
+def test_whole_rows_of_the_candidate_report_are_shuffled_once(spark, fleet, large_tables, monkeypatch, tmp_path):
+    """Look-ups move the columns they ask by; rows may be equal in these, and a product may have two accuracies."""
+    fleet.tx.unionByName(fleet.tx.filter("device_id % 10 = 0")).repartition(3).write.parquet(f"{tmp_path}/tx")
+    tx = spark.read.parquet(f"{tmp_path}/tx")
+    stats = accuracy_stats(tx, 1)
+    stats = stats.unionByName(stats.filter("total_transactions > 1").withColumn("pct_ok_modelo", F.lit(0.5)))
+    rest = fleet.pairs, fleet.activations, fleet.derived("fx_folders"), stats
+    done, seen = candidates.processed_stored(tx, *rest), []
+    whole = [columns for columns, _ in _moved(done)[0] if "predicted_names" in columns and "transaction_id" in columns]
+    assert len(whole) == 1
+    expected = candidates.processed_transactions(tx, *rest)
+    assert done.columns == expected.columns and expected.count() > tx.count()
+    assert sorted(map(str, done.collect())) == sorted(map(str, expected.collect()))
+    monkeypatch.setattr(candidates, "processed_stored", lambda *a: seen.append(1) or candidates.processed_transactions(*a))
+    candidates.candidate_report(tx, fleet.pairs, fleet.descriptions, fleet.activations, fleet.derived("fx_folders"), f"{tmp_path}/report", 2)
+    assert seen
